@@ -1,4 +1,229 @@
 """The queries of the panel library, each with the SQL that states its result."""
 
+from pyspark.sql import functions as F
+
+from ..functions import finance, keys
+from ..operators import panel as P
+from .panels import D, M, Q, deflator, months, quarters, table
+
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
+
+
+def query(sql: str | None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return register
+
+
+def r(c, n: int = 6):
+    return F.round(c, n)
+
+
+RANK = "100.0 * (rank() over (partition by {0} is null order by {0}) + (count(*) over (partition by {0}) - 1) / 2.0) / count({0}) over (partition by {0} is null)"
+
+
+@query(f"""with {Q}, l as (select a.place, a.value, b.value v4, c.value v12 from q a left join q b on b.place = a.place and b.idx = a.idx - 4 left join q c on c.place = a.place and c.idx = a.idx - 12 where a.idx = (select max(idx) from q)),
+g as (select place, value, 100 * (value / nullif(v4, 0) - 1) g1, 100 * (value / nullif(v12, 0) - 1) g3 from l),
+s as (select *, case when g1 is not null then {RANK.format("g1")} end p1, case when g3 is not null then {RANK.format("g3")} end p3 from g),
+t as (select *, coalesce((p1 + p3) / 2, p1, p3) score from s)
+select place, round(value, 6) as value, round(g1, 6) growth_1y, round(g3, 6) growth_3y, round(score, 6) score, case when score <= 40 then 'green' when score <= 70 then 'amber' when score is not null then 'red' end band from t""")
+def price_score_band(spark, sf_dir):
+    rows = P.latest_with_lags(quarters(spark, sf_dir), {"v4": 4, "v12": 12}).select("place", "value", P.growth(F.col("value"), F.col("v4")).alias("g1"), P.growth(F.col("value"), F.col("v12")).alias("g3"))
+    rows = rows.withColumns({"p1": P.pct_rank(F.col("g1")), "p3": P.pct_rank(F.col("g3"))})
+    score = F.coalesce((F.col("p1") + F.col("p3")) / 2, "p1", "p3")
+    return rows.select("place", r("value").alias("value"), r("g1").alias("growth_1y"), r("g3").alias("growth_3y"), r(score).alias("score"), P.band(score).alias("band"))
+
+
+@query(f"with {Q}, {D} select q.place, q.idx, round(100 * ((q.value / b.value) / (d.value / e.value) - 1), 6) real_growth from q join q b on b.place = q.place and b.idx = q.idx - 4 join d on d.idx = q.idx join d e on e.idx = q.idx - 4")
+def real_growth(spark, sf_dir):
+    d = deflator(spark, sf_dir)
+    d = P.lagged(d.withColumn("place", F.lit(0)), 4, "then").select("idx", F.try_divide("value", "then").alias("rise")).where("rise is not null")
+    rows = P.lagged(quarters(spark, sf_dir), 4, "before").where("before is not null").join(d, "idx")
+    return rows.select("place", "idx", r(100 * (F.try_divide("value", "before") / F.col("rise") - 1)).alias("real_growth"))
+
+
+@query(f"with {M} select place, idx, case when count(value) over w = 12 then sum(n) over w end::bigint n12 from m window w as (partition by place order by idx rows between 11 preceding and current row)")
+def rolling_volume(spark, sf_dir):
+    return months(spark, sf_dir).select("place", "idx", P.rolling_sum("n", 12).cast("bigint").alias("n12"))
+
+
+@query(f"with {M} select place, (idx // 3)::bigint as quarter, round(avg(value), 6) as value from m group by 1, 2 having count(value) = 3")
+def monthly_to_quarterly(spark, sf_dir):
+    rows = P.complete_mean(months(spark, sf_dir), F.floor(F.col("idx") / 3).cast("bigint"), "quarter", 3)
+    return rows.select("place", "quarter", r("value").alias("value"))
+
+
+@query(f"with {Q}, {M} select q.place, q.idx, round((select max_by(m.value, m.idx) from m where m.place = q.place and m.idx <= q.idx * 3 + 1 and m.idx >= q.idx * 3 - 1), 6) valuation from q")
+def asof_valuation(spark, sf_dir):
+    left = quarters(spark, sf_dir).select("place", (F.col("idx") * 3 + 1).alias("idx"), F.col("idx").alias("q"))
+    out = P.asof(left, months(spark, sf_dir).select("place", "idx", F.col("value").alias("v")), "v", "valuation", 2)
+    return out.select("place", F.col("q").alias("idx"), r("valuation").alias("valuation"))
+
+
+@query(f"with {Q} select place, idx, round(case when count(value) over w >= 8 then (value - avg(value) over w) / nullif(stddev_samp(value) over w, 0) end, 6) z from q window w as (partition by place order by idx rows between unbounded preceding and current row)")
+def expanding_national_score(spark, sf_dir):
+    return quarters(spark, sf_dir).select("place", "idx", r(P.expanding_z()).alias("z"))
+
+
+EVENT = f"{Q}, e as (select place, idx, value, case when count(value) over w = 12 then (min(value) over w / value - 1 <= -0.10)::int end ev from q window w as (partition by place order by idx range between 1 following and 12 following))"
+
+
+@query(f"with {EVENT} select place, idx, ev event from e")
+def drawdown_event(spark, sf_dir):
+    return quarters(spark, sf_dir).select("place", "idx", P.drawdown_event().alias("event"))
+
+
+@query(f"with {EVENT}, f as (select *, coalesce(ev = 1, false) one from e), g as (select *, sum((one and not coalesce(p, false))::int) over (partition by place order by idx rows unbounded preceding) run from (select *, lag(one) over (partition by place order by idx) p from f)) select place, min(idx) as first, max(idx) as last, count(*) n from g where one group by place, run")
+def episodes(spark, sf_dir):
+    return P.episodes(quarters(spark, sf_dir).select("place", "idx", P.drawdown_event().alias("event")), "event").select("place", "first", "last", "n")
+
+
+@query(f"with {Q} select place, idx, round(100 * (value / max(value) over (partition by place order by idx rows unbounded preceding) - 1), 6) drawdown from q")
+def drawdown_series(spark, sf_dir):
+    return quarters(spark, sf_dir).select("place", "idx", r(P.drawdown()).alias("drawdown"))
+
+
+@query(f"with {Q}, x as (select place, value::double x, n::double y, rank() over (partition by place order by value) + (count(*) over (partition by place, value) - 1) / 2.0 rx, rank() over (partition by place order by n) + (count(*) over (partition by place, n) - 1) / 2.0 ry from q) select place, round(case when count(*) >= 5 and count(distinct x) >= 2 and count(distinct y) >= 2 then corr(rx, ry) end, 6) rho, count(*) n from x group by 1")
+def spearman(spark, sf_dir):
+    return P.spearman(quarters(spark, sf_dir).withColumnRenamed("n", "y"), "value", "y", "place").select("place", r("rho").alias("rho"), "n")
+
+
+@query(f"with {EVENT}, x as (select place, ev, rank() over (partition by place order by value) + (count(*) over (partition by place, value) - 1) / 2.0 rk from e where ev is not null), s as (select place, sum(case when ev = 1 then rk end) s, sum(ev)::double p, sum(1 - ev)::double n from x group by 1) select place, round((s - p * (p + 1) / 2) / nullif(p * n, 0), 6) auc from s")
+def auc(spark, sf_dir):
+    rows = quarters(spark, sf_dir).select("place", "value", P.drawdown_event().alias("event"))
+    return P.auc(rows, "value", "event", "place").select("place", r("auc").alias("auc"))
+
+
+@query(f"with {EVENT} select (value >= (select avg(value) from q)) flagged, ev event, count(*) n from e where ev is not null group by 1, 2")
+def confusion(spark, sf_dir):
+    q = quarters(spark, sf_dir)
+    rows = q.select("value", P.drawdown_event().alias("event")).where("event is not null")
+    return rows.groupBy((F.col("value") >= q.agg(F.avg("value")).scalar()).alias("flagged"), "event").agg(F.count("*").alias("n"))
+
+
+@query(f"with {Q}, g as (select a.place, 100 * (a.value / b.value - 1) g from q a join q b on b.place = a.place and b.idx = a.idx - 4 where a.idx = (select max(idx) from q)) (select place, round(g, 6) growth, 'up' direction from g order by g desc, place limit 10) union all (select place, round(g, 6), 'down' from g order by g, place limit 10)")
+def topk_movers(spark, sf_dir):
+    rows = P.latest_with_lags(quarters(spark, sf_dir), {"before": 4}).select("place", P.growth(F.col("value"), F.col("before")).alias("growth"))
+    return P.top_movers(rows, "growth", 10).select("place", r("growth").alias("growth"), "direction")
+
+
+@query(f"with {Q}, n as (select idx, avg(value) as value from q group by 1), l as (select unnest([0, 1, 2, 3, 4]) lag) select q.place, l.lag::int lag, round(corr(q.value, n.value), 6) r, count(*) n from q join l on true join n on n.idx + l.lag = q.idx group by 1, 2")
+def ripple_corr(spark, sf_dir):
+    q = quarters(spark, sf_dir)
+    rows = P.correlation_at_lags(q, q.groupBy("idx").agg(F.avg("value").alias("value")), [0, 1, 2, 3, 4])
+    return rows.select("place", "lag", r("r").alias("r"), "n")
+
+
+@query(f"with {Q}, a as (select idx, value, place from q where idx >= 7988), b as (select place, idx, value * 2 as value from q where idx <= 7992), j as (select coalesce(a.place, b.place) place, coalesce(a.idx, b.idx) idx, a.value m, b.value o from a full join b on a.place = b.place and a.idx = b.idx), k as (select place, min_by(m / o, idx) filter (where m is not null and o is not null) link, min(idx) filter (where m is not null) first from j group by 1) select j.place, j.idx, round(coalesce(m, case when idx < first then o * link end), 6) as value from j join k on k.place = j.place where coalesce(m, case when idx < first then o * link end) is not null")
+def index_splice(spark, sf_dir):
+    q = quarters(spark, sf_dir).select("place", "idx", "value")
+    out = P.splice(q.where("idx >= 7988"), q.where("idx <= 7992").withColumn("value", F.col("value") * 2))
+    return out.select("place", "idx", r("value").alias("value"))
+
+
+@query("select s_suppkey id, round(case when s_acctbal > 0 then s_acctbal * (0.035 / 12) / (1 - power(1 + 0.035 / 12, -360.0)) end, 6) instalment, round(case when s_acctbal > 0 then s_acctbal * (power(1 + 0.035 / 12, 360.0) - power(1 + 0.035 / 12, 60.0)) / (power(1 + 0.035 / 12, 360.0) - 1) end, 6) owed from supplier")
+def annuity_table(spark, sf_dir):
+    loan, rate, years = F.when(F.col("s_acctbal") > 0, F.col("s_acctbal")), F.lit(3.5), F.lit(30.0)
+    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), r(finance.instalment(loan, rate, years)).alias("instalment"), r(finance.balance(loan, rate, years, F.lit(60.0))).alias("owed"))
+
+
+@query("select c_custkey id, round(0.02 * greatest(least(c_acctbal, 2000) - 0, 0) + 0.05 * greatest(least(c_acctbal, 5000) - 2000, 0) + 0.08 * greatest(c_acctbal - 5000, 0), 6) tax from customer")
+def tax_bracket(spark, sf_dir):
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), r(finance.bracket_tax(F.col("c_acctbal"), [(0.0, 0.02), (2000.0, 0.05), (5000.0, 0.08)])).alias("tax"))
+
+
+@query("select n_nationkey::bigint place, replace(lower(n_name), '_', ' ') as name, 2 * 6371.0 * asin(sqrt(least(power(sin(radians(40 - n_nationkey) / 2), 2) + cos(radians(n_nationkey)) * cos(radians(40.0)) * power(sin(radians(-8.0 - n_nationkey / 10.0) / 2), 2), 1.0))) > 3000 far from nation")
+def distance_band(spark, sf_dir):
+    k = F.col("n_nationkey").cast("double")
+    return table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("place"), keys.plain(F.col("n_name")).alias("name"), (finance.haversine(k, k / 10, F.lit(40.0), F.lit(-8.0)) > 3000).alias("far"))
+
+
+@query("select event_type, count(*) n, round(quantile_cont((props::json->>'k')::double, 0.5), 6) median_k, round(quantile_cont(value, 0.9), 6) p90 from events group by 1")
+def event_properties(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select("event_type", "value", F.get_json_object("props", "$.k").cast("double").alias("k"))
+    return rows.groupBy("event_type").agg(F.count("*").alias("n"), r(F.expr("percentile(k, 0.5)")).alias("median_k"), r(F.expr("percentile(value, 0.9)")).alias("p90"))
+
+
+@query("select user_id, max_by(event_id, struct_pack(t := ts, e := event_id)) event_id, max_by(event_type, struct_pack(t := ts, e := event_id)) event_type from events group by 1")
+def dedupe_latest(spark, sf_dir):
+    key = F.struct("ts", "event_id")
+    return table(spark, sf_dir, "events").groupBy("user_id").agg(F.max_by("event_id", key).alias("event_id"), F.max_by("event_type", key).alias("event_type"))
+
+
+@query("select o_custkey, count(*) n from orders where o_custkey not in (select c_custkey from customer where c_acctbal > 0) group by 1")
+def archive_antijoin(spark, sf_dir):
+    seen = table(spark, sf_dir, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"))
+    return table(spark, sf_dir, "orders").join(seen, "o_custkey", "left_anti").groupBy("o_custkey").agg(F.count("*").alias("n"))
+
+
+@query("select p_brand, round(100.0 * count(*) filter (where p_type like '%BRASS%') / count(*), 6) share, count(*) n from part group by 1")
+def typology_mix(spark, sf_dir):
+    return table(spark, sf_dir, "part").groupBy("p_brand").agg(r(100 * F.avg(F.col("p_type").contains("BRASS").cast("double"))).alias("share"), F.count("*").alias("n"))
+
+
+@query(f"with {Q}, x as (select place, round(stddev_samp(g), 6) vol, count(*) n from (select place, 100 * (value / nullif(lag(value) over (partition by place order by idx), 0) - 1) g from q) where g is not null group by 1) select place, vol, case when n >= 6 then vol >= (select quantile_cont(vol, 0.9) from x) end volatile from x")
+def volatility(spark, sf_dir):
+    steps = quarters(spark, sf_dir).select("place", P.growth(F.col("value"), F.lag("value").over(P.ordered())).alias("g")).where("g is not null")
+    rows = steps.groupBy("place").agg(r(F.stddev_samp("g")).alias("vol"), F.count("*").alias("n"))
+    limit = rows.agg(F.expr("percentile(vol, 0.9)")).scalar()
+    return rows.select("place", "vol", F.when(F.col("n") >= 6, F.col("vol") >= limit).alias("volatile"))
+
+
+@query(f"with {Q}, s as (select place, count(*) n, avg(idx - 7980) mx, avg(value) my, regr_slope(value, idx - 7980) slope, regr_intercept(value, idx - 7980) base, regr_r2(value, idx - 7980) r2 from q group by 1) select place, round(slope, 6) slope, round(base, 4) base, round(r2, 6) r2, round(base + slope * (8006 - 7980), 4) forecast, n from s")
+def trend_forecast(spark, sf_dir):
+    x = F.col("idx") - 7980
+    rows = quarters(spark, sf_dir).groupBy("place").agg(F.regr_slope("value", x).alias("slope"), F.regr_intercept("value", x).alias("base"), F.regr_r2("value", x).alias("r2"), F.count("*").alias("n"))
+    return rows.select("place", r("slope").alias("slope"), r("base", 4).alias("base"), r("r2").alias("r2"), r(F.col("base") + F.col("slope") * (8006 - 7980), 4).alias("forecast"), "n")
+
+
+@query(f"with {Q}, f as (select a.idx, a.value y, b.value naive, b.value * b.value / nullif(c.value, 0) drift from q a join q b on b.place = a.place and b.idx = a.idx - 4 join q c on c.place = a.place and c.idx = a.idx - 8) select idx, count(*) n, round(avg(abs(y / naive - 1)) * 100, 6) naive_mae, round(avg(abs(y / drift - 1)) * 100, 6) drift_mae from f group by 1")
+def naive_metrics(spark, sf_dir):
+    rows = P.lagged(P.lagged(quarters(spark, sf_dir), 4, "naive"), 8, "older").where("naive is not null and older is not null")
+    rows = rows.withColumn("drift", F.try_divide(F.col("naive") * F.col("naive"), F.col("older")))
+    error = lambda c: r(F.avg(F.abs(F.try_divide("value", c) - 1)) * 100)
+    return rows.groupBy("idx").agg(F.count("*").alias("n"), error("naive").alias("naive_mae"), error("drift").alias("drift_mae"))
+
+
+@query(f"with {Q}, g as (select a.place, a.idx, case when a.value / b.value - 1 > 0.02 then 1 when a.value / b.value - 1 < -0.02 then -1 else 0 end p, case when a.n > b.n then 1 else -1 end v from q a join q b on b.place = a.place and b.idx = a.idx - 4) select place, idx, case when p > 0 and v > 0 then 'expansion' when p > 0 then 'late' when p < 0 and v < 0 then 'contraction' when p < 0 then 'recovery' else 'flat' end phase from g")
+def cycle_phase(spark, sf_dir):
+    w = P.W.partitionBy("place").orderBy("idx").rangeBetween(-4, -4)
+    rows = quarters(spark, sf_dir).withColumns({"before": F.max("value").over(w), "n0": F.max("n").over(w)}).where("before is not null")
+    g, up = F.try_divide("value", "before") - 1, F.col("n") > F.col("n0")
+    phase = F.when((g > 0.02) & up, "expansion").when(g > 0.02, "late").when((g < -0.02) & ~up, "contraction").when(g < -0.02, "recovery").otherwise("flat")
+    return rows.select("place", "idx", phase.alias("phase"))
+
+
+@query(f"with {Q}, {M}, l as (select place, avg(value) v from m where idx > (select max(idx) from m) - 12 group by 1), p as (select place, value as p from q where idx = (select max(idx) - 1 from q)) select p.place, round(100 * (l.v / nullif(p.p, 0) - 1), 6) gap from p left join l on l.place = p.place")
+def valuation_gap(spark, sf_dir):
+    m, q = months(spark, sf_dir), quarters(spark, sf_dir)
+    late = m.where(F.col("idx") > m.agg(F.max("idx") - 12).scalar()).groupBy("place").agg(F.avg("value").alias("v"))
+    price = q.where(F.col("idx") == q.agg(F.max("idx") - 1).scalar()).select("place", F.col("value").alias("p"))
+    return price.join(late, "place", "left").select("place", r(P.growth(F.col("v"), F.col("p"))).alias("gap"))
+
+
+@query(f"with {M}, x as (select place, max(idx) as last from m group by 1) select place, last, (select max(idx) from m) - last as age, case when (select max(idx) from m) - last <= 1 then 'fresh' else 'stale' end status from x")
+def freshness(spark, sf_dir):
+    m = months(spark, sf_dir)
+    now = m.agg(F.max("idx")).scalar()
+    rows = m.groupBy("place").agg(F.max("idx").alias("last"))
+    return rows.select("place", "last", (now - F.col("last")).alias("age"), F.when(now - F.col("last") <= 1, "fresh").otherwise("stale").alias("status"))
+
+
+@query(f"with {Q} select place, count(*) n, round(100.0 * count(*) filter (where value > (select median(value) from q)) / count(*), 6) share_above from q group by 1")
+def share_above(spark, sf_dir):
+    q = quarters(spark, sf_dir)
+    mid = q.agg(F.expr("percentile(value, 0.5)")).scalar()
+    return q.groupBy("place").agg(F.count("*").alias("n"), r(100 * F.avg((F.col("value") > mid).cast("double"))).alias("share_above"))
+
+
+@query(f"with {Q}, c as (select n_regionkey::bigint region, idx, sum(value * n) / sum(n) as value from q join nation on n_nationkey = place group by 1, 2), b as (select region, idx, value, first_value(value) over (partition by region order by idx) base, max(value) over (partition by region order by idx rows unbounded preceding) peak from c) select region as place, idx, round(100 * value / base, 6) level, round(100 * (value / peak - 1), 6) below_peak, rank() over (partition by idx order by value desc) position from b")
+def country_compare(spark, sf_dir):
+    regions = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("place"), F.col("n_regionkey").cast("long").alias("region"))
+    rows = quarters(spark, sf_dir).join(regions, "place").groupBy(F.col("region").alias("place"), "idx").agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("value"))
+    base = F.first("value").over(P.ordered())
+    return rows.select("place", "idx", r(100 * F.try_divide("value", base)).alias("level"), r(P.drawdown()).alias("below_peak"), F.rank().over(P.W.partitionBy("idx").orderBy(F.desc("value"))).cast("long").alias("position"))
