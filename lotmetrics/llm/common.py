@@ -1,7 +1,9 @@
 """Helpers that the corpus operators share."""
 
 import atexit
+import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,3 +57,14 @@ def remove(spark: SparkSession, path: str) -> None:
 
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner delete the shuffle files of finished queries now.
+
+    Twice: the driver's Python lets go of its plans only after the first round.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)

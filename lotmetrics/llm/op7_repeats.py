@@ -8,7 +8,7 @@ can share `length` bytes with another document, so the suffix order is sparse:
    `gram` bytes (its anchor).  Equal windows have equal anchors, so only anchors
    that occur in two documents are kept; they meet by a sort on disk.
 2. Around each kept anchor, a document sends the windows that the anchor
-   represents to the anchor's shard.  A shard reads its snippets in anchor
+   represents to the anchor's shard (by half of its hash: anchors may share one).  A shard reads its snippets in anchor
    order and orders the windows (suffixes cut at `length` bytes, where a common
    prefix of `length` or more is equality) by hash; bytes of equal hashes are
    compared.  A group of snippets larger than memory is spooled to disk and
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, table
+from .common import materialize, release, table
 
 ODD = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(ODD, -1, 1 << 64)
@@ -75,7 +75,7 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - (width - span)], values[width - span :]) if span < width else values
 
 
-def pieces(texts: list[bytes], length: int, block: int = 1 << 20):
+def pieces(texts: list[bytes], length: int, block: int = 1 << 18):
     """Lists of (document number, offset, bytes) of about block bytes; long texts in overlapping pieces, each window in one."""
     got, size = [], 0
     for i, t in enumerate(texts):
@@ -251,8 +251,8 @@ class Shard:
             yield self.inside(buffer)
 
 
-def repeated_spans(docs: DataFrame, length: int = 50, gram: int = 20, limit: int = 100_000) -> DataFrame:
-    """doc_id, text and spans: array of (key, start, end) in bytes, repeated stretches of the rows of that id (key: the text's hash)."""
+def repeated_spans(docs: DataFrame, length: int = 50, gram: int = 20, limit: int = 30_000) -> DataFrame:
+    """doc_id, text and spans: array of (key, start, end) in bytes, repeated stretches of the rows of that id (key: the text's hash where the id has several rows of that length, else 0)."""
     full = docs.select("doc_id", "text").where("doc_id is not null")
 
     def find(batches):
@@ -267,12 +267,15 @@ def repeated_spans(docs: DataFrame, length: int = 50, gram: int = 20, limit: int
     found = full.select("doc_id", "text").mapInArrow(find, "h long, doc_id long")
     shared = found.repartition("h").sortWithinPartitions("h", "doc_id").mapInArrow(shared_anchors, "doc_id long, h long")
     # whole copies of a document with a smaller id; an id with several rows is not taken as a copy
-    whole = full.where(F.octet_length("text") >= length).select("doc_id", F.sha2("text", 256).alias("sha"), F.xxhash64("text").alias("key"), F.octet_length("text").cast("long").alias("n"))
-    single = whole.groupBy("doc_id").agg(F.count("*").alias("c"), F.first("sha").alias("sha"), F.first("key").alias("key"), F.first("n").alias("n"))
+    whole = full.where(F.octet_length("text") >= length).select("doc_id", F.sha2("text", 256).alias("sha"), F.octet_length("text").cast("long").alias("n"))
+    single = whole.groupBy("doc_id").agg(F.count("*").alias("c"), F.first("sha").alias("sha"), F.first("n").alias("n"))
     # written, so that a text with a third of all rows is one row here and its rows are split by Spark's skew join
     earliest = materialize(whole.groupBy("sha").agg(F.min("doc_id").alias("low"), F.count("*").alias("c")).where("c > 1").select("sha", "low"), "earliest")
-    copies = materialize(single.where("c = 1").drop("c").join(earliest, "sha").where("doc_id > low").select("doc_id", "key", "n"), "copies")
+    twice = materialize(single.where("c > 1").select("doc_id", F.lit(True).alias("twice")), "twice")
+    copies = materialize(single.where("c = 1").drop("c").withColumn("key", F.lit(0).cast("long")).join(earliest, "sha").where("doc_id > low").select("doc_id", "key", "n"), "copies")
     lists = shared.join(copies.select("doc_id"), "doc_id", "left_anti").groupBy("doc_id").agg(F.collect_list("h").alias("hs"))
+    lists = materialize(lists.join(twice, "doc_id", "left"), "lists")
+    release(docs.sparkSession)  # the anchors' shuffle files are not needed any more
     dealt = full.repartition("doc_id")
 
     def snippets(batches):
@@ -298,11 +301,11 @@ def repeated_spans(docs: DataFrame, length: int = 50, gram: int = 20, limit: int
                 offs = np.array([g[1] for g in got])[piece[begin]] + at[begin] - base[piece[begin]]
                 body = flat.tobytes()
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(low[begin].view(np.int64)), pa.array(ids[doc[begin]]), pa.array(keys[doc[begin]]), pa.array(offs),
+                    pa.array((low[begin] >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(ids[doc[begin]]), pa.array(keys[doc[begin]]), pa.array(offs),
                     pa.array([body[x : y + length] for x, y in zip(at[begin].tolist(), at[ends].tolist(), strict=True)], pa.binary()),
                 ], names=["h", "doc_id", "key", "at", "bytes"])
 
-    around = dealt.join(lists, "doc_id").select("doc_id", "text", F.xxhash64("text").alias("key"), "hs").mapInArrow(snippets, "h long, doc_id long, key long, at long, bytes binary")
+    around = dealt.join(lists, "doc_id").select("doc_id", "text", F.when(F.col("twice"), F.xxhash64("text")).otherwise(0).alias("key"), "hs").mapInArrow(snippets, "h int, doc_id long, key long, at long, bytes binary")
 
     def ordered(batches):
         def rows():
@@ -343,7 +346,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, **how) -> DataFrame:
             for i in range(0, full.num_rows, 1000):
                 b = full.slice(i, 1000)
                 texts, keys = raw(b.column("text").to_pylist()), b.column("key").to_pylist()
-                gone = [union([(s["start"], s["end"]) for s in (x or ()) if s["key"] == k]) for x, k in zip(b.column("spans").to_pylist(), keys, strict=True)]
+                gone = [union([(s["start"], s["end"]) for s in (x or ()) if s["key"] == k or not s["key"] and len(t) >= length]) for x, k, t in zip(b.column("spans").to_pylist(), keys, texts, strict=True)]
                 left = [b"".join(t[x:y] for x, y in zip([0, *(e for _, e in g)], [*(s for s, _ in g), len(t)], strict=True)) for t, g in zip(texts, gone, strict=True)]
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(left, pa.binary()), pa.array([len(t) for t in texts], pa.int64()), pa.array([[{"start": s, "end": e} for s, e in g] for g in gone], kind)], names=["doc_id", "kept", "n_bytes", "removed"])
 
