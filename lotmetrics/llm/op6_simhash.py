@@ -9,11 +9,16 @@ within the distance differ by at most t_i in one partition i at least.  Probes
 candidate's whole distance is verified.  Sample and estimates steer the cost
 only; the links are exact.
 
-Equal fingerprints are one node.  Before all pairs are asked for, each bucket's
-members are linked to the bucket's smallest one where they are near enough, and
-pairs inside a component are not formed: in a bucket that one component fills,
-only the other members meet it.  So a large group of near copies costs about its
-own size.
+Equal fingerprints are one node; where texts are compared too, equal fingerprints
+with equal shingle sets.  Before all pairs are asked for, each bucket's members
+are compared with its smallest one, and in crowded places all near fingerprints
+with the middle one of the crowd.  Pairs inside a component are not formed: in a
+bucket that one component fills, only the other members meet it.  So a large group
+of near copies costs about its own size.
+
+Where a similarity of texts is asked for, only sets of neighbouring sizes meet,
+and members of crowds also meet only where parity sketches of 256 bits allow the
+similarity.  Both rule out no pair that has it.
 
 Null texts are empty; texts without words have fingerprint 0 and link like any
 other.  Rows of equal ids have their own fingerprints and ids count once in a
@@ -34,6 +39,8 @@ from .common import materialize, table
 from .graph import components
 
 MASK = (1 << 64) - 1
+#: Longs of a parity sketch.
+SKETCH = 4
 
 
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
@@ -103,8 +110,13 @@ def allocate(costs: list[list[float]], total: int) -> tuple[float, list[int]]:
     return best[total]
 
 
-def plan(sample: np.ndarray, n: int, bits: int) -> list[tuple[int, int, list[int]]]:
-    """(mask, threshold, bit numbers) of each partition in use."""
+def plan(sample: np.ndarray, n: int, pairs: float, asks: int, bits: int) -> list[tuple[int, int, list[int]]]:
+    """(mask, threshold, bit numbers) of each partition in use.
+
+    n fingerprints send `asks` rows a flip; `pairs` of them share a band.  A
+    candidate is compared in memory, a probe is shuffled and sorted: it counts a
+    hundred times as much.
+    """
     a = sample[:, None] ^ sample[None, :]
     a = a[np.triu_indices(len(sample), 1)]
     best = None
@@ -116,7 +128,7 @@ def plan(sample: np.ndarray, n: int, bits: int) -> list[tuple[int, int, list[int
             row = [0.0]
             for t in range(min(bits, 5) + 1):
                 chance = max(near[t], ball(len(g), t) / 2.0 ** len(g))
-                row.append(n * (ball(len(g), t - t // 2) + ball(len(g), t // 2)) + 0.05 * n * n / 2 * chance * math.comb(t, t // 2))
+                row.append(n * (asks * ball(len(g), t - t // 2) + ball(len(g), t // 2)) + 0.01 * pairs * chance * math.comb(t, t // 2))
             costs.append(row)
         try:
             cost, t = allocate(costs, bits + 1)
@@ -127,8 +139,12 @@ def plan(sample: np.ndarray, n: int, bits: int) -> list[tuple[int, int, list[int
     return best[1]
 
 
-def probes(nodes: DataFrame, parts: list, side: int, extra: tuple[str, ...] = ()) -> DataFrame:
-    """part, key and fp: a row for each flip of up to half the threshold, the larger half on side 0."""
+def probes(nodes: DataFrame, parts: list, side: int, extra: tuple[str, ...] = (), reach: int = 0) -> DataFrame:
+    """node, fp and bucket: a row for each flip of up to half the threshold, the larger half on side 0.
+
+    A bucket is the hash of partition, value and band; side 0 also asks in the
+    `reach` bands below its own.  Where hashes clash there are more candidates.
+    """
     def flipped(i: int, base, flips: list[int]):
         return F.transform(F.array(*[F.lit(f).cast("long") for f in flips]), lambda f: F.struct(F.lit(i).alias("part"), base.bitwiseXOR(f).alias("key")))
 
@@ -138,58 +154,120 @@ def probes(nodes: DataFrame, parts: list, side: int, extra: tuple[str, ...] = ()
         flips = [signed(sum(1 << b for b in c)) for r in range(radius + 1) for c in itertools.combinations(own, r)]
         base = F.col("fp").bitwiseAND(F.lit(signed(mask)))
         every.append(flipped(i, base, flips))
-    return nodes.select("fp", *extra, F.explode(F.concat(*every)).alias("x")).select("fp", *extra, "x.part", "x.key")
+    if side == 0 and reach:
+        nodes = nodes.withColumn("band", F.explode(F.sequence(F.col("band") - reach, F.col("band"))))
+    rows = nodes.select("node", "fp", *extra, "band", F.explode(F.concat(*every)).alias("x"))
+    return rows.select("node", "fp", *extra, F.xxhash64("x.part", "x.key", "band").alias("bucket"))
 
 
 def near(a: str, b: str, bits: int):
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= bits
 
 
-def links_of(nodes: DataFrame, bits: int, verify=None, sample: int = 1024, hot: int = 64) -> DataFrame:
-    """Roots (node, root) of the fingerprints that have a link; nodes: fp, all different.
+def may_be_alike(a: str, b: str, share: float):
+    """False only for sets that cannot have the similarity: their parity sketches differ in more bits than they may in members.
+
+    True where either has no sketch.
+    """
+    apart = sum((F.bit_count(F.col(f"{a}.s{k}").bitwiseXOR(F.col(f"{b}.s{k}"))) for k in range(SKETCH)), F.lit(0))
+    most = (F.col(f"{a}.n") + F.col(f"{b}.n")) * F.lit((1 - share) / (1 + share)) + F.lit(1e-6)
+    return F.coalesce(apart <= most, F.lit(True))
+
+
+def hubs(at: DataFrame, hot: int) -> DataFrame:
+    """node and fp of the middle member of each bucket of `hot` or more: the nearest one to the majority of each bit."""
+    many = materialize(at.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") >= hot), "many")
+    rows = materialize(at.join(many, "bucket"), "crowd")
+    ones = [F.sum(F.shiftrightunsigned("fp", k).bitwiseAND(F.lit(1))).alias(f"b{k}") for k in range(64)]
+    middle = sum((F.shiftleft((2 * F.col(f"b{k}") > F.col("n")).cast("long"), k) for k in range(64)), F.lit(0).cast("long"))
+    middle = materialize(rows.groupBy("bucket", "n").agg(*ones).select("bucket", middle.alias("middle")), "middles")
+    off = F.bit_count(F.col("fp").bitwiseXOR(F.col("middle")))
+    best = rows.join(middle, "bucket").groupBy("bucket").agg(F.min(F.struct(off.alias("off"), "node", "fp")).alias("x"))
+    return materialize(best.select("x.node", "x.fp").distinct(), "hubs")
 
-    verify: pairs (a, b) to those that count, by default all of them.
+
+def links_of(nodes: DataFrame, bits: int, verify=None, share: float | None = None, sample: int = 1024, hot: int = 64) -> DataFrame:
+    """Roots (node, root) of the nodes that have a link.
+
+    nodes: node (unique), fp, band and, with a share, sketch.  Only nodes of
+    neighbouring bands are compared where share is given, else all (band 0).
+    verify: pairs (a, b) of nodes to those that count, by default all of them.
     """
-    n = nodes.count()
     verify = verify or (lambda pairs: pairs)
+    reach = 0 if share is None else 1
+    per_band = {r["band"]: r["count"] for r in nodes.groupBy("band").count().collect()}  # a few dozen rows: bands are logarithms
+    n = sum(per_band.values())
+    meet = sum(c * (c / 2 + (per_band.get(b - 1, 0) if reach else 0)) for b, c in per_band.items())
     some = nodes.where(F.pmod(F.xxhash64("fp"), F.lit(1 << 20)) < F.lit(math.ceil(sample / max(n, 1) * (1 << 20)))).select("fp").limit(4 * sample).collect()
-    parts = plan(np.array(sorted(r["fp"] & MASK for r in some) or [0], dtype=np.uint64), n, bits)
-    exact = [(mask, 0, own) for mask, _, own in parts]
+    drawn = np.array(sorted(r["fp"] & MASK for r in some) or [0], dtype=np.uint64)
+    parts = plan(drawn, n, meet, 1 + reach, bits)
     # each bucket's members to its smallest one
-    at = probes(nodes, exact, 1)
-    low = materialize(at.groupBy("part", "key").agg(F.min("fp").alias("low"), F.count("*").alias("n")).where("n > 1").drop("n"), "buckets")
-    stars = at.join(low, ["part", "key"]).where(F.col("fp") != F.col("low")).where(near("fp", "low", bits))
-    stars = materialize(verify(stars.select(F.col("low").alias("a"), F.col("fp").alias("b")).distinct()), "stars")
+    at = materialize(probes(nodes, [(sum(1 << b for b in g), 0, g) for g in grouped(drawn, 4)], 1), "at")
+    low = at.groupBy("bucket").agg(F.min(F.struct("node", "fp")).alias("low"), F.count("*").alias("n")).where("n > 1").drop("n")
+    stars = at.join(low, "bucket").where((F.col("node") != F.col("low.node")) & near("fp", "low.fp", bits)).select(F.col("low.node").alias("a"), F.col("node").alias("b"))
+    # in crowded places all members to the middle one
+    middle = hubs(at, hot)
+    crowd = None
+    if not middle.isEmpty():
+        middle = nodes.join(middle.select("node"), "node", "left_semi")
+        around = probes(nodes, parts, 1, ("band",)).select(F.col("node").alias("b"), F.col("fp").alias("fp2"), "bucket")
+        asked = middle.withColumn("band", F.explode(F.sequence(F.col("band") - reach, F.col("band") + reach)))
+        to = probes(asked, parts, 0).join(around, "bucket").where((F.col("node") != F.col("b")) & near("fp", "fp2", bits)).select(F.col("node").alias("a"), "b")
+        to = materialize(to.distinct(), "spokes")
+        stars = stars.unionByName(to)
+        wide = to.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") >= hot).select("a")
+        near_wide = to.join(wide, "a").select(F.col("b").alias("node")).unionByName(wide.select(F.col("a").alias("node")))
+        crowd = materialize(near_wide.distinct(), "crowded")
+    stars = materialize(verify(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()), "stars")
     first = components(stars)
-    known = materialize(nodes.select("fp").join(first, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("root")), "first")
+    known = nodes.join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    if share is not None:
+        if crowd is None:
+            known = known.withColumn("sketch", F.when(F.lit(False), F.col("sketch")))
+        else:
+            known = known.join(crowd.select("node", F.lit(True).alias("crowded")), "node", "left").withColumn("sketch", F.when(F.col("crowded"), F.col("sketch")))
+    extra = ("root",) if share is None else ("root", "sketch")
+    known = materialize(known.select("node", "fp", "band", *extra), "first")
     # the component that fills a bucket, if one does
-    index, asks = probes(known, parts, 1, ("root",)), probes(known, parts, 0, ("root",))
-    per = index.groupBy("part", "key", "root").agg(F.count("*").alias("n"))
-    full = materialize(per.groupBy("part", "key").agg(F.max_by("root", "n").alias("full"), F.max("n").alias("n")).where(F.col("n") >= hot).drop("n"), "full")
-    if full.isEmpty():
+    index, asks = probes(known, parts, 1, extra), probes(known, parts, 0, extra, reach)
+    large = materialize(first.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") >= hot).select("root"), "large")
+    keep, full = ("node", "fp", *extra, "bucket"), None
+    if not large.isEmpty():
+        per = probes(known.join(large, "root", "left_semi"), parts, 1, ("root",)).groupBy("bucket", "root").agg(F.count("*").alias("n"))
+        full = materialize(per.groupBy("bucket").agg(F.max_by("root", "n").alias("full"), F.max("n").alias("n")).where(F.col("n") >= hot).drop("n"), "full")
+    if full is None or full.isEmpty():
         index, asks = index.withColumn("inside", F.lit(False)), asks.withColumn("inside", F.lit(False))
     else:
         inside = F.coalesce(F.col("root") == F.col("full"), F.lit(False))
-        index = index.join(full, ["part", "key"], "left").select("fp", "root", "part", "key", inside.alias("inside"))
+        index = index.join(full, "bucket", "left").select(*keep, inside.alias("inside"))
         places = F.when(F.col("full").isNull() | inside, F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
-        asks = asks.join(full, ["part", "key"], "left").select("fp", "root", "part", "key", F.explode(places).alias("inside"))
-    other = index.select(F.col("fp").alias("fp2"), F.col("root").alias("root2"), "part", "key", "inside")
-    # with halves of unequal size either order finds a pair; where a bucket is full only one may
-    pairs = asks.join(other, ["part", "key", "inside"]).where((F.col("root") != F.col("root2")) & near("fp", "fp2", bits))
-    pairs = verify(pairs.select(F.least("fp", "fp2").alias("a"), F.greatest("fp", "fp2").alias("b")).distinct())
+        asks = asks.join(full, "bucket", "left").select(*keep, F.explode(places).alias("inside"))
+    other = index.select("bucket", "inside", *[F.col(c).alias(f"{c}2") for c in ("node", "fp", *extra)])
+    # either order finds a pair of one band; where a bucket is full only one may
+    both = (F.col("root") != F.col("root2")) & near("fp", "fp2", bits)
+    if share is not None:
+        both = both & may_be_alike("sketch", "sketch2", share)
+    pairs = asks.join(other, ["bucket", "inside"]).where(both)
+    pairs = verify(pairs.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct())
     return components(stars.unionByName(pairs.select("a", "b")))
 
 
-def near_components(prints: DataFrame, bits: int = 4, verify=None) -> DataFrame:
-    """prints: doc_id, fp. Adds component_id, the smallest id reachable."""
-    prints = materialize(prints.select("doc_id", "fp"), "prints")
-    nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "nodes")
-    roots = links_of(nodes, bits, verify)
-    joined = nodes.join(roots, F.col("fp") == F.col("node"))
+def near_components(prints: DataFrame, bits: int = 4, verify=None, share: float | None = None) -> DataFrame:
+    """prints: doc_id, fp and, with a share, node, n, sketch. Adds component_id, the smallest id reachable."""
+    if share is None:
+        prints = materialize(prints.select("doc_id", "fp", F.col("fp").alias("node")), "prints")
+        nodes = prints.groupBy("node").agg(F.min("fp").alias("fp"), F.min("doc_id").alias("low")).withColumn("band", F.lit(0))
+    else:
+        # a little over 1 / share, so that rounding never puts similar sets two bands apart
+        band = F.floor(F.log(F.greatest("n", F.lit(1))) / F.lit(math.log(1.001 / share))).cast("int")
+        nodes = prints.groupBy("node").agg(F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("sketch").alias("sketch"), F.min("doc_id").alias("low")).withColumn("band", band)
+    nodes = materialize(nodes, "nodes")
+    roots = links_of(nodes, bits, verify, share)
+    joined = nodes.join(roots, "node")
     names = materialize(joined.groupBy("root").agg(F.min("low").alias("name")), "names")
-    linked = materialize(joined.select("fp", "root").join(names, "root").select("fp", "name"), "linked")
-    named = materialize(nodes.join(linked, "fp", "left").select("fp", F.coalesce("name", "low").alias("component_id")), "components")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    linked = materialize(joined.select("node", "root").join(names, "root").select("node", "name"), "linked")
+    named = materialize(nodes.join(linked, "node", "left").select("node", F.coalesce("name", "low").alias("component_id")), "components")
+    return prints.join(named, "node").select("doc_id", "fp", "component_id")
 
 
 def op6_generalised_pigeonhole(spark, sf_dir: str) -> DataFrame:
@@ -197,15 +275,53 @@ def op6_generalised_pigeonhole(spark, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def jaccard_verifier(docs: DataFrame, nodes_of: DataFrame, words: int = 5, share: float = 0.8):
-    """Keeps the fingerprint pairs whose texts' shingle sets have the similarity.
+def set_of(hashes: np.ndarray) -> np.ndarray:
+    return np.unique(hashes)
 
-    nodes_of: fp, low - the document that stands for a fingerprint.  Only the
-    texts of asked documents are hashed; their sets travel as sorted arrays.
+
+def name_of(found: np.ndarray, fp: int) -> int:
+    """The node of a shingle set and fingerprint, as a long."""
+    return signed(xxhash.xxh64_intdigest(found.tobytes() + fp.to_bytes(8, "little"), 7))
+
+
+def parity(found: np.ndarray) -> list[int]:
+    """Each member toggles one of 64 * SKETCH bits: sketches differ in at most as many bits as sets in members."""
+    odd = np.bincount((found % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").tolist()
+
+
+def described(docs: DataFrame, words: int = 5, text: str = "text") -> DataFrame:
+    """doc_id, fp, node, n (different shingles) and sketch: what links_of compares before it asks for texts."""
+    def made(batches):
+        for b in batches:
+            rows = []
+            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                hashes = shingle_hashes(t, words)
+                fp, found = fingerprint(hashes), set_of(hashes)
+                rows.append({"doc_id": i, "fp": signed(fp), "node": name_of(found, fp), "n": len(found), "sketch": {f"s{k}": x for k, x in enumerate(parity(found))} | {"n": len(found)}})
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    sketch = [(f"s{k}", pa.int64()) for k in range(SKETCH)] + [("n", pa.int64())]
+    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("sketch", pa.struct(sketch))])
+    return docs.select("doc_id", text).mapInArrow(made, "doc_id long, fp long, node long, n long, sketch struct<" + ", ".join(f"{k}: long" for k, _ in sketch) + ">")
+
+
+def jaccard_verifier(docs: DataFrame, prints: DataFrame, words: int = 5, share: float = 0.8):
+    """Keeps the node pairs whose shingle sets have the similarity.
+
+    prints: doc_id, node.  Only the texts of asked nodes are hashed, one document
+    for each; the sets travel as sorted arrays.  Nodes that only null ids have are
+    linked to nothing.
     """
     def sets(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([np.unique(shingle_hashes(t, words)).tobytes() for t in b.column(1).to_pylist()], pa.binary())], names=["fp", "set"])
+            rows = []
+            for node, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                hashes = shingle_hashes(t, words)
+                found = set_of(hashes)
+                if name_of(found, fingerprint(hashes)) == node:  # not another text of the same id
+                    rows.append({"node": node, "set": found.tobytes()})
+            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("node", pa.int64()), ("set", pa.binary())]))
 
     def alike(batches):
         for b in batches:
@@ -216,13 +332,15 @@ def jaccard_verifier(docs: DataFrame, nodes_of: DataFrame, words: int = 5, share
                 keep.append(both >= share * (len(x) + len(y) - both) - 1e-9)
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    low = materialize(prints.groupBy("node").agg(F.min("doc_id").alias("low")).where("low is not null"), "low")
+
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = materialize(pairs.select("a", "b"), "pairs")
-        asked = pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).distinct()
-        of = materialize(nodes_of.join(asked, "fp", "left_semi").select("fp", "low").where("low is not null"), "asked")
-        texts = docs.select("doc_id", "text").join(of, F.col("doc_id") == F.col("low")).select("fp", "text")
-        made = materialize(texts.mapInArrow(sets, "fp long, set binary").dropDuplicates(["fp"]), "sets")
-        one, two = (made.select(F.col("fp").alias(c), F.col("set").alias(s)) for c, s in (("a", "one"), ("b", "two")))
+        asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        of = materialize(low.join(asked, "node", "left_semi"), "asked")
+        texts = docs.select("doc_id", "text").join(of, F.col("doc_id") == F.col("low")).select("node", "text")
+        made = materialize(texts.mapInArrow(sets, "node long, set binary").dropDuplicates(["node"]), "sets")
+        one, two = (made.select(F.col("node").alias(c), F.col("set").alias(s)) for c, s in (("a", "one"), ("b", "two")))
         return pairs.join(one, "a").join(two, "b").select("a", "b", "one", "two").mapInArrow(alike, "a long, b long")
 
     return verify
@@ -231,11 +349,11 @@ def jaccard_verifier(docs: DataFrame, nodes_of: DataFrame, words: int = 5, share
 def drop_near_copies(docs: DataFrame, words: int = 5, share: float = 0.8, bits: int = 10) -> DataFrame:
     """docs without the near copies of a document with a smaller id, in any number of steps.
 
-    Candidates are within `bits` of the fingerprint; the texts' Jaccard
-    similarity decides.  Rows that share an id stay or go together.
+    Candidates are within `bits` of the fingerprint and of a size that the share
+    allows; the texts' Jaccard similarity decides.  Rows that share an id stay or
+    go together.
     """
-    prints = materialize(fingerprints(docs, words), "prints")
-    nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "nodes")
-    found = near_components(prints, bits, jaccard_verifier(docs, nodes, words, share))
+    prints = materialize(described(docs, words), "prints")
+    found = near_components(prints, bits, jaccard_verifier(docs, prints, words, share), share)
     gone = materialize(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
     return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")

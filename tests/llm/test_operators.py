@@ -143,6 +143,34 @@ def test_components_against_all_pairs(spark):
         assert got == {i: find(i) for i in range(len(prints))}
 
 
+def test_crowd_of_near_copies_against_all_pairs(spark):
+    rng = random.Random(11)
+    base = [f"w{rng.randint(0, 999)}" for _ in range(120)]
+    texts = []
+    for k in range(170):
+        words = list(base)
+        for _ in range(rng.choice([0, 1, 1, 2, 3, 5, 8])):
+            words[rng.randrange(len(words))] = f"x{rng.randint(0, 999)}"
+        texts.append(" ".join(words[: rng.choice([120, 120, 115, 100])]))
+    texts += [" ".join(f"u{rng.randint(0, 99)}" for _ in range(rng.randint(0, 60))) for _ in range(60)] + ["same line " * 40 + "a b c d e f", "same line " * 40 + "g h i j k l"]
+    hashes = [op6_simhash.shingle_hashes(t, 5) for t in texts]
+    prints, sets = [op6_simhash.fingerprint(h) for h in hashes], [set(h.tolist()) for h in hashes]
+    parent = list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        if texts[i] == texts[j] or (prints[i] ^ prints[j]).bit_count() <= 10 and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9:
+            a, b = sorted((find(i), find(j)))
+            parent[b] = a
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"] for r in op6_simhash.drop_near_copies(docs).select("doc_id").collect()}
+    assert got == {find(i) for i in range(len(texts))}
+
+
 def test_near_copies_and_odd_rows(spark, odd):
     got = {r["doc_id"] for r in op6_simhash.drop_near_copies(odd).select("doc_id").collect()}
     assert {3, 4, 6, 7} <= got and 8 not in got
