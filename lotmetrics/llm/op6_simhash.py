@@ -143,21 +143,20 @@ def probes(nodes: DataFrame, parts: list, side: int, extra: tuple[str, ...] = ()
     """node, fp and bucket: a row for each flip of up to half the threshold, the larger half on side 0.
 
     A bucket is the hash of partition, value and band; side 0 also asks in the
-    `reach` bands below its own.  Where hashes clash there are more candidates.
+    `reach` bands below its own (own tells which).  Where hashes clash there are more
+    candidates.
     """
-    def flipped(i: int, base, flips: list[int]):
-        return F.transform(F.array(*[F.lit(f).cast("long") for f in flips]), lambda f: F.struct(F.lit(i).alias("part"), base.bitwiseXOR(f).alias("key")))
-
-    every = []
+    flips = []
     for i, (mask, t, own) in enumerate(parts):
         radius = t - t // 2 if side == 0 else t // 2
-        flips = [signed(sum(1 << b for b in c)) for r in range(radius + 1) for c in itertools.combinations(own, r)]
-        base = F.col("fp").bitwiseAND(F.lit(signed(mask)))
-        every.append(flipped(i, base, flips))
+        flips += [(i, signed(mask), signed(sum(1 << b for b in c))) for r in range(radius + 1) for c in itertools.combinations(own, r)]
+    every = F.array(*[F.struct(F.lit(i).alias("part"), F.lit(m).cast("long").alias("mask"), F.lit(f).cast("long").alias("flip")) for i, m, f in flips])
+    nodes = nodes.withColumn("own", F.lit(True))
     if side == 0 and reach:
-        nodes = nodes.withColumn("band", F.explode(F.sequence(F.col("band") - reach, F.col("band"))))
-    rows = nodes.select("node", "fp", *extra, "band", F.explode(F.concat(*every)).alias("x"))
-    return rows.select("node", "fp", *extra, F.xxhash64("x.part", "x.key", "band").alias("bucket"))
+        nodes = nodes.withColumn("down", F.explode(F.sequence(F.lit(0), F.lit(reach)))).withColumn("band", F.col("band") - F.col("down")).withColumn("own", F.col("down") == 0)
+    rows = nodes.select("node", "fp", *extra, "band", "own", F.explode(every).alias("x"))
+    key = F.col("fp").bitwiseAND(F.col("x.mask")).bitwiseXOR(F.col("x.flip"))
+    return rows.select("node", "fp", *extra, *(["own"] if side == 0 else []), F.xxhash64("x.part", key, "band").alias("bucket"))
 
 
 def near(a: str, b: str, bits: int):
@@ -241,10 +240,10 @@ def links_of(nodes: DataFrame, bits: int, verify=None, share: float | None = Non
         inside = F.coalesce(F.col("root") == F.col("full"), F.lit(False))
         index = index.join(full, "bucket", "left").select(*keep, inside.alias("inside"))
         places = F.when(F.col("full").isNull() | inside, F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
-        asks = asks.join(full, "bucket", "left").select(*keep, F.explode(places).alias("inside"))
+        asks = asks.join(full, "bucket", "left").select(*keep, "own", F.explode(places).alias("inside"))
     other = index.select("bucket", "inside", *[F.col(c).alias(f"{c}2") for c in ("node", "fp", *extra)])
-    # either order finds a pair of one band; where a bucket is full only one may
-    both = (F.col("root") != F.col("root2")) & near("fp", "fp2", bits)
+    # either order finds a pair of one band, so the smaller node asks
+    both = (F.col("root") != F.col("root2")) & near("fp", "fp2", bits) & (~F.col("own") | (F.col("node") < F.col("node2")))
     if share is not None:
         both = both & may_be_alike("sketch", "sketch2", share)
     pairs = asks.join(other, ["bucket", "inside"]).where(both)
