@@ -36,3 +36,40 @@ def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Kilometres between two points in degrees."""
     a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
     return 2 * 6371.0 * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
+
+
+#: Transfer tax of 2026 on homes (own, second): limit, rate, amount to deduct (none: the rate holds for the whole price).
+TRANSFER_TAX = {
+    "own": [(106346, 0, 0), (145470, 0.02, 2126.92), (198347, 0.05, 6491.02), (330539, 0.07, 10457.96), (660982, 0.08, 13763.35), (1150853, 0.06, None), (None, 0.075, None)],
+    "second": [(106346, 0.01, 0), (145470, 0.02, 1063.46), (198347, 0.05, 5427.56), (330539, 0.07, 9394.50), (633931, 0.08, 12699.89), (1150853, 0.06, None), (None, 0.075, None)],
+}
+#: Limits of the relief for the young, stamp duty on purchase and loan.
+YOUNG_LIMITS, STAMP_PURCHASE, STAMP_LOAN = (330539, 660982), 0.008, 0.006
+
+
+def transfer_tax(price: Column, use: str = "own", young: bool = False) -> Column:
+    """The bracket of the price; the young pay 8 % beyond the first limit up to the second one on an own home."""
+    table, tax = TRANSFER_TAX[use], None
+    for limit, rate, off in reversed(table):
+        part = price * rate if off is None else F.greatest(price * rate - F.lit(float(off)), F.lit(0.0))
+        tax = part if tax is None else F.when(price <= limit, part).otherwise(tax)
+    if young and use == "own":
+        tax = F.when(price <= YOUNG_LIMITS[1], 0.08 * F.greatest(price - YOUNG_LIMITS[0], F.lit(0.0))).otherwise(tax)
+    return F.when(price.isNotNull(), tax.cast("double"))
+
+
+def purchase_taxes(price: Column, loan: Column, use: str = "own", young: bool = False) -> Column:
+    """struct<transfer, stamp, loan_stamp, total>."""
+    stamp = STAMP_PURCHASE * price
+    if young and use == "own":
+        stamp = F.when(price <= YOUNG_LIMITS[1], STAMP_PURCHASE * F.greatest(price - YOUNG_LIMITS[0], F.lit(0.0))).otherwise(stamp)
+    transfer, of_loan = transfer_tax(price, use, young), STAMP_LOAN * F.greatest(loan, F.lit(0.0))
+    return F.struct(transfer.alias("transfer"), stamp.alias("stamp"), of_loan.alias("loan_stamp"), (transfer + stamp + of_loan).alias("total"))
+
+
+def total_return(first: Column, last: Column, deflator_first: Column, deflator_last: Column, gross_yield: Column, years: int = 5, costs: float = 0.25) -> Column:
+    """struct<price_real, inflation, yield_net, total>: real price growth a year plus the yield after costs."""
+    rise = F.try_divide(deflator_last, deflator_first)
+    real = F.pow(F.try_divide(F.try_divide(last, first), rise), F.lit(1 / years)) - 1
+    net = gross_yield * (1 - costs)
+    return F.struct(real.alias("price_real"), (F.pow(rise, F.lit(1 / years)) - 1).alias("inflation"), net.alias("yield_net"), (real + net).alias("total"))

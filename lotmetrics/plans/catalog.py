@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import finance, keys
+from ..operators import models, spatial
 from ..operators import panel as P
 from .panels import D, M, Q, deflator, months, quarters, table
 
@@ -227,3 +228,83 @@ def country_compare(spark, sf_dir):
     rows = quarters(spark, sf_dir).join(regions, "place").groupBy(F.col("region").alias("place"), "idx").agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("value"))
     base = F.first("value").over(P.ordered())
     return rows.select("place", "idx", r(100 * F.try_divide("value", base)).alias("level"), r(P.drawdown()).alias("below_peak"), F.rank().over(P.W.partitionBy("idx").orderBy(F.desc("value"))).cast("long").alias("position"))
+
+
+BRACKETS = {use: "case " + " ".join(f"when p <= {limit} then greatest(p * {rate} - {off}, 0)" if off is not None else (f"when p <= {limit} then p * {rate}" if limit else f"else p * {rate}") for limit, rate, off in finance.TRANSFER_TAX[use]) + " end" for use in finance.TRANSFER_TAX}
+
+
+@query(f"""with x as (select c_custkey id, (c_acctbal * 120)::double p from customer where c_acctbal > 0)
+select id, round({BRACKETS["own"]}, 4) own, round({BRACKETS["second"]}, 4) as second, round(case when p <= 330539 then 0 when p <= 660982 then 0.08 * (p - 330539) else {BRACKETS["own"]} end, 4) young,
+round({BRACKETS["own"]} + 0.008 * p + 0.006 * 0.9 * p, 4) total from x""")
+def purchase_tax(spark, sf_dir):
+    p = (F.col("c_acctbal") * 120).cast("double")
+    rows = table(spark, sf_dir, "customer").where("c_acctbal > 0")
+    taxes = [finance.transfer_tax(p), finance.transfer_tax(p, "second"), finance.transfer_tax(p, "own", True), finance.purchase_taxes(p, 0.9 * p)["total"]]
+    return rows.select(F.col("c_custkey").alias("id"), *[r(t, 4).alias(n) for t, n in zip(taxes, ("own", "second", "young", "total"), strict=True)])
+
+
+@query("""with p as (select s_suppkey id, ((s_suppkey * 7919) % 5000) / 100.0 x, ((s_suppkey * 104729) % 5000) / 100.0 + 0.0031 y from supplier),
+g as (select n_nationkey::bigint polygon, (n_nationkey % 5) * 10.0 cx, (n_nationkey // 5) * 10.0 cy from nation)
+select id, polygon from p join g on abs(x - cx) + abs(y - cy) < 6""")
+def points_in_places(spark, sf_dir):
+    k = F.col("s_suppkey")
+    points = table(spark, sf_dir, "supplier").select(k.alias("id"), (F.pmod(k * 7919, F.lit(5000)) / 100.0).alias("x"), (F.pmod(k * 104729, F.lit(5000)) / 100.0 + 0.0031).alias("y"))
+    cx, cy = (F.col("n_nationkey") % 5) * 10.0, F.floor(F.col("n_nationkey") / 5) * 10.0
+    ring = F.array(*[F.array(cx + a, cy + b) for a, b in ((6.0, 0.0), (0.0, 6.0), (-6.0, 0.0), (0.0, -6.0))])
+    places = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("polygon"), F.array(ring).alias("rings"))
+    return spatial.points_in_polygons(points, places, 5.0).select("id", "polygon")
+
+
+@query(f"""with {Q}, d as (select place, ln(value) - lag(ln(value)) over w d, row_number() over (partition by place order by idx desc) k from q window w as (partition by place order by idx)),
+m as (select place, median(d) filter (where k <= 12) m from d group by 1), a as (select d.place, 1.4826 * median(abs(d - m)) filter (where k <= 12) mad from d join m on m.place = d.place group by 1),
+g as (select quantile_cont(mad, 0.1) low, median(mad) mid from a where mad > 0)
+select place, round(case when mad is null then coalesce(mid, 0.02) else greatest(mad, coalesce(low, 0.01), 0.001) end, 8) sigma from a, g""")
+def volatility_scale(spark, sf_dir):
+    return models.robust_sigma(quarters(spark, sf_dir).withColumn("value", F.ln("value"))).select("place", r("sigma", 8).alias("sigma"))
+
+
+def forecast_rows(spark, sf_dir):
+    """Rows (place, origin, h) with the features known at the origin and the log price change h quarters on."""
+    q = quarters(spark, sf_dir).withColumns({"value": F.ln("value"), "n": F.ln("n")})
+    for name, of, lag in (("s1", "value", 1), ("s4", "value", 4), ("n4", "n", 4)):
+        q = P.lagged(q, lag, name, of)
+    q = q.withColumns({"mom1": F.col("value") - F.col("s1"), "mom4": F.col("value") - F.col("s4"), "vol4": F.col("n") - F.col("n4")})
+    later = [P.lagged(q, -h, "then").select("place", F.col("idx").alias("origin"), F.lit(h).alias("h"), "mom1", "mom4", "vol4", "value", (F.col("then") - F.col("value")).alias("y")) for h in (1, 2, 4)]
+    return later[0].unionByName(later[1]).unionByName(later[2])
+
+
+FEATURES = ["mom1", "mom4", "vol4"]
+
+
+@query(None)
+def ridge_forecast(spark, sf_dir):
+    """Predictions at every origin by the model of what was known then, with the error bounds at the last one."""
+    sigma = models.robust_sigma(quarters(spark, sf_dir).withColumn("value", F.ln("value")))
+    rows = forecast_rows(spark, sf_dir).join(sigma, "place").withColumn("w", F.pow("sigma", F.lit(-2.0)))
+    done = models.backtest(rows, FEATURES, "y", F.col("w"), 0.05, 30).select("place", "origin", "h", "value", "y", "pred", "sigma")
+    now = done.where(F.col("origin") == done.agg(F.max("origin")).scalar())
+    return models.intervals(done, now).select("place", "origin", "h", r("pred").alias("pred"), *[r(F.exp(F.col("value") + F.col("pred") + F.col(k)), 4).alias(k) for k in models.LEVELS])
+
+
+@query(None)
+def forecast_metrics(spark, sf_dir):
+    """Error of the model and of no change and drift, by horizon, on the same rows."""
+    done = models.backtest(forecast_rows(spark, sf_dir), FEATURES, "y", None, 0.05, 30).where("y is not null and pred is not null")
+    off = {"model": F.abs(F.col("pred") - F.col("y")), "same": F.abs("y"), "drift": F.abs(F.col("mom4") * F.col("h") / 4 - F.col("y"))}
+    means = done.groupBy("h").agg(F.count("*").alias("n"), *[F.avg(c).alias(f"mae_{k}") for k, c in off.items()], F.avg(F.col("pred") - F.col("y")).alias("bias"), F.expr("percentile(abs(pred - y), 0.5)").alias("median_error"))
+    skill = 1 - F.try_divide(F.col("mae_model"), F.least("mae_same", "mae_drift"))
+    return means.select("h", "n", *[r(c).alias(c) for c in ("mae_model", "mae_same", "mae_drift", "bias", "median_error")], r(skill).alias("skill"))
+
+
+@query(None)
+def fair_value(spark, sf_dir):
+    """Order price against its out-of-fold estimate: ridge in ten folds by key."""
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(F.sum("l_quantity").alias("quantity"), F.count("*").alias("lines"), F.avg("l_discount").alias("discount"))
+    rows = table(spark, sf_dir, "orders").where("o_totalprice > 0").select(F.col("o_orderkey").alias("id"), F.ln("o_totalprice").alias("y")).join(lines, "id").withColumn("quantity", F.ln("quantity"))
+    out = models.out_of_fold(rows.withColumn("fold", F.pmod(F.xxhash64("id"), F.lit(10))), ["quantity", "lines", "discount"], "y", "fold")
+    return out.select("id", r("pred").alias("pred"), r(F.exp(F.col("y") - F.col("pred")) - 1).alias("gap"))
+
+
+@query(None)
+def regimes(spark, sf_dir):
+    return models.regimes(quarters(spark, sf_dir)).withColumn("growth", r("growth"))
