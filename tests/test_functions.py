@@ -55,3 +55,9 @@ def test_bounded_asof(spark):
     left = spark.createDataFrame([(1, 5), (1, 9)], "place int, idx int")
     right = spark.createDataFrame([(1, 4, 1.0), (1, 6, None)], "place int, idx int, v double")
     assert [r["x"] for r in P.asof(left, right, "v", "x", 2).orderBy("idx").collect()] == [1.0, None]
+
+
+def test_total_return(spark):
+    got = one(spark, finance.total_return(F.lit(100.0), F.lit(121.0), F.lit(1.0), F.lit(1.1), F.lit(0.08), 1))
+    assert abs(got["price_real"] - 0.1) < 1e-12 and abs(got["inflation"] - 0.1) < 1e-12 and abs(got["total"] - 0.16) < 1e-12
+    assert one(spark, finance.total_return(F.lit(0.0), F.lit(1.0), F.lit(1.0), F.lit(1.0), F.lit(0.08)))["total"] is None
