@@ -16,9 +16,12 @@ with the middle one of the crowd.  Pairs inside a component are not formed: in a
 bucket that one component fills, only the other members meet it.  So a large group
 of near copies costs about its own size.
 
-Where a similarity of texts is asked for, only sets of neighbouring sizes meet,
-and members of crowds also meet only where parity sketches of 256 bits allow the
-similarity.  Both rule out no pair that has it.
+Where a similarity of texts is asked for, fingerprints only find the first links.
+All other pairs meet by their sets' prefixes: in one order of all shingles, two
+sets of the similarity share one of the first n - ceil(share * n) + 1 of their n
+members.  Shingles that are common in a sample come last in that order.  Pairs
+whose sizes or number of shared prefix members rule the similarity out are not
+compared; no pair that has it is lost, however far its fingerprints are apart.
 
 Null texts are empty; texts without words have fingerprint 0 and link like any
 other.  Rows of equal ids have their own fingerprints and ids count once in a
@@ -33,14 +36,13 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import materialize, table
 from .graph import components
 
 MASK = (1 << 64) - 1
-#: Longs of a parity sketch.
-SKETCH = 4
 
 
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
@@ -139,38 +141,38 @@ def plan(sample: np.ndarray, n: int, pairs: float, asks: int, bits: int) -> list
     return best[1]
 
 
-def probes(nodes: DataFrame, parts: list, side: int, extra: tuple[str, ...] = (), reach: int = 0) -> DataFrame:
+def probes(nodes: DataFrame, parts: list, side: int, extra: tuple[str, ...] = ()) -> DataFrame:
     """node, fp and bucket: a row for each flip of up to half the threshold, the larger half on side 0.
 
-    A bucket is the hash of partition, value and band; side 0 also asks in the
-    `reach` bands below its own (own tells which).  Where hashes clash there are more
-    candidates.
+    A bucket is the hash of partition, value and band.  Where hashes clash there are
+    more candidates.
     """
     flips = []
     for i, (mask, t, own) in enumerate(parts):
         radius = t - t // 2 if side == 0 else t // 2
         flips += [(i, signed(mask), signed(sum(1 << b for b in c))) for r in range(radius + 1) for c in itertools.combinations(own, r)]
     every = F.array(*[F.struct(F.lit(i).alias("part"), F.lit(m).cast("long").alias("mask"), F.lit(f).cast("long").alias("flip")) for i, m, f in flips])
-    nodes = nodes.withColumn("own", F.lit(True))
-    if side == 0 and reach:
-        nodes = nodes.withColumn("down", F.explode(F.sequence(F.lit(0), F.lit(reach)))).withColumn("band", F.col("band") - F.col("down")).withColumn("own", F.col("down") == 0)
-    rows = nodes.select("node", "fp", *extra, "band", "own", F.explode(every).alias("x"))
+    rows = nodes.select("node", "fp", *extra, "band", F.explode(every).alias("x"))
     key = F.col("fp").bitwiseAND(F.col("x.mask")).bitwiseXOR(F.col("x.flip"))
-    return rows.select("node", "fp", *extra, *(["own"] if side == 0 else []), F.xxhash64("x.part", key, "band").alias("bucket"))
+    return rows.select("node", "fp", *extra, F.xxhash64("x.part", key, "band").alias("bucket"))
+
+
+def prefix_rows(known: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """node, n, root and bucket: a row for each member of a node's prefix that nodes of another root have in theirs."""
+    one = prefixes.join(known, "node").where(F.col("doc_id") == F.col("low"))
+    rows = one.select("node", "n", "root", F.explode("prefix").alias("bucket"))
+    roots = W.partitionBy("bucket")
+    rows = rows.withColumns({"least": F.min("root").over(roots), "most": F.max("root").over(roots)})
+    return rows.where(F.col("least") < F.col("most")).select("node", "n", "root", "bucket").distinct()
 
 
 def near(a: str, b: str, bits: int):
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= bits
 
 
-def may_be_alike(a: str, b: str, share: float):
-    """False only for sets that cannot have the similarity: their parity sketches differ in more bits than they may in members.
-
-    True where either has no sketch.
-    """
-    apart = sum((F.bit_count(F.col(f"{a}.s{k}").bitwiseXOR(F.col(f"{b}.s{k}"))) for k in range(SKETCH)), F.lit(0))
-    most = (F.col(f"{a}.n") + F.col(f"{b}.n")) * F.lit((1 - share) / (1 + share)) + F.lit(1e-6)
-    return F.coalesce(apart <= most, F.lit(True))
+def least_shared(n, share: float):
+    """The members that a set of n shares with a set of the similarity at least."""
+    return F.ceil(n * F.lit(share) - F.lit(1e-6))
 
 
 def hubs(at: DataFrame, hot: int) -> DataFrame:
@@ -185,11 +187,13 @@ def hubs(at: DataFrame, hot: int) -> DataFrame:
     return materialize(best.select("x.node", "x.fp").distinct(), "hubs")
 
 
-def links_of(nodes: DataFrame, bits: int, verify=None, share: float | None = None, sample: int = 1024, hot: int = 64) -> DataFrame:
+def links_of(nodes: DataFrame, bits: int, verify=None, share: float | None = None, prefixes: DataFrame | None = None, sample: int = 1024, hot: int = 64) -> DataFrame:
     """Roots (node, root) of the nodes that have a link.
 
-    nodes: node (unique), fp, band and, with a share, sketch.  Only nodes of
-    neighbouring bands are compared where share is given, else all (band 0).
+    nodes: node (unique), fp, band (0 without a share) and, with a share, n and low.
+    With a share, pairs within `bits` in neighbouring bands are only the first links
+    and prefixes (node, doc_id, prefix) find the rest; without, all pairs within
+    `bits` link.
     verify: pairs (a, b) of nodes to those that count, by default all of them.
     """
     verify = verify or (lambda pairs: pairs)
@@ -206,33 +210,29 @@ def links_of(nodes: DataFrame, bits: int, verify=None, share: float | None = Non
     stars = at.join(low, "bucket").where((F.col("node") != F.col("low.node")) & near("fp", "low.fp", bits)).select(F.col("low.node").alias("a"), F.col("node").alias("b"))
     # in crowded places all members to the middle one
     middle = hubs(at, hot)
-    crowd = None
     if not middle.isEmpty():
         middle = nodes.join(middle.select("node"), "node", "left_semi")
         around = probes(nodes, parts, 1, ("band",)).select(F.col("node").alias("b"), F.col("fp").alias("fp2"), "bucket")
         asked = middle.withColumn("band", F.explode(F.sequence(F.col("band") - reach, F.col("band") + reach)))
         to = probes(asked, parts, 0).join(around, "bucket").where((F.col("node") != F.col("b")) & near("fp", "fp2", bits)).select(F.col("node").alias("a"), "b")
-        to = materialize(to.distinct(), "spokes")
-        stars = stars.unionByName(to)
-        wide = to.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") >= hot).select("a")
-        near_wide = to.join(wide, "a").select(F.col("b").alias("node")).unionByName(wide.select(F.col("a").alias("node")))
-        crowd = materialize(near_wide.distinct(), "crowded")
+        stars = stars.unionByName(materialize(to.distinct(), "spokes"))
     stars = materialize(verify(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()), "stars")
     first = components(stars)
     known = nodes.join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    if share is not None:
-        if crowd is None:
-            known = known.withColumn("sketch", F.when(F.lit(False), F.col("sketch")))
-        else:
-            known = known.join(crowd.select("node", F.lit(True).alias("crowded")), "node", "left").withColumn("sketch", F.when(F.col("crowded"), F.col("sketch")))
-    extra = ("root",) if share is None else ("root", "sketch")
-    known = materialize(known.select("node", "fp", "band", *extra), "first")
+    if share is None:
+        extra = ("fp", "root")
+        known = materialize(known.select("node", "band", *extra), "first")
+        index, asks = probes(known, parts, 1, ("root",)), probes(known, parts, 0, ("root",))
+    else:
+        extra = ("n", "root")
+        known = materialize(known.select("node", "low", *extra), "first")
+        index = asks = materialize(prefix_rows(known, prefixes), "members")
     # the component that fills a bucket, if one does
-    index, asks = probes(known, parts, 1, extra), probes(known, parts, 0, extra, reach)
     large = materialize(first.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") >= hot).select("root"), "large")
-    keep, full = ("node", "fp", *extra, "bucket"), None
+    keep, full = ("node", *extra, "bucket"), None
     if not large.isEmpty():
-        per = probes(known.join(large, "root", "left_semi"), parts, 1, ("root",)).groupBy("bucket", "root").agg(F.count("*").alias("n"))
+        members = probes(known.join(large, "root", "left_semi"), parts, 1, ("root",)) if share is None else index.join(large, "root", "left_semi")
+        per = members.groupBy("bucket", "root").agg(F.count("*").alias("n"))
         full = materialize(per.groupBy("bucket").agg(F.max_by("root", "n").alias("full"), F.max("n").alias("n")).where(F.col("n") >= hot).drop("n"), "full")
     if full is None or full.isEmpty():
         index, asks = index.withColumn("inside", F.lit(False)), asks.withColumn("inside", F.lit(False))
@@ -240,28 +240,34 @@ def links_of(nodes: DataFrame, bits: int, verify=None, share: float | None = Non
         inside = F.coalesce(F.col("root") == F.col("full"), F.lit(False))
         index = index.join(full, "bucket", "left").select(*keep, inside.alias("inside"))
         places = F.when(F.col("full").isNull() | inside, F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
-        asks = asks.join(full, "bucket", "left").select(*keep, "own", F.explode(places).alias("inside"))
-    other = index.select("bucket", "inside", *[F.col(c).alias(f"{c}2") for c in ("node", "fp", *extra)])
-    # either order finds a pair of one band, so the smaller node asks
-    both = (F.col("root") != F.col("root2")) & near("fp", "fp2", bits) & (~F.col("own") | (F.col("node") < F.col("node2")))
-    if share is not None:
-        both = both & may_be_alike("sketch", "sketch2", share)
-    pairs = asks.join(other, ["bucket", "inside"]).where(both)
-    pairs = verify(pairs.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct())
+        asks = asks.join(full, "bucket", "left").select(*keep, F.explode(places).alias("inside"))
+    other = index.select("bucket", "inside", *[F.col(c).alias(f"{c}2") for c in ("node", *extra)])
+    # either order finds a pair, so the smaller node asks
+    both = (F.col("root") != F.col("root2")) & (F.col("node") < F.col("node2"))
+    if share is None:
+        pairs = asks.join(other, ["bucket", "inside"]).where(both & near("fp", "fp2", bits)).select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
+    else:
+        sizes = F.least("n", "n2") >= F.greatest("n", "n2") * F.lit(share) - F.lit(1e-6)
+        met = asks.join(other, ["bucket", "inside"]).where(both & sizes)
+        met = met.groupBy(F.col("node").alias("a"), F.col("node2").alias("b")).agg(F.count("*").alias("c"), F.min("n").alias("n"), F.min("n2").alias("n2"))
+        # up to the end of the prefix that ends first all shared members are counted; the rest of its set may be shared
+        most = F.col("c") + F.greatest(least_shared(F.col("n"), share), least_shared(F.col("n2"), share)) - 1
+        pairs = met.where(most >= (F.col("n") + F.col("n2")) * F.lit(share / (1 + share)) - F.lit(1e-6))
+    pairs = verify(pairs.select("a", "b"))
     return components(stars.unionByName(pairs.select("a", "b")))
 
 
 def near_components(prints: DataFrame, bits: int = 4, verify=None, share: float | None = None) -> DataFrame:
-    """prints: doc_id, fp and, with a share, node, n, sketch. Adds component_id, the smallest id reachable."""
+    """prints: doc_id, fp and, with a share, node, n, prefix. Adds component_id, the smallest id reachable."""
     if share is None:
         prints = materialize(prints.select("doc_id", "fp", F.col("fp").alias("node")), "prints")
         nodes = prints.groupBy("node").agg(F.min("fp").alias("fp"), F.min("doc_id").alias("low")).withColumn("band", F.lit(0))
     else:
         # a little over 1 / share, so that rounding never puts similar sets two bands apart
         band = F.floor(F.log(F.greatest("n", F.lit(1))) / F.lit(math.log(1.001 / share))).cast("int")
-        nodes = prints.groupBy("node").agg(F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("sketch").alias("sketch"), F.min("doc_id").alias("low")).withColumn("band", band)
+        nodes = prints.groupBy("node").agg(F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("doc_id").alias("low")).withColumn("band", band)
     nodes = materialize(nodes, "nodes")
-    roots = links_of(nodes, bits, verify, share)
+    roots = links_of(nodes, bits, verify, share, None if share is None else prints.select("node", "doc_id", "prefix"))
     joined = nodes.join(roots, "node")
     names = materialize(joined.groupBy("root").agg(F.min("low").alias("name")), "names")
     linked = materialize(joined.select("node", "root").join(names, "root").select("node", "name"), "linked")
@@ -274,6 +280,11 @@ def op6_generalised_pigeonhole(spark, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def slices(batches, rows: int = 512):
+    """The batches in slices, so that what Python holds at once stays small."""
+    return (b.slice(i, rows) for b in batches for i in range(0, b.num_rows, rows))
+
+
 def set_of(hashes: np.ndarray) -> np.ndarray:
     return np.unique(hashes)
 
@@ -283,26 +294,43 @@ def name_of(found: np.ndarray, fp: int) -> int:
     return signed(xxhash.xxh64_intdigest(found.tobytes() + fp.to_bytes(8, "little"), 7))
 
 
-def parity(found: np.ndarray) -> list[int]:
-    """Each member toggles one of 64 * SKETCH bits: sketches differ in at most as many bits as sets in members."""
-    odd = np.bincount((found % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").tolist()
+def common_shingles(docs: DataFrame, words: int = 5, text: str = "text", sample: int = 16_384, least: int = 3, most: int = 1 << 16) -> np.ndarray:
+    """Ascending hashes of the shingles that `least` of about `sample` different texts hold (the `most` most frequent ones)."""
+    def made(batches):
+        for b in slices(batches):
+            sets = [set_of(shingle_hashes(t, words)) for t in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, dtype=np.uint64), *sets]).view(np.int64))], names=["h"])
+
+    drawn = F.pmod(F.xxhash64("doc_id", text), F.lit(1 << 20)) < F.lit(math.ceil(sample / max(docs.count(), 1) * (1 << 20)))
+    held = docs.where(drawn).select(text).distinct().mapInArrow(made, "h long").groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    return np.array(sorted(r["h"] & MASK for r in held.orderBy(F.desc("n")).limit(most).collect()), dtype=np.uint64)
+
+
+def prefix_of(found: np.ndarray, share: float, common: np.ndarray) -> np.ndarray:
+    """The first members of a set in the order of hashes with the common ones last: sets of the similarity share one at least."""
+    if len(common):
+        late = common[np.minimum(np.searchsorted(common, found), len(common) - 1)] == found
+        found = np.concatenate([found[~late], found[late]])
+    return found[: len(found) - math.ceil(share * len(found) - 1e-6) + 1]
 
 
-def described(docs: DataFrame, words: int = 5, text: str = "text") -> DataFrame:
-    """doc_id, fp, node, n (different shingles) and sketch: what links_of compares before it asks for texts."""
+def described(docs: DataFrame, words: int = 5, share: float = 0.8, text: str = "text") -> DataFrame:
+    """doc_id, fp, node, n (different shingles) and prefix: what links_of compares before it asks for texts."""
+    common = common_shingles(docs, words, text)
+
     def made(batches):
-        for b in batches:
-            rows = []
-            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+        for b in slices(batches):
+            prints, nodes, sizes, prefixes = [], [], [], []
+            for t in b.column(1).to_pylist():
                 hashes = shingle_hashes(t, words)
                 fp, found = fingerprint(hashes), set_of(hashes)
-                rows.append({"doc_id": i, "fp": signed(fp), "node": name_of(found, fp), "n": len(found), "sketch": {f"s{k}": x for k, x in enumerate(parity(found))} | {"n": len(found)}})
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                prints.append(signed(fp))
+                nodes.append(name_of(found, fp))
+                sizes.append(len(found))
+                prefixes.append(prefix_of(found, share, common).view(np.int64))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))], names=["doc_id", "fp", "node", "n", "prefix"])
 
-    sketch = [(f"s{k}", pa.int64()) for k in range(SKETCH)] + [("n", pa.int64())]
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("sketch", pa.struct(sketch))])
-    return docs.select("doc_id", text).mapInArrow(made, "doc_id long, fp long, node long, n long, sketch struct<" + ", ".join(f"{k}: long" for k, _ in sketch) + ">")
+    return docs.select("doc_id", text).mapInArrow(made, "doc_id long, fp long, node long, n long, prefix array<long>")
 
 
 def jaccard_verifier(docs: DataFrame, prints: DataFrame, words: int = 5, share: float = 0.8):
@@ -323,7 +351,7 @@ def jaccard_verifier(docs: DataFrame, prints: DataFrame, words: int = 5, share:
             yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("node", pa.int64()), ("set", pa.binary())]))
 
     def alike(batches):
-        for b in batches:
+        for b in slices(batches):
             keep = []
             for x, y in zip(b.column("one").to_pylist(), b.column("two").to_pylist(), strict=True):
                 x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
@@ -348,11 +376,10 @@ def jaccard_verifier(docs: DataFrame, prints: DataFrame, words: int = 5, share:
 def drop_near_copies(docs: DataFrame, words: int = 5, share: float = 0.8, bits: int = 10) -> DataFrame:
     """docs without the near copies of a document with a smaller id, in any number of steps.
 
-    Candidates are within `bits` of the fingerprint and of a size that the share
-    allows; the texts' Jaccard similarity decides.  Rows that share an id stay or
-    go together.
+    All pairs of the Jaccard similarity count; `bits` only tells which ones the
+    fingerprints find first.  Rows that share an id stay or go together.
     """
-    prints = materialize(described(docs, words), "prints")
+    prints = materialize(described(docs, words, share), "prints")
     found = near_components(prints, bits, jaccard_verifier(docs, prints, words, share), share)
     gone = materialize(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
     return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")

@@ -171,6 +171,34 @@ def test_crowd_of_near_copies_against_all_pairs(spark):
     assert got == {find(i) for i in range(len(texts))}
 
 
+def test_near_copies_with_far_fingerprints(spark):
+    rng = random.Random(23)
+    texts = []
+    for k in range(120):
+        words = [f"w{rng.randint(0, 999)}" for _ in range(rng.choice([6, 12, 30, 60, 200]))]
+        texts += [" ".join(words), " ".join(words[: len(words) * 4 // 5 + rng.randint(0, 3)]), " ".join([*words, *(f"y{rng.randint(0, 999)}" for _ in range(len(words) // rng.choice([5, 6, 8])))])]
+        texts.append(" ".join([*(f"z{rng.randint(0, 999)}" for _ in range(30)), "a very common line that stands in many of the texts"]))
+    rng.shuffle(texts)
+    hashes = [op6_simhash.shingle_hashes(t, 5) for t in texts]
+    prints, sets = [op6_simhash.fingerprint(h) for h in hashes], [set(h.tolist()) for h in hashes]
+    parent, far = list(range(len(texts))), 0
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9:
+            far += (prints[i] ^ prints[j]).bit_count() > 10
+            a, b = sorted((find(i), find(j)))
+            parent[b] = a
+    assert far > 5
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"] for r in op6_simhash.drop_near_copies(docs).select("doc_id").collect()}
+    assert got == {find(i) for i in range(len(texts))}
+
+
 def test_near_copies_and_odd_rows(spark, odd):
     got = {r["doc_id"] for r in op6_simhash.drop_near_copies(odd).select("doc_id").collect()}
     assert {3, 4, 6, 7} <= got and 8 not in got
