@@ -243,6 +243,27 @@ def test_media_round_trip(spark, odd):
         assert list(r["fingerprint"]) == sorted(r["fingerprint"])
 
 
+def test_short_texts_have_fingerprints():
+    made = lambda t: op9_media.pairs(op9_media.peaks(np.frombuffer(op9_media.payload(t)[0], dtype=np.uint8)))
+    rng = random.Random(17)
+    texts = ["".join(rng.choices("abcdefghij klmnop", k=n)) for n in [*range(1, 70), 127, 128, 129, 255, 256, 257, 300, 511, 512, 513]]
+    assert all(len(made(t)) for t in texts)
+    long = [t for t in texts if len(t) > 20]
+    assert len({made(t).tobytes() for t in long}) > len(long) // 3
+
+
+def test_all_bytes_count_in_the_spectrum():
+    rng = np.random.default_rng(19)
+    for n in (64, 256, 320, 2048):
+        weights = op9_media.frames_of(np.full(n, 129, dtype=np.uint8)).sum(axis=0)
+        assert weights.shape[0] in (op9_media.SHORT, op9_media.FRAME)
+        base = rng.integers(97, 122, n).astype(np.uint8)
+        for k in (0, 1, 31, 32, n // 2, n - 2, n - 1):
+            other = base.copy()
+            other[k] = 0
+            assert not np.allclose(op9_media.frames_of(base), op9_media.frames_of(other), atol=5)
+
+
 def test_containment_of_odd_rows(spark, odd):
     items = spark.createDataFrame([(1, TEXTS[4]), (2, None), (3, "a"), (None, "a"), (3, "zzz")], "item_id long, text string")
     got = {(r["doc_id"], r["item_id"]) for r in op10_decontaminate.contained_items(odd, items).collect()}
