@@ -225,6 +225,22 @@ def test_repeats_against_brute_force(spark, odd, limit):
     assert op7_repeats.remove_repeats(odd).count() == len(TEXTS) + 2
 
 
+def test_spooled_group_that_ends_at_the_limit():
+    rng = random.Random(13)
+    bodies = [bytes(rng.choices(b"abcdefgh", k=60)) for _ in range(3)]
+    for sizes in ([4, 2, 3], [8, 1], [4, 4], [5, 4, 3]):
+        rows = [(g, (i, 0, 0, bodies[g])) for g, n in enumerate(sizes) for i in range(n)]
+        got = sorted(x for out in op7_repeats.Shard(50, 4)(iter(rows)) for x in out)
+        gone: dict = {}
+        for g, (doc, _, _, _) in rows:
+            if doc:
+                gone[doc, g] = 60
+        covered: dict = {}
+        for doc, _, a, b in got:
+            covered.setdefault(doc, []).append((a, b))
+        assert {d for d, _ in gone} == set(covered) and all(op7_repeats.union(v) == [(0, 60)] for v in covered.values())
+
+
 def test_quality_of_odd_rows(spark, odd):
     model = op8_quality.fit(odd, spark.createDataFrame([], "doc_id long, quality int"))
     assert {r["s"] for r in op8_quality.score(odd, model, out="s").collect()} == {0.5}
