@@ -1,8 +1,9 @@
 """Packing by optimal length buckets.
 
-A global histogram of lengths (at most `cells` exact cells, then geometric ones
-of under 1 %) goes to the driver; dynamic programming picks the bucket
-boundaries with the least padding; inside each bucket, rows are numbered and cut
+A global histogram of lengths goes to the driver: all lengths where there are at
+most `exact` different ones, else exact cells up to 2,048 words and geometric ones
+of 0.5 % above; dynamic programming picks the bucket boundaries with the least
+padding; inside each bucket, rows are numbered and cut
 into batches of at most `budget` padded tokens.
 
 Length is the number of words; null and empty texts have length 0 and share the
@@ -61,7 +62,7 @@ def boundaries(lengths: list[int], counts: list[int], buckets: int) -> list[int]
     return out[::-1]
 
 
-def pack(docs: DataFrame, buckets: int = 16, budget: int = 8192, rows_a_shard: int = 20_000, length: Column | None = None) -> DataFrame:
+def pack(docs: DataFrame, buckets: int = 16, budget: int = 8192, rows_a_shard: int = 20_000, length: Column | None = None, exact: int = 16_384) -> DataFrame:
     """doc_id, n_tokens, bucket, bucket_len, batch (in the bucket), slot (in the batch), padding.
 
     Rows of a bucket are numbered in shards of a bounded size whose offsets come
@@ -69,7 +70,9 @@ def pack(docs: DataFrame, buckets: int = 16, budget: int = 8192, rows_a_shard: i
     """
     rows = docs.select("doc_id", (word_count(F.col("text")) if length is None else length).alias("n_tokens"), F.xxhash64("text").alias("_h"))
     rows = materialize(rows, "lengths")
-    hist = rows.groupBy(cell_of(F.col("n_tokens")).alias("cell")).agg(F.max("n_tokens").alias("len"), F.count("*").alias("n")).orderBy("cell").collect()
+    per = materialize(rows.groupBy("n_tokens").agg(F.count("*").alias("n")), "histogram")
+    cell = F.col("n_tokens") if per.count() <= exact else cell_of(F.col("n_tokens"))
+    hist = per.groupBy(cell.alias("cell")).agg(F.max("n_tokens").alias("len"), F.sum("n").alias("n")).orderBy("cell").collect()
     ends = boundaries([r["len"] for r in hist], [r["n"] for r in hist], buckets) or [0]
     shards = max(1, math.ceil(sum(r["n"] for r in hist) / rows_a_shard))
     bucket = F.lit(0)

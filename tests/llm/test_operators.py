@@ -68,6 +68,18 @@ def test_packing_keeps_all_rows_within_budget(spark, odd):
     assert op2_packing.pack(odd.limit(0)).count() == 0
 
 
+def test_packing_of_long_texts_is_optimal(spark):
+    lengths = [3000] * 5 + [3001] * 4 + [3003] * 3 + [9000] * 2 + [9004]
+    docs = spark.createDataFrame([(i, None, n) for i, n in enumerate(lengths)], "doc_id long, text string, n long")
+    cost = lambda ends: sum(min(e for e in ends if e >= n) - n for n in lengths)
+    for buckets in (2, 3, 5):
+        best = min(cost([*c, 9004]) for r in range(buckets) for c in itertools.combinations([3000, 3001, 3003, 9000], r))
+        got = op2_packing.pack(docs, buckets=buckets, length=F.col("n")).collect()
+        assert len(got) == len(lengths) and sum(r["padding"] for r in got) == best
+    merged = op2_packing.pack(docs, buckets=5, length=F.col("n"), exact=4).collect()
+    assert len(merged) == len(lengths) and all(0 <= r["padding"] <= 0.005 * r["n_tokens"] for r in merged)
+
+
 def test_language_of_held_out_documents(spark, odd):
     got = op3_language.op3_partial_matching(spark, DIR).join(spark.read.parquet(f"{DIR}/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out").collect()
     assert sum(r["lang"] == r["lang_pred"] for r in got) >= 0.95 * len(got)
