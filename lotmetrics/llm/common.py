@@ -34,6 +34,17 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def cleared(spark: SparkSession, path: str) -> str:
+    """The folder, to be removed when the driver ends."""
+    atexit.register(remove, spark, path)
+    return path
+
+
+def slices(batches, rows: int = 512):
+    """Arrow batches in slices, so that what Python holds at once stays small."""
+    return (b.slice(i, rows) for b in batches for i in range(0, b.num_rows, rows))
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write df to the shared folder and read it back: lineage is cut and sizes are known.
 
@@ -42,8 +53,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}-{label}"
     schema = df.schema
-    df.write.parquet(path)
-    atexit.register(remove, spark, path)
+    df.write.parquet(cleared(spark, path))
     return spark.read.schema(schema).parquet(path)
 
 

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialize, table
+from .common import materialize, slices, table
 from .graph import components
 
 MASK = (1 << 64) - 1
@@ -280,11 +280,6 @@ def op6_generalised_pigeonhole(spark, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def slices(batches, rows: int = 512):
-    """The batches in slices, so that what Python holds at once stays small."""
-    return (b.slice(i, rows) for b in batches for i in range(0, b.num_rows, rows))
-
-
 def set_of(hashes: np.ndarray) -> np.ndarray:
     return np.unique(hashes)
 

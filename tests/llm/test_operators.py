@@ -5,9 +5,12 @@ import itertools
 import os
 import random
 import re
+import tracemalloc
 
 import duckdb
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import pytest
 from pyspark.sql import functions as F
 
@@ -217,8 +220,8 @@ def test_near_copies_and_odd_rows(spark, odd):
     assert op6_simhash.near_components(op6_simhash.fingerprints(odd.limit(0))).count() == 0
 
 
-@pytest.mark.parametrize("limit", [10, 30_000])
-def test_repeats_against_brute_force(spark, odd, limit):
+@pytest.mark.parametrize("how", [{"budget": 2000, "rows": 7}, {}])
+def test_repeats_against_brute_force(spark, odd, how):
     rng = random.Random(7)
     parts = ["".join(rng.choice("abcde ") for _ in range(rng.choice([20, 45, 49, 50, 51, 120]))) for _ in range(12)]
     rows = [(i, "".join(rng.choice(parts) for _ in range(rng.randint(0, 6)))) for i in range(60)]
@@ -227,7 +230,7 @@ def test_repeats_against_brute_force(spark, odd, limit):
     for i, t in [*rows, (61, rows[5][1])]:
         for k in range(len(t) - 49):
             first.setdefault(t[k : k + 50], i)
-    for r in op7_repeats.remove_repeats(docs, limit=limit).collect():
+    for r in op7_repeats.remove_repeats(docs, **how).collect():
         t = rows[5][1] if r["doc_id"] in (61, None) else rows[r["doc_id"]][1]
         gone = [False] * len(t)
         for k in range(len(t) - 49):
@@ -237,20 +240,89 @@ def test_repeats_against_brute_force(spark, odd, limit):
     assert op7_repeats.remove_repeats(odd).count() == len(TEXTS) + 2
 
 
-def test_spooled_group_that_ends_at_the_limit():
+def covered(texts: list[tuple[int, bytes]], **how) -> dict:
+    """The repeated stretches by the shard alone, all windows of each text around their own anchors."""
+    rows, hasher, spool = [], op7_repeats.Hasher(), op7_repeats.Combiner(50, 20)
+    for doc, t in texts:
+        for got in op7_repeats.pieces([t], 50):
+            flat, at, piece, h, pos = op7_repeats.anchors(got, 50, 20, hasher)
+            begin = op7_repeats.runs(piece, pos)
+            ends = np.append(begin[1:], len(at)) - 1
+            offs = np.array([g[1] for g in got])[piece[begin]] - np.concatenate([[0], np.cumsum([len(g[2]) for g in got])[:-1]])[piece[begin]]
+            ids = np.full(len(begin), doc)
+            low, high = ((pos[begin] - at[x]).astype(np.int16) for x in (ends, begin))
+            rows += spool.add(flat, h[begin], ids, 0 * ids, pos[begin] + offs, pos[begin], low, high)
+    table = pa.Table.from_batches([*rows, *spool.flush()])
+    batches = table.take(pa.compute.sort_indices(table, [("tail", "ascending")], null_placement="at_start")).to_batches(max_chunksize=97)
+    out: dict = {}
+    for part in op7_repeats.Shard(50, 20, **how)(iter(pa.RecordBatch.from_arrays([c.cast(c.type) for c in b.columns], schema=b.schema) for b in batches)):
+        for doc, _, a, b in zip(*(x.tolist() for x in part), strict=True):
+            out.setdefault(doc, []).append((a, b))
+    return {d: op7_repeats.union(v) for d, v in out.items()}
+
+
+def repeated(texts: list[tuple[int, bytes]]) -> dict:
+    first: dict = {}
+    for i, t in texts:
+        for k in range(len(t) - 49):
+            first[t[k : k + 50]] = min(i, first.get(t[k : k + 50], i))
+    out: dict = {}
+    for i, t in texts:
+        spans = [(k, k + 50) for k in range(len(t) - 49) if first[t[k : k + 50]] < i]
+        if spans:
+            out[i] = op7_repeats.union(spans)
+    return out
+
+
+@pytest.mark.parametrize("letters", ["ab", "a", "abcdefgh "])
+def test_induced_order_on_disk_against_brute_force(tmp_path, letters):
     rng = random.Random(13)
-    bodies = [bytes(rng.choices(b"abcdefgh", k=60)) for _ in range(3)]
-    for sizes in ([4, 2, 3], [8, 1], [4, 4], [5, 4, 3]):
-        rows = [(g, (i, 0, 0, bodies[g])) for g, n in enumerate(sizes) for i in range(n)]
-        got = sorted(x for out in op7_repeats.Shard(50, 4)(iter(rows)) for x in out)
-        gone: dict = {}
-        for g, (doc, _, _, _) in rows:
-            if doc:
-                gone[doc, g] = 60
-        covered: dict = {}
-        for doc, _, a, b in got:
-            covered.setdefault(doc, []).append((a, b))
-        assert {d for d, _ in gone} == set(covered) and all(op7_repeats.union(v) == [(0, 60)] for v in covered.values())
+    common = "".join(rng.choices(letters, k=70))
+    texts = []
+    for i in rng.sample(range(400), 70):
+        t = "".join(rng.choices(letters, k=rng.randint(0, 90))) + common[rng.randint(0, 20) : rng.randint(40, 70)] + "".join(rng.choices(letters, k=rng.randint(0, 90)))
+        texts.append((i, t.encode()))
+    want = repeated(texts)
+    for budget, rows in ((1 << 30, 1 << 15), (3000, 1 << 15), (3000, 5), (1 << 30, 1)):
+        assert covered(texts, spool=f"file://{tmp_path}/queues", budget=budget, rows=rows) == want
+    assert not list(tmp_path.glob("queues/*"))  # files of the queues are deleted
+
+
+def test_periodic_text_is_one_row():
+    t = b"abcdefg" * 20_000
+    out = op7_repeats.Combiner(50, 20)
+    flat, at, piece, h, pos = op7_repeats.anchors([(0, 0, t)], 50, 20, op7_repeats.Hasher())
+    begin = op7_repeats.runs(piece, pos)
+    low, high = ((pos[begin] - at[x]).astype(np.int16) for x in (np.append(begin[1:], len(at)) - 1, begin))
+    ids = np.zeros(len(begin), dtype=np.int64)
+    assert sum(b.num_rows for b in [*out.add(flat, h[begin], ids, ids, pos[begin], pos[begin], low, high), *out.flush()]) < 20
+    assert covered([(1, t), (2, t[3:])]) == {2: [(0, len(t) - 3)]}
+
+
+def test_hot_group_within_memory(tmp_path):
+    """40,000 different rows around one anchor: what Python holds does not grow with them."""
+    rng = np.random.default_rng(3)
+    gram = rng.integers(97, 123, 20).astype(np.uint8)
+
+    def batches(n):
+        for at in range(0, n, 5000):
+            tail = np.concatenate([np.tile(gram, (5000, 1)), rng.integers(97, 99, (5000, 30)).astype(np.uint8)], axis=1)
+            tail = tail[np.lexsort(tail.T[::-1])] if n == 5000 else tail
+            back = rng.integers(97, 99, (5000, 30)).astype(np.uint8)
+            ids, zero = np.arange(at, at + 5000), np.zeros(5000, dtype=np.int64)
+            tail[:, 20:36] = np.unpackbits((ids.astype(">u2")).view(np.uint8).reshape(-1, 2), axis=1) + 97  # in order
+            columns = [pa.array(zero.astype(np.int32)), pa.array(ids), pa.array(zero), pa.array(zero + 30), pa.array(zero + 30), pa.array(zero.astype(np.int16)), pa.array((zero + 30).astype(np.int16)), op7_repeats.fixed(back), op7_repeats.fixed(tail)]
+            yield pa.RecordBatch.from_arrays(columns, names=[x.rpartition(" ")[0] for x in op7_repeats.SNIPPETS.split(", ")])
+
+    def peak(n):
+        tracemalloc.start()
+        hits = sum(len(x[0]) for x in op7_repeats.Shard(50, 20, f"file://{tmp_path}", 1 << 20, 4096)(batches(n)))
+        out = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return out, hits
+
+    small, large = peak(10_000), peak(40_000)
+    assert large[0] < 1.3 * small[0] and large[0] < 16 << 20 and large[1] > 0
 
 
 def test_quality_of_odd_rows(spark, odd):
