@@ -47,23 +47,66 @@ TRANSFER_TAX = {
 YOUNG_LIMITS, STAMP_PURCHASE, STAMP_LOAN = (330539, 660982), 0.008, 0.006
 
 
-def transfer_tax(price: Column, use: str = "own", young: bool = False) -> Column:
+#: On the islands limits are a quarter higher.
+ISLANDS = 1.25
+#: Fixed value: the year of the tables above.
+TAX_YEAR = 2026
+
+
+def island_brackets(table: list[tuple]) -> list[tuple]:
+    """The table with the islands' limits; amounts to deduct follow from a tax without jumps."""
+    rounded = lambda x, n=0: float(int(x * 10**n + 0.5)) / 10**n
+    out: list[tuple] = []
+    for limit, rate, off in table:
+        if off is not None:
+            off = rounded(out[-1][2] + (rate - out[-1][1]) * out[-1][0], 2) if out else 0
+        out.append((None if limit is None else int(rounded(limit * ISLANDS)), rate, off))
+    return out
+
+
+def young_limits(island: bool) -> tuple[int, int]:
+    """Up to the first limit the young pay nothing, up to the second one only for what exceeds the first."""
+    return tuple(int(x * ISLANDS + 0.5) for x in YOUNG_LIMITS) if island else YOUNG_LIMITS
+
+
+def tables_stale(today: Column) -> Column:
+    return F.year(today) > TAX_YEAR
+
+
+def by_region(island, make):
+    """make(False) on the mainland, make(True) on the islands; island is a bool or a column."""
+    return make(island) if isinstance(island, bool) else F.when(island, make(True)).otherwise(make(False))
+
+
+def transfer_tax(price: Column, use: str = "own", young: bool = False, island=False) -> Column:
     """The bracket of the price; the young pay 8 % beyond the first limit up to the second one on an own home."""
-    table, tax = TRANSFER_TAX[use], None
-    for limit, rate, off in reversed(table):
-        part = price * rate if off is None else F.greatest(price * rate - F.lit(float(off)), F.lit(0.0))
-        tax = part if tax is None else F.when(price <= limit, part).otherwise(tax)
-    if young and use == "own":
-        tax = F.when(price <= YOUNG_LIMITS[1], 0.08 * F.greatest(price - YOUNG_LIMITS[0], F.lit(0.0))).otherwise(tax)
-    return F.when(price.isNotNull(), tax.cast("double"))
+    def make(away: bool) -> Column:
+        table = island_brackets(TRANSFER_TAX[use]) if away else TRANSFER_TAX[use]
+        tax = None
+        for limit, rate, off in reversed(table):
+            part = price * rate if off is None else F.greatest(price * rate - F.lit(float(off)), F.lit(0.0))
+            tax = part if tax is None else F.when(price <= limit, part).otherwise(tax)
+        if young and use == "own":
+            free, partly = young_limits(away)
+            tax = F.when(price <= partly, 0.08 * F.greatest(price - free, F.lit(0.0))).otherwise(tax)
+        return F.when(price.isNotNull(), tax.cast("double"))
+
+    return by_region(island, make)
+
+
+def purchase_stamp(price: Column, use: str = "own", young: bool = False, island=False) -> Column:
+    def make(away: bool) -> Column:
+        if not (young and use == "own"):
+            return STAMP_PURCHASE * price
+        free, partly = young_limits(away)
+        return F.when(price <= partly, STAMP_PURCHASE * F.greatest(price - free, F.lit(0.0))).otherwise(STAMP_PURCHASE * price)
+
+    return by_region(island, make)
 
 
-def purchase_taxes(price: Column, loan: Column, use: str = "own", young: bool = False) -> Column:
+def purchase_taxes(price: Column, loan: Column, use: str = "own", young: bool = False, island=False) -> Column:
     """struct<transfer, stamp, loan_stamp, total>."""
-    stamp = STAMP_PURCHASE * price
-    if young and use == "own":
-        stamp = F.when(price <= YOUNG_LIMITS[1], STAMP_PURCHASE * F.greatest(price - YOUNG_LIMITS[0], F.lit(0.0))).otherwise(stamp)
-    transfer, of_loan = transfer_tax(price, use, young), STAMP_LOAN * F.greatest(loan, F.lit(0.0))
+    transfer, stamp, of_loan = transfer_tax(price, use, young, island), purchase_stamp(price, use, young, island), STAMP_LOAN * F.greatest(loan, F.lit(0.0))
     return F.struct(transfer.alias("transfer"), stamp.alias("stamp"), of_loan.alias("loan_stamp"), (transfer + stamp + of_loan).alias("total"))
 
 

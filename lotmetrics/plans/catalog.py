@@ -5,26 +5,9 @@ from pyspark.sql import functions as F
 from ..functions import finance, keys
 from ..operators import models, spatial
 from ..operators import panel as P
+from .base import ORACLE, QUERIES, query, r  # noqa: F401
 from .panels import D, M, Q, deflator, months, quarters, table
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
-
-
-def query(sql: str | None):
-    def register(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE[f.__name__] = sql
-        return f
-
-    return register
-
-
-def r(c, n: int = 6):
-    return F.round(c, n)
-
-
 RANK = "100.0 * (rank() over (partition by {0} is null order by {0}) + (count(*) over (partition by {0}) - 1) / 2.0) / count({0}) over (partition by {0} is null)"
 
 
@@ -308,3 +291,6 @@ def fair_value(spark, sf_dir):
 @query(None)
 def regimes(spark, sf_dir):
     return models.regimes(quarters(spark, sf_dir)).withColumn("growth", r("growth"))
+
+
+from . import calculators  # noqa: E402, F401  registers its queries
