@@ -24,11 +24,13 @@ def remainder(col: str, n: int) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where the setting is absent."""
+    """The cluster's shared folder; where the setting is absent, a temporary one in local mode and an error elsewhere."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         found = spark.conf.get("spark.lotmetrics.scratch", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="lotmetrics-")
         spark.conf.set("spark.lotmetrics.scratch", found)
     return found.rstrip("/")
@@ -40,6 +42,20 @@ def cleared(spark: SparkSession, path: str) -> str:
     return path
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores until no column has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without(df: DataFrame, keys: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows of df whose key is not among the only column of keys; null keys stay."""
+    own = free_name(df, "_gone")
+    return df.join(keys.toDF(own), F.col(key) == F.col(own), "left_anti")
+
+
 def slices(batches, rows: int = 512):
     """Arrow batches in slices, so that what Python holds at once stays small."""
     return (b.slice(i, rows) for b in batches for i in range(0, b.num_rows, rows))

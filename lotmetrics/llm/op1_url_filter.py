@@ -24,7 +24,7 @@ RULES = (
     ("block", "net", "/fr/"),
 )
 #: Suffixes of two labels; a parameter, to be extended as needed.
-LONG_SUFFIXES = ("co.uk", "com.au", "co.jp", "com.br")
+LONG_SUFFIXES = ("ac.uk", "co.uk", "gov.uk", "org.uk", "com.au", "net.au", "org.au", "ac.jp", "co.jp", "ne.jp", "or.jp", "com.br", "net.br", "org.br", "co.nz", "org.nz", "co.za", "co.kr", "co.in", "com.cn", "com.tw", "com.hk", "com.sg", "com.mx", "com.ar", "com.tr", "com.pl", "com.ua")
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
 
@@ -113,13 +113,20 @@ def op1_host_reputation(spark, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), outcomes)
 
 
+def host_posteriors(spark, sf_dir: str) -> DataFrame:
+    """Each host's counts, posterior mean and its bound, to six digits."""
+    outcomes = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.col("quality").alias("good"))
+    rows = host_reputation(table(spark, sf_dir, "pages"), outcomes)
+    return rows.select("host", "n", "s", F.round("mean", 6).alias("mean"), F.round("lower", 6).alias("lower"), "verdict")
+
+
 SQL = r"""
 with u as (select page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') host,
   regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) path from pages),
 l as (select doc_id, count(quality) n, sum(quality) s from labels where doc_id is not null and quality is not null group by 1),
 h0 as (select host, coalesce(sum(l.n), 0)::double n, coalesce(sum(l.s), 0)::double s from u left join l on l.doc_id = u.page_id group by 1),
-h as (select *, case when array_to_string(string_split(host, '.')[-2:], '.') in ('co.uk', 'com.au', 'co.jp', 'com.br') then array_to_string(string_split(host, '.')[-3:], '.') else array_to_string(string_split(host, '.')[-2:], '.') end dom,
-  case when array_to_string(string_split(host, '.')[-2:], '.') in ('co.uk', 'com.au', 'co.jp', 'com.br') then array_to_string(string_split(host, '.')[-2:], '.') else string_split(host, '.')[-1] end suf from h0),
+h as (select *, case when array_to_string(string_split(host, '.')[-2:], '.') in (""" + ", ".join(f"'{x}'" for x in LONG_SUFFIXES) + r""") then array_to_string(string_split(host, '.')[-3:], '.') else array_to_string(string_split(host, '.')[-2:], '.') end dom,
+  case when array_to_string(string_split(host, '.')[-2:], '.') in (""" + ", ".join(f"'{x}'" for x in LONG_SUFFIXES) + r""") then array_to_string(string_split(host, '.')[-2:], '.') else string_split(host, '.')[-1] end suf from h0),
 d as (select suf, dom, sum(n) n, sum(s) s from h group by 1, 2),
 x as (select suf, sum(n) n, sum(s) s from d group by 1),
 a as (select 'h' lv, n, s from h union all select 'd', n, s from d union all select 'x', n, s from x),
@@ -135,3 +142,6 @@ f as (select u.host, u.path, arg_max(r.dom || r.start, length(r.dom || r.start))
   from (select distinct host, path from u) u join rules r on (u.host = r.dom or ends_with(u.host, '.' || r.dom)) and starts_with(u.path, r.start) group by 1, 2)
 select u.page_id, u.host, u.path, f.rule, coalesce(f.what, v.verdict) verdict from u join v on v.host = u.host left join f on f.host = u.host and f.path = u.path
 """
+HOSTS_SQL = SQL[: SQL.index("v as (select host")].rstrip().removesuffix(",") + """
+select hs.host, h.n::bigint n, h.s::bigint s, round(mu, 6) as "mean", round(mu - 1.645 * sqrt(mu * (1 - mu) / (w + 1)), 6) "lower", case when mu - 1.645 * sqrt(mu * (1 - mu) / (w + 1)) < 0.5 then 'block' else 'allow' end verdict from hs join h on h.host = hs.host
+"""

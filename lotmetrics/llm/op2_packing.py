@@ -1,10 +1,9 @@
 """Packing by optimal length buckets.
 
-A global histogram of lengths goes to the driver: all lengths where there are at
-most `exact` different ones, else exact cells up to 2,048 words and geometric ones
-of 0.5 % above; dynamic programming picks the bucket boundaries with the least
-padding; inside each bucket, rows are numbered and cut
-into batches of at most `budget` padded tokens.
+The global histogram of lengths, exact whatever their number, goes to the driver;
+dynamic programming picks the bucket boundaries with the least padding; inside
+each bucket, rows are numbered and cut into batches of at most `budget` padded
+tokens.
 
 Length is the number of words; null and empty texts have length 0 and share the
 first bucket.  A row longer than the budget is a batch of its own.  Ties are
@@ -26,9 +25,28 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def cell_of(n: Column, cells: int = 2048) -> Column:
-    """Lengths up to cells have their own cell; longer ones share cells of a fixed ratio."""
-    return F.when(n <= cells, n).otherwise(F.lit(cells) + F.ceil(F.log(n / F.lit(float(cells))) / math.log(1.005))).cast("long")
+def cheapest(best: np.ndarray, ends: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each j from 1 on the least best[i] + ends[j] * (rows of i+1..j) over i < j, and the smallest such i.
+
+    That i never falls as j grows, so the middle j of a range halves the choice of
+    the others; all ranges of a level are worked out at once.
+    """
+    n = len(ends)
+    cost, cut = np.full(n, np.inf), np.full(n, -1)
+    low, high, first, last = (np.array([x]) for x in (1, n - 1, 0, n - 2))
+    while len(low):
+        mid = (low + high) // 2
+        sizes = np.minimum(last, mid - 1) - first + 1
+        begin = np.cumsum(sizes) - sizes
+        i = np.arange(sizes.sum()) - np.repeat(begin - first, sizes)
+        j = np.repeat(mid, sizes)
+        all_i = best[i] + ends[j] * (total[j + 1] - total[i + 1])
+        least = np.minimum.reduceat(all_i, begin)
+        at = np.minimum.reduceat(np.where(all_i == np.repeat(least, sizes), i, n), begin)
+        cost[mid], cut[mid] = least, at
+        left, right = low < mid, mid < high
+        low, high, first, last = (np.concatenate(x) for x in ((low[left], mid[right] + 1), (mid[left] - 1, high[right]), (first[left], at[right]), (at[left], last[right])))
+    return cost, cut
 
 
 def boundaries(lengths: list[int], counts: list[int], buckets: int) -> list[int]:
@@ -43,14 +61,10 @@ def boundaries(lengths: list[int], counts: list[int], buckets: int) -> list[int]
     ends, total = np.array(lengths, dtype=np.float64), np.concatenate([[0], np.cumsum(np.array(counts, dtype=np.float64))])
     n, best, back = len(ends), ends * total[1:], []
     for _ in range(min(buckets, n) - 1):
-        cost, cut = best.copy(), np.full(n, -1)
-        for j in range(1, n):
-            all_i = best[:j] + ends[j] * (total[j + 1] - total[1 : j + 1])
-            i = int(np.argmin(all_i))
-            if all_i[i] < cost[j]:
-                cost[j], cut[j] = all_i[i], i
-        best = cost
-        back.append(cut)
+        cost, cut = cheapest(best, ends, total)
+        better = cost < best
+        best = np.where(better, cost, best)
+        back.append(np.where(better, cut, -1))
     out, j = [], n - 1
     for cut in [*reversed(back), None]:
         if cut is not None and cut[j] < 0:
@@ -62,7 +76,7 @@ def boundaries(lengths: list[int], counts: list[int], buckets: int) -> list[int]
     return out[::-1]
 
 
-def pack(docs: DataFrame, buckets: int = 16, budget: int = 8192, rows_a_shard: int = 20_000, length: Column | None = None, exact: int = 16_384) -> DataFrame:
+def pack(docs: DataFrame, buckets: int = 16, budget: int = 8192, rows_a_shard: int = 20_000, length: Column | None = None) -> DataFrame:
     """doc_id, n_tokens, bucket, bucket_len, batch (in the bucket), slot (in the batch), padding.
 
     Rows of a bucket are numbered in shards of a bounded size whose offsets come
@@ -71,9 +85,9 @@ def pack(docs: DataFrame, buckets: int = 16, budget: int = 8192, rows_a_shard: i
     rows = docs.select("doc_id", (word_count(F.col("text")) if length is None else length).alias("n_tokens"), F.xxhash64("text").alias("_h"))
     rows = materialize(rows, "lengths")
     per = materialize(rows.groupBy("n_tokens").agg(F.count("*").alias("n")), "histogram")
-    cell = F.col("n_tokens") if per.count() <= exact else cell_of(F.col("n_tokens"))
-    hist = per.groupBy(cell.alias("cell")).agg(F.max("n_tokens").alias("len"), F.sum("n").alias("n")).orderBy("cell").collect()
-    ends = boundaries([r["len"] for r in hist], [r["n"] for r in hist], buckets) or [0]
+    # d different lengths need d * d / 2 words at least: a few million rows at 100 TB of text
+    hist = per.orderBy("n_tokens").collect()
+    ends = boundaries([r["n_tokens"] for r in hist], [r["n"] for r in hist], buckets) or [0]
     shards = max(1, math.ceil(sum(r["n"] for r in hist) / rows_a_shard))
     bucket = F.lit(0)
     end = F.lit(ends[0])

@@ -75,21 +75,30 @@ class Trees:
 
     def __init__(self, samples: dict[str, list[str]], order: int = ORDER):
         self.langs, self.order, self.known, self.bits, self.contexts, self.escapes = sorted(samples), order, [], [], [], []
-        flats = [np.frombuffer("".join(PAD + t for t in samples[x]).encode("utf-8", "surrogatepass"), dtype=np.uint8) for x in self.langs]
+        flats, own = [], []
+        for x in self.langs:
+            parts = [(PAD + t).encode("utf-8", "surrogatepass") for t in samples[x]]
+            flats.append(np.frombuffer(b"".join(parts), dtype=np.uint8))
+            # the padding is context, not text
+            ends = np.cumsum([len(p) for p in parts])
+            inside = np.ones(len(flats[-1]), dtype=bool)
+            for begin in [0, *ends[:-1]]:
+                inside[begin : begin + ORDER] = False
+            own.append(inside[order:])
         for k in range(order + 1):
-            counts = [np.unique(grams(f, k, order, len(f)), return_counts=True) for f in flats]
+            counts = [np.unique(grams(f, k, order, len(f))[o], return_counts=True) for f, o in zip(flats, own, strict=True)]
             keys = np.unique(np.concatenate([u for u, _ in counts])) if counts else np.zeros(0, dtype=np.uint64)
             contexts = np.unique(keys >> np.uint64(8))
             escape = np.zeros((len(contexts), len(self.langs)))
             bits = np.empty((len(keys), len(self.langs)))
-            own = np.searchsorted(contexts, keys >> np.uint64(8))
+            of_key = np.searchsorted(contexts, keys >> np.uint64(8))
             lower = self.cost(k - 1, keys & np.uint64((1 << 8 * k) - 1)) if len(keys) else bits
             for j, (u, c) in enumerate(counts):
                 of = np.searchsorted(contexts, u >> np.uint64(8))
                 n, d = np.bincount(of, c, len(contexts)), np.bincount(of, minlength=len(contexts))
                 with np.errstate(divide="ignore", invalid="ignore"):
                     escape[:, j] = np.where(d > 0, -np.log2(d / (n + d)), 0)
-                bits[:, j] = escape[own, j] + lower[:, j]
+                bits[:, j] = escape[of_key, j] + lower[:, j]
                 bits[np.searchsorted(keys, u), j] = -np.log2(c / (n[of] + d[of]))
             self.known.append(Lookup(keys))
             self.bits.append(bits.astype(np.float32))

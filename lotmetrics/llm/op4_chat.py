@@ -55,29 +55,34 @@ def upto(s: str, at: int, stop: str) -> tuple[str | None, str, int]:
         at = slash + 2
 
 
-def parse(s: str) -> list[tuple[str, str]] | None:
-    """The turns of a formatted conversation, null if it does not follow the grammar."""
-    turns, at = [], 0
-    while at < len(s):
-        if not s.startswith(OPEN, at):
-            return None
-        role, shown, at = upto(s, at + len(OPEN), MID)
+def whole_turns(s: str) -> tuple[list[tuple[str, str]], str]:
+    """The turns that s begins with, and what follows the last whole one."""
+    turns, end = [], 0
+    while s.startswith(OPEN, end):
+        role, shown, at = upto(s, end + len(OPEN), MID)
         text, _, at = upto(s, at, CLOSE) if role is not None else (None, "", at)
         if text is None:
-            return None
+            break
         turns.append((ROLES.get(shown, role), text))
-    return turns
+        end = at
+    return turns, s[end:]
+
+
+def parse(s: str) -> list[tuple[str, str]] | None:
+    """The turns of a formatted conversation, null if it does not follow the grammar."""
+    turns, rest = whole_turns(s)
+    return None if rest else turns
 
 
 def segment(role: str, text: str) -> tuple[str, bool]:
-    """A turn as it is, or escaped where it would not come back."""
-    plain = render(role, text, False)
-    if parse(plain) == [(role, text)] and OPEN not in text and "</turn>" not in text:
-        return plain, False
-    kept = render(role, text, True)
-    if parse(kept) != [(role, text)]:
-        raise ValueError(f"a turn does not survive its round trip: {role!r}")
-    return kept, True
+    """A turn as it is, or escaped where it would not come back.
+
+    With every control character escaped, a turn always comes back.
+    """
+    conflicts, escaped = OPEN in text or "</turn>" in text, False
+    while conflicts or parse(render(role, text, escaped)) != [(role, text)]:
+        conflicts, escaped = False, True
+    return render(role, text, escaped), escaped
 
 
 def _segments(batches):
@@ -97,7 +102,11 @@ def format_turns(conversations: DataFrame) -> DataFrame:
 
 
 def _digests(batches):
-    """Reads segments back: one row for each run of a conversation's segments."""
+    """Reads conversations back: one row for each.
+
+    A conversation is parsed as one text, of which only what is not yet a whole
+    turn is held.
+    """
     fields = [x.rpartition(" ")[0] for x in DIGESTS.split(", ")]
     conv, state = None, None
 
@@ -110,9 +119,10 @@ def _digests(batches):
             if state is None or c != conv:
                 if state is not None:
                     out.append(closed())
-                conv, state = c, {"n": 0, "turns": hashlib.sha256(), "loss": hashlib.sha256(), "loss_chars": 0, "chars": 0}
+                conv, state = c, {"n": 0, "turns": hashlib.sha256(), "loss": hashlib.sha256(), "loss_chars": 0, "chars": 0, "rest": ""}
             state["chars"] += len(s)
-            for role, text in parse(s):
+            turns, state["rest"] = whole_turns(state["rest"] + s)
+            for role, text in turns:
                 state["n"] += 1
                 state["turns"].update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
                 if role == "assistant":

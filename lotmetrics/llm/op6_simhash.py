@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialize, slices, table
+from .common import materialize, slices, table, without
 from .graph import components
 
 MASK = (1 << 64) - 1
@@ -372,9 +372,9 @@ def drop_near_copies(docs: DataFrame, words: int = 5, share: float = 0.8, bits:
     """docs without the near copies of a document with a smaller id, in any number of steps.
 
     All pairs of the Jaccard similarity count; `bits` only tells which ones the
-    fingerprints find first.  Rows that share an id stay or go together.
+    fingerprints find first.  Rows that share an id stay or go together; rows of a
+    null id stay.  All columns stay, whatever their names.
     """
     prints = materialize(described(docs, words, share), "prints")
     found = near_components(prints, bits, jaccard_verifier(docs, prints, words, share), share)
-    gone = materialize(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return without(docs, materialize(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone"))

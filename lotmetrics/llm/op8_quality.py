@@ -89,7 +89,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 2500, max_chars: int
     for y in (0, 1):
         best = known.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(max_docs)
         some = best if some is None else some.unionByName(best)
-    rows = docs.where(F.length("text").between(1, max_chars)).join(F.broadcast(some), F.col("doc_id") == F.col("_id")).select("_y", "_id", "text").collect()
+    rows = docs.select("doc_id", "text").where(F.length("text").between(1, max_chars)).join(F.broadcast(some), F.col("doc_id") == F.col("_id")).select("_y", "_id", "text").collect()
     rows = sorted(rows, key=lambda r: (r["_id"], r["text"], r["_y"]))
     by = {y: [r["text"] for r in rows if r["_y"] == y] for y in (0, 1)}
     if min(len(by[0]), len(by[1])) < 4:
@@ -105,7 +105,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 2500, max_chars: int
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
-    """docs with the score; extra columns stay."""
+    """docs with the score; extra columns stay, but for one named as the score, which it replaces."""
+    docs = docs.drop(out)
     place = docs.columns.index(text)
 
     def scored(batches):

@@ -13,5 +13,6 @@ QUERIES = {
     "op8_compression_classifier": op8_quality.op8_compression_classifier,
     "op9_wav_fingerprints": op9_media.op9_wav_fingerprints,
     "op10_containment": op10_decontaminate.op10_containment,
+    "host_posteriors": op1_url_filter.host_posteriors,
 }
-ORACLE = {"op1_host_reputation": op1_url_filter.SQL, "op10_containment": op10_decontaminate.SQL}
+ORACLE = {"op1_host_reputation": op1_url_filter.SQL, "host_posteriors": op1_url_filter.HOSTS_SQL, "op10_containment": op10_decontaminate.SQL}
