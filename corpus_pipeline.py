@@ -2,20 +2,27 @@
 
 Each stage takes all rows that its predecessor kept and returns the columns of
 documents, the last one the packed batches.
+
+Null and empty texts have the quality score of an empty text and go or stay by
+it.  Rows of a null id are never near copies nor contaminated.  Repeated rows
+have equal scores; rows that share an id stay or go together.  Extra columns of
+any name are kept up to packing, which returns its own.  No documents give no
+rows.
 """
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotmetrics.llm import op2_packing, op5_pii, op6_simhash, op8_quality, op10_decontaminate
-from lotmetrics.llm.common import materialize, remainder, table
+from lotmetrics.llm.common import free_name, materialize, remainder, table, without
 
 
 def quality(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score reaches the threshold stay."""
     labels = table(spark, sf_dir, "labels").where(remainder("doc_id", 4) != 2)
     model = op8_quality.fit(docs.where(remainder("doc_id", 4) != 2), labels)
-    return op8_quality.score(docs, model, out="_score").where(op8_quality.accepted(F.col("_score"))).drop("_score")
+    own = free_name(docs, "_score")
+    return op8_quality.score(docs, model, out=own).where(op8_quality.accepted(F.col(own))).drop(own)
 
 
 def near_copies(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,8 +33,7 @@ def near_copies(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontaminate(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     found = op10_decontaminate.contained_items(docs, table(spark, sf_dir, "benchmark"))
-    gone = materialize(found.select(F.col("doc_id").alias("_gone")).distinct(), "contaminated")
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return without(docs, materialize(found.select("doc_id").distinct(), "contaminated"))
 
 
 def personal_data(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +49,7 @@ def packing(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [("quality_classifier", quality), ("simhash_near_dedup", near_copies), ("benchmark_decontamination", decontaminate), ("pii", personal_data), ("packing", packing)]
-#: Compression and fingerprints are beyond SQL; tests hold the stages against brute force.
+#: Compression and fingerprints are beyond SQL; a test holds run() against brute force.
 ORACLE_SQL = None
 
 
