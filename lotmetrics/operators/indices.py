@@ -129,7 +129,7 @@ def window_mean(df: DataFrame, quarters: DataFrame, months: int = 12, least: int
     Each month goes to the four quarters whose window holds it: an equi-join, no range join.
     """
     own = F.floor(F.col("idx") / 3)
-    rows = df.where("value is not null").select("place", "value", F.explode(F.sequence(own, own + months // 3 - 1)).cast("bigint").alias("idx"))
+    rows = df.where("value is not null").select("place", "value", F.explode(F.sequence(own, own + months // 3 - 1)).alias("idx"))
     means = rows.groupBy("place", "idx").agg(F.avg("value").alias("mean"), F.count("*").alias("n")).where(F.col("n") >= least).drop("n")
     return quarters.select("place", "idx").join(means, ["place", "idx"])
 

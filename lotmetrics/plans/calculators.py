@@ -82,7 +82,7 @@ IRR = f"""b as (select id, -99e-2 lo, 1e0 hi, 0 k, flows, sign({WORTH.format('(-
 union all select id, case when {WORTH.format('((lo + hi) / 2)')} * side > 0 then (lo + hi) / 2 else lo end, case when {WORTH.format('((lo + hi) / 2)')} * side > 0 then hi else (lo + hi) / 2 end, k + 1, flows, side from b where k < 60)"""
 
 
-@query(f"""with recursive {BRACKETS}, {H}, {INVEST}, {IRR} select f.id, round(cash, 2) cash, round(net_sale, 2) net_sale, round(list_sum(flows), 2) profit, round(lo, 6) irr, round((noi - irs) / (price + costs), 6) net_yield, round((noi - irs - debt) / cash, 6) cash_on_cash,
+@query(f"""with recursive {BRACKETS}, {H}, {INVEST}, {IRR} select f.id, round(cash, 2) cash, round(net_sale, 2) net_sale, round(list_sum(f.flows), 2) profit, round(lo, 6) irr, round((noi - irs) / (price + costs), 6) net_yield, round((noi - irs - debt) / cash, 6) cash_on_cash,
 round((noi - irs - debt) / 12, 4) cash_month, round(noi / price, 6) cap_rate, round(case when debt > 0 then noi / debt end, 6) dscr, round((gross - noi + rent * 12 - gross) / (rent * 12), 6) cost_ratio, noi / price > rate / 100 positive_leverage from f left join b on b.id = f.id and b.k = 60""")
 def invest(spark, sf_dir):
     rows = C.invest(homes(spark, sf_dir)).withColumn("t", C.investor_tests())
