@@ -293,4 +293,4 @@ def regimes(spark, sf_dir):
     return models.regimes(quarters(spark, sf_dir)).withColumn("growth", r("growth"))
 
 
-from . import calculators, market, scores  # noqa: E402, F401  register their queries
+from . import backtests, calculators, market, scores  # noqa: E402, F401  register their queries
