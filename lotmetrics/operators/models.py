@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .panel import asof, ordered
 
+#: The error bounds.
 LEVELS = {"q10": 0.10, "q25": 0.25, "q75": 0.75, "q90": 0.90}
 
 
@@ -138,7 +139,7 @@ def intervals(past: DataFrame, now: DataFrame, draws: int = 4000, grid: int = 20
 
 
 def segments(y: np.ndarray, least: int, most: int) -> list[tuple[int, int]]:
-    """The piecewise linear split of y with the least BIC, n ln(SSE / n) + 3 k ln n."""
+    """The piecewise linear split of y with the least BIC, n ln(SSE / n) + 3 k ln n. Holds n * n numbers: a calendar's length, some hundred keys."""
     n = len(y)
     t = np.arange(n, dtype=float)
     sums = [np.concatenate([[0.0], np.cumsum(v)]) for v in (np.ones(n), t, y, t * t, t * y, y * y)]

@@ -6,7 +6,7 @@ from ..functions import finance, keys
 from ..operators import models, spatial
 from ..operators import panel as P
 from .base import ORACLE, QUERIES, query, r  # noqa: F401
-from .panels import D, M, Q, deflator, months, quarters, table
+from .panels import D, M, Q, deflator, months, quarters, stored, table
 
 RANK = "100.0 * (rank() over (partition by {0} is null order by {0}) + (count(*) over (partition by {0}) - 1) / 2.0) / count({0}) over (partition by {0} is null)"
 
@@ -246,49 +246,72 @@ def volatility_scale(spark, sf_dir):
     return models.robust_sigma(quarters(spark, sf_dir).withColumn("value", F.ln("value"))).select("place", r("sigma", 8).alias("sigma"))
 
 
-def forecast_rows(spark, sf_dir):
-    """Rows (place, origin, h) with the features known at the origin and the log price change h quarters on."""
-    q = quarters(spark, sf_dir).withColumns({"value": F.ln("value"), "n": F.ln("n")})
-    for name, of, lag in (("s1", "value", 1), ("s4", "value", 4), ("n4", "n", 4)):
+def forecast_rows(q):
+    """Rows (place, origin, h) with the features known at the origin and the log price change h quarters on; q: a stored panel."""
+    q = q.withColumns({"value": F.ln("value"), "n": F.ln("n")})
+    for name, of, lag in (("s1", "value", 1), ("s4", "value", 4), ("n4", "n", 4), *((f"l{h}", "value", -h) for h in HS)):
         q = P.lagged(q, lag, name, of)
-    q = q.withColumns({"mom1": F.col("value") - F.col("s1"), "mom4": F.col("value") - F.col("s4"), "vol4": F.col("n") - F.col("n4")})
-    later = [P.lagged(q, -h, "then").select("place", F.col("idx").alias("origin"), F.lit(h).alias("h"), "mom1", "mom4", "vol4", "value", (F.col("then") - F.col("value")).alias("y")) for h in (1, 2, 4)]
-    return later[0].unionByName(later[1]).unionByName(later[2])
+    later = F.array(*[F.struct(F.lit(h).alias("h"), F.col(f"l{h}").alias("then")) for h in HS])
+    q = q.select("place", F.col("idx").alias("origin"), (F.col("value") - F.col("s1")).alias("mom1"), (F.col("value") - F.col("s4")).alias("mom4"), (F.col("n") - F.col("n4")).alias("vol4"), "value", F.inline(later))
+    return q.withColumn("y", F.col("then") - F.col("value")).drop("then")
 
 
-FEATURES = ["mom1", "mom4", "vol4"]
+FEATURES, HS = ["mom1", "mom4", "vol4"], (1, 2, 4)
+#: Ridge regression on three features in SQL: tr(key, x1, x2, x3, y, w) to fit(key, b0..b3, lo1..hi3); lam is relative to the rows.
+FIT = """mo as (select key, count(*) n, sum(w) sw, sum(w * x1) / sum(w) m1, sum(w * x2) / sum(w) m2, sum(w * x3) / sum(w) m3, sum(w * y) / sum(w) my, min(x1) lo1, max(x1) hi1, min(x2) lo2, max(x2) hi2, min(x3) lo3, max(x3) hi3 from tr group by 1 having count(*) >= {least}),
+cv as (select mo.key, sum(w * (x1 - m1) * (x1 - m1)) / any_value(sw) c11, sum(w * (x1 - m1) * (x2 - m2)) / any_value(sw) c12, sum(w * (x1 - m1) * (x3 - m3)) / any_value(sw) c13, sum(w * (x2 - m2) * (x2 - m2)) / any_value(sw) c22, sum(w * (x2 - m2) * (x3 - m3)) / any_value(sw) c23, sum(w * (x3 - m3) * (x3 - m3)) / any_value(sw) c33,
+sum(w * (x1 - m1) * (y - my)) / any_value(sw) d1, sum(w * (x2 - m2) * (y - my)) / any_value(sw) d2, sum(w * (x3 - m3) * (y - my)) / any_value(sw) d3 from tr join mo using (key) group by 1),
+co as (select key, sqrt(c11) s1, sqrt(c22) s2, sqrt(c33) s3, 1 + {lam} a, c12 / sqrt(c11 * c22) f, c13 / sqrt(c11 * c33) g, c23 / sqrt(c22 * c33) h, d1 / sqrt(c11) r1, d2 / sqrt(c22) r2, d3 / sqrt(c33) r3 from cv),
+de as (select *, a * (a * a - h * h) - f * (f * a - h * g) + g * (f * h - a * g) det from co),
+be as (select key, (r1 * (a * a - h * h) - f * (r2 * a - h * r3) + g * (r2 * h - a * r3)) / det / s1 b1, (a * (r2 * a - h * r3) - r1 * (f * a - h * g) + g * (f * r3 - r2 * g)) / det / s2 b2, (a * (a * r3 - r2 * h) - f * (f * r3 - r2 * g) + r1 * (f * h - a * g)) / det / s3 b3 from de),
+fit as (select mo.*, b1, b2, b3, my - b1 * m1 - b2 * m2 - b3 * m3 b0 from mo join be using (key))"""
+PRED = "b0 + b1 * least(greatest(x1, lo1), hi1) + b2 * least(greatest(x2, lo2), hi2) + b3 * least(greatest(x3, lo3), hi3)"
+ROWS = f"fr as (select a.place, a.idx origin, h, ln(a.value) - ln(b.value) x1, ln(a.value) - ln(c.value) x2, ln(a.n) - ln(c.n) x3, ln(d.value) - ln(a.value) y from {{source}} a cross join (values (1), (2), (4)) v(h) left join {{source}} b on b.place = a.place and b.idx = a.idx - 1 left join {{source}} c on c.place = a.place and c.idx = a.idx - 4 left join {{source}} d on d.place = a.place and d.idx = a.idx + h)"
+PAST = "tr as (select o.h * 100000 + o.origin as key, x1, x2, x3, y, {w} w from (select distinct h, origin from fr) o join fr on fr.h = o.h and fr.origin + fr.h <= o.origin where x1 is not null and x2 is not null and x3 is not null and y is not null)"
+
+
+@query(f"with {Q}, {ROWS.format(source='q')}, {PAST.format(w='1e0')}, {FIT.format(least=30, lam='5e-2')} select place, origin, fr.h::int h, round({PRED}, 6) pred from fr left join fit on fit.key = fr.h * 100000 + fr.origin")
+def ridge_backtest(spark, sf_dir):
+    """Predictions at every origin by the model of what was known then."""
+    return models.backtest(forecast_rows(stored(quarters(spark, sf_dir))), FEATURES, "y", None, 0.05, 30).select("place", "origin", "h", r("pred").alias("pred"))
 
 
 @query(None)
 def ridge_forecast(spark, sf_dir):
-    """Predictions at every origin by the model of what was known then, with the error bounds at the last one."""
-    sigma = models.robust_sigma(quarters(spark, sf_dir).withColumn("value", F.ln("value")))
-    rows = forecast_rows(spark, sf_dir).join(sigma, "place").withColumn("w", F.pow("sigma", F.lit(-2.0)))
-    done = models.backtest(rows, FEATURES, "y", F.col("w"), 0.05, 30).select("place", "origin", "h", "value", "y", "pred", "sigma")
-    now = done.where(F.col("origin") == done.agg(F.max("origin")).scalar())
+    """Predictions at the last origin with their error bounds (random draws, so beyond SQL)."""
+    q = stored(quarters(spark, sf_dir))
+    sigma = models.robust_sigma(q.withColumn("value", F.ln("value")))
+    rows = forecast_rows(q).join(sigma, "place").withColumn("w", F.pow("sigma", F.lit(-2.0)))
+    done = stored(models.backtest(rows, FEATURES, "y", F.col("w"), 0.05, 30).select("place", "origin", "h", "value", "y", "pred", "sigma"))
+    now = done.where(F.col("origin") == q.agg(F.max("idx")).scalar())
     return models.intervals(done, now).select("place", "origin", "h", r("pred").alias("pred"), *[r(F.exp(F.col("value") + F.col("pred") + F.col(k)), 4).alias(k) for k in models.LEVELS])
 
 
-@query(None)
+@query(f"with {Q}, {ROWS.format(source='q')}, {PAST.format(w='1e0')}, {FIT.format(least=30, lam='5e-2')}, dn as (select fr.*, {PRED} pred from fr join fit on fit.key = fr.h * 100000 + fr.origin), ok as (select * from dn where y is not null and pred is not null), me as (select h, count(*) n, avg(abs(pred - y)) a, avg(abs(y)) b, avg(abs(x2 * h / 4 - y)) c, avg(pred - y) bias, quantile_cont(abs(pred - y), 0.5) med from ok group by 1) select h::int h, n::bigint n, round(a, 6) mae_model, round(b, 6) mae_same, round(c, 6) mae_drift, round(bias, 6) bias, round(med, 6) median_error, round(1 - a / nullif(least(b, c), 0), 6) skill from me")
 def forecast_metrics(spark, sf_dir):
     """Error of the model and of no change and drift, by horizon, on the same rows."""
-    done = models.backtest(forecast_rows(spark, sf_dir), FEATURES, "y", None, 0.05, 30).where("y is not null and pred is not null")
+    done = models.backtest(forecast_rows(stored(quarters(spark, sf_dir))), FEATURES, "y", None, 0.05, 30).where("y is not null and pred is not null")
     off = {"model": F.abs(F.col("pred") - F.col("y")), "same": F.abs("y"), "drift": F.abs(F.col("mom4") * F.col("h") / 4 - F.col("y"))}
     means = done.groupBy("h").agg(F.count("*").alias("n"), *[F.avg(c).alias(f"mae_{k}") for k, c in off.items()], F.avg(F.col("pred") - F.col("y")).alias("bias"), F.expr("percentile(abs(pred - y), 0.5)").alias("median_error"))
     skill = 1 - F.try_divide(F.col("mae_model"), F.least("mae_same", "mae_drift"))
     return means.select("h", "n", *[r(c).alias(c) for c in ("mae_model", "mae_same", "mae_drift", "bias", "median_error")], r(skill).alias("skill"))
 
 
-@query(None)
+@query(f"with li as (select l_orderkey id, ln(sum(l_quantity)) x1, count(*)::double x2, avg(l_discount) x3 from lineitem group by 1), fr as (select o_orderkey id, o_orderkey % 10 fold, x1, x2, x3, ln(o_totalprice) y from orders join li on li.id = o_orderkey where o_totalprice > 0), tr as (select f.fold as key, x1, x2, x3, y, 1e0 w from (select distinct fold from fr) f join fr on fr.fold <> f.fold), {FIT.format(least=1, lam='1e-2')} select id, round({PRED}, 6) pred, round(exp(y - ({PRED})) - 1, 6) gap from fr join fit on fit.key = fr.fold")
 def fair_value(spark, sf_dir):
     """Order price against its out-of-fold estimate: ridge in ten folds by key."""
     lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(F.sum("l_quantity").alias("quantity"), F.count("*").alias("lines"), F.avg("l_discount").alias("discount"))
     rows = table(spark, sf_dir, "orders").where("o_totalprice > 0").select(F.col("o_orderkey").alias("id"), F.ln("o_totalprice").alias("y")).join(lines, "id").withColumn("quantity", F.ln("quantity"))
-    out = models.out_of_fold(rows.withColumn("fold", F.pmod(F.xxhash64("id"), F.lit(10))), ["quantity", "lines", "discount"], "y", "fold")
+    out = models.out_of_fold(rows.withColumn("fold", F.col("id") % 10), ["quantity", "lines", "discount"], "y", "fold")
     return out.select("id", r("pred").alias("pred"), r(F.exp(F.col("y") - F.col("pred")) - 1).alias("gap"))
 
 
-@query(None)
+STEP = "b{k} as (select c.place, c.j, min(p.c + c.c) c, arg_min(list_append(p.path, c.j), p.c + c.c) path from b{p} p join c on c.place = p.place and c.i = p.j group by 1, 2)"
+
+
+@query(f"""with {Q}, y as (select place, idx, ln(value) l, row_number() over (partition by place order by idx) - 1 t, count(*) over (partition by place) n from q where value > 0), c as (select a.place, a.t i, b.t + 1 j, greatest(regr_syy(x.l, x.t) - coalesce(regr_sxy(x.l, x.t) * regr_sxy(x.l, x.t) / nullif(regr_sxx(x.l, x.t), 0), 0), 0) c from y a join y b on b.place = a.place and b.t >= a.t + 5 join y x on x.place = a.place and x.t between a.t and b.t where a.n >= 12 group by 1, 2, 3),
+b1 as (select place, j, c, [0, j] path from c where i = 0), {", ".join(STEP.format(k=k, p=k - 1) for k in range(2, 7))}, al as ({" union all ".join(f"select {k} k, * from b{k}" for k in range(1, 7))}), bi as (select al.*, n * ln(greatest(c, 1e-12) / n) + 3 * k * ln(n) bic from al join (select distinct place, n from y) u on u.place = al.place and u.n = al.j), be as (select place, arg_min(path, (bic, k)) path from bi group by 1), sg as (select place, unnest(generate_series(0, len(path) - 2)) s, path from be)
+select sg.place, s as segment, min(y.idx) as "first", max(y.idx) as "last", count(*)::bigint n, round(exp(4 * regr_slope(l, t)) - 1, 6) growth from sg join y on y.place = sg.place and y.t >= path[s + 1] and y.t < path[s + 2] group by 1, 2""")
 def regimes(spark, sf_dir):
     return models.regimes(quarters(spark, sf_dir)).withColumn("growth", r("growth"))
 
