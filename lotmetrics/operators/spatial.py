@@ -30,3 +30,120 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float) -> D
     gridded = gridded.withColumn("_cy", F.explode(F.sequence(at(F.array_min(ys)), at(F.array_max(ys)))))
     placed = points.withColumn("_cx", at(F.col("x"))).withColumn("_cy", at(F.col("y")))
     return placed.join(gridded, ["_cx", "_cy"]).where(inside(F.col("x"), F.col("y"), F.col("rings"))).drop("_cx", "_cy", "rings")
+
+
+#: Lower limits of the distance bands in kilometres.
+BANDS = (0, 25, 50, 100, 200)
+
+
+def distance_band(km: Column) -> Column:
+    """The label of a distance's band."""
+    out = F.lit(None).cast("string")
+    for k, low in enumerate(BANDS):
+        label = f"{low}–{BANDS[k + 1]} km" if k + 1 < len(BANDS) else f"mais de {low} km"
+        out = F.when(km >= low, F.lit(label)).otherwise(out)
+    return out
+
+
+def nearest_centre(places: DataFrame, centres: DataFrame) -> DataFrame:
+    """places (place, lat, lon) with centre, dist_km and band: the nearest of a handful of centres (centre, lat, lon), the first by name of equal ones."""
+    from ..functions.finance import haversine
+
+    few = F.broadcast(centres.select("centre", F.col("lat").alias("_lat"), F.col("lon").alias("_lon")).limit(100))
+    km = haversine(F.col("lat"), F.col("lon"), F.col("_lat"), F.col("_lon"))
+    far = places.join(few, F.lit(True)).withColumn("_km", km)
+    best = far.groupBy("place").agg(F.min(F.struct("_km", "centre")).alias("_b"))
+    return places.join(best, "place").select(*places.columns, F.col("_b.centre").alias("centre"), F.col("_b._km").alias("dist_km"), distance_band(F.col("_b._km")).alias("band"))
+
+
+def ring_area(ring: Column) -> Column:
+    """Signed area of a ring of (x, y): positive where it runs counterclockwise."""
+    n = F.size(ring)
+    term = lambda k: F.get(ring, k)[0] * F.get(ring, F.pmod(k + 1, n))[1] - F.get(ring, F.pmod(k + 1, n))[0] * F.get(ring, k)[1]
+    return F.when(n >= 3, F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0.0), lambda a, k: a + term(k)) / 2)
+
+
+def area_km2(rings: Column, lat: Column) -> Column:
+    """Area of a polygon in degrees (outer rings less holes, whatever their direction where the first one is outer) at a latitude."""
+    km = 111.32
+    sizes = F.transform(rings, lambda r: F.coalesce(ring_area(r), F.lit(0.0)))
+    return F.abs(F.aggregate(sizes, F.lit(0.0), lambda a, x: a + x)) * km * km * F.cos(F.radians(lat))
+
+
+def outer_and_holes(rings: Column) -> Column:
+    """Rings of a service that draws outer rings clockwise, as polygons: each outer ring with the holes that follow it."""
+    begin = F.array().cast("array<array<array<array<double>>>>")
+
+    def step(done: Column, ring: Column) -> Column:
+        hole = (ring_area(ring) > 0) & (F.size(done) > 0)
+        grown = F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(F.concat(F.element_at(done, -1), F.array(ring))))
+        return F.when(hole, grown).otherwise(F.concat(done, F.array(F.array(ring))))
+
+    return F.aggregate(rings, begin, step)
+
+
+def rounded_rings(rings: Column, digits: int = 4) -> Column:
+    return F.transform(rings, lambda r: F.transform(r, lambda p: F.transform(p, lambda v: F.round(v, digits))))
+
+
+def touching(polygons: DataFrame, digits: int = 3) -> DataFrame:
+    """place, neighbour: polygons (place, rings) that share a corner when rounded to `digits`. An equi-join on corners."""
+    corners = polygons.select("place", F.explode(F.flatten("rings")).alias("p")).select("place", F.round(F.col("p")[0], digits).alias("x"), F.round(F.col("p")[1], digits).alias("y")).distinct()
+    other = corners.withColumnRenamed("place", "neighbour")
+    return corners.join(other, ["x", "y"]).where("place <> neighbour").select("place", "neighbour").distinct()
+
+
+def propagation(monthly: DataFrame, near: DataFrame, most_lag: int = 24, least: int = 60) -> DataFrame:
+    """place, lag, r: correlation of a place's yearly log growth with its centre's `lag` months before, over `least` months.
+
+    monthly: place, idx, value (ln); near: place, centre (a place).
+    """
+    from .panel import lagged
+
+    growth = lagged(monthly, 12, "_b").select("place", "idx", (F.col("value") - F.col("_b")).alias("g")).where("g is not null")
+    lags = F.explode(F.sequence(F.lit(0), F.lit(most_lag)))
+    centres = near.select("centre").distinct()
+    lead = growth.join(F.broadcast(centres), F.col("place") == F.col("centre")).select("centre", "idx", F.col("g").alias("_c")).withColumn("lag", lags).withColumn("idx", F.col("idx") + F.col("lag"))
+    rows = growth.join(near.select("place", "centre"), "place").join(lead, ["centre", "idx"])
+    out = rows.groupBy("place", "lag").agg(F.corr("g", "_c").alias("r"), F.count("*").alias("n")).where(F.col("n") >= least)
+    return out.drop("n")
+
+
+def band_curves(curves: DataFrame, near: DataFrame, least: int = 3) -> DataFrame:
+    """band, lag, r: the mean curve of the places of a band; best: whether the lag has the highest mean."""
+    from pyspark.sql import Window as W
+
+    held = curves.where("r is not null").join(near.select("place", "band"), "place")
+    enough = held.groupBy("band").agg(F.count_distinct("place").alias("places")).where(F.col("places") >= least)
+    rows = held.join(F.broadcast(enough), "band").groupBy("band", "places", "lag").agg(F.avg("r").alias("r"))
+    first = F.row_number().over(W.partitionBy("band").orderBy(F.desc("r"), "lag"))
+    return rows.withColumn("best", first == 1)
+
+
+def typologies(features: DataFrame, columns: list[str], ks: tuple[int, ...] = (3, 4, 5, 6), seed: int = 0) -> tuple[DataFrame, dict[int, float]]:
+    """features with `typology` (1: the highest median of the first column) by k-means on winsorised, standardised columns, and the silhouette of each k.
+
+    The k of the best silhouette is taken.  Both are Spark's own; the silhouette is
+    over squared distances.
+    """
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.sql import Window as W
+
+    rows = features.na.drop(subset=columns)
+    ends = rows.agg(*[F.percentile(c, [0.025, 0.975]).alias(c) for c in columns]).first()
+    held = rows.select("place", *[F.least(F.greatest(F.col(c), F.lit(ends[c][0])), F.lit(ends[c][1])).alias(c) for c in columns])
+    sizes = held.agg(*[F.struct(F.avg(c), F.stddev_pop(c)).alias(c) for c in columns]).first()
+    z = held.select("place", array_to_vector(F.array(*[(F.col(c) - sizes[c][0]) / (sizes[c][1] or 1.0) for c in columns])).alias("features")).cache()
+    n, found = z.count(), {}
+    for k in ks:
+        if n > 3 * k:
+            fitted = KMeans(k=k, seed=seed).fit(z).transform(z)
+            found[k] = (ClusteringEvaluator().evaluate(fitted), fitted)
+    if not found:
+        return rows.withColumn("typology", F.lit(None).cast("int")).limit(0), {}
+    best = max(found, key=lambda k: found[k][0])
+    rows = rows.join(found[best][1].select("place", "prediction"), "place")
+    order = rows.groupBy("prediction").agg(F.percentile(columns[0], 0.5).alias("_m")).withColumn("typology", F.row_number().over(W.orderBy(F.desc("_m"))))
+    return rows.join(F.broadcast(order.drop("_m")), "prediction").drop("prediction"), {k: v[0] for k, v in found.items()}
