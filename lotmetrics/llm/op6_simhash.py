@@ -19,9 +19,11 @@ of near copies costs about its own size.
 Where a similarity of texts is asked for, fingerprints only find the first links.
 All other pairs meet by their sets' prefixes: in one order of all shingles, two
 sets of the similarity share one of the first n - ceil(share * n) + 1 of their n
-members.  Shingles that are common in a sample come last in that order.  Pairs
-whose sizes or number of shared prefix members rule the similarity out are not
-compared; no pair that has it is lost, however far its fingerprints are apart.
+members.  Shingles that are common in a sample come last in that order, the most
+common ones at the end.  What two sets can share is bounded by their places: by
+what follows the first shared member, and by the shared members so far and what
+follows the last one.  Pairs whose sizes or places rule the similarity out are
+not compared; no pair that has it is lost, however far its fingerprints are apart.
 
 Null texts are empty; texts without words have fingerprint 0 and link like any
 other.  Rows of equal ids have their own fingerprints and ids count once in a
@@ -158,23 +160,18 @@ def probes(nodes: DataFrame, parts: list, side: int, extra: tuple[str, ...] = ()
 
 
 def prefix_rows(known: DataFrame, prefixes: DataFrame) -> DataFrame:
-    """node, n, root and bucket: a row for each member of a node's prefix that nodes of another root have in theirs."""
+    """node, n, root, pos and bucket: a row for each member of a node's prefix, with its place, that nodes of another root have in theirs."""
     one = prefixes.join(known, "node").where(F.col("doc_id") == F.col("low"))
-    rows = one.select("node", "n", "root", F.explode("prefix").alias("bucket"))
+    rows = one.select("node", "n", "root", F.posexplode("prefix").alias("pos", "bucket"))
     roots = W.partitionBy("bucket")
     rows = rows.withColumns({"least": F.min("root").over(roots), "most": F.max("root").over(roots)})
-    return rows.where(F.col("least") < F.col("most")).select("node", "n", "root", "bucket").distinct()
+    return rows.where(F.col("least") < F.col("most")).select("node", "n", "root", "pos", "bucket").distinct()
 
 
 def near(a: str, b: str, bits: int):
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= bits
 
 
-def least_shared(n, share: float):
-    """The members that a set of n shares with a set of the similarity at least."""
-    return F.ceil(n * F.lit(share) - F.lit(1e-6))
-
-
 def hubs(at: DataFrame, hot: int) -> DataFrame:
     """node and fp of the middle member of each bucket of `hot` or more: the nearest one to the majority of each bit."""
     many = materialize(at.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") >= hot), "many")
@@ -224,8 +221,8 @@ def links_of(nodes: DataFrame, bits: int, verify=None, share: float | None = Non
         known = materialize(known.select("node", "band", *extra), "first")
         index, asks = probes(known, parts, 1, ("root",)), probes(known, parts, 0, ("root",))
     else:
-        extra = ("n", "root")
-        known = materialize(known.select("node", "low", *extra), "first")
+        extra = ("n", "root", "pos")
+        known = materialize(known.select("node", "low", "n", "root"), "first")
         index = asks = materialize(prefix_rows(known, prefixes), "members")
     # the component that fills a bucket, if one does
     large = materialize(first.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") >= hot).select("root"), "large")
@@ -248,11 +245,12 @@ def links_of(nodes: DataFrame, bits: int, verify=None, share: float | None = Non
         pairs = asks.join(other, ["bucket", "inside"]).where(both & near("fp", "fp2", bits)).select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
     else:
         sizes = F.least("n", "n2") >= F.greatest("n", "n2") * F.lit(share) - F.lit(1e-6)
-        met = asks.join(other, ["bucket", "inside"]).where(both & sizes)
-        met = met.groupBy(F.col("node").alias("a"), F.col("node2").alias("b")).agg(F.count("*").alias("c"), F.min("n").alias("n"), F.min("n2").alias("n2"))
-        # up to the end of the prefix that ends first all shared members are counted; the rest of its set may be shared
-        most = F.col("c") + F.greatest(least_shared(F.col("n"), share), least_shared(F.col("n2"), share)) - 1
-        pairs = met.where(most >= (F.col("n") + F.col("n2")) * F.lit(share / (1 + share)) - F.lit(1e-6))
+        needed = (F.col("n") + F.col("n2")) * F.lit(share / (1 + share)) - F.lit(1e-6)  # shared members of a pair that has the similarity
+        # from the first shared member on; where a later one passes, the first one does
+        rest = F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2"))
+        met = asks.join(other, ["bucket", "inside"]).where(both & sizes & (rest >= needed))
+        met = met.groupBy(F.col("node").alias("a"), F.col("node2").alias("b")).agg(F.count("*").alias("c"), *[F.max(c).alias(c) for c in ("n", "n2", "pos", "pos2")])
+        pairs = met.where(F.col("c") - 1 + F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2")) >= needed)
     pairs = verify(pairs.select("a", "b"))
     return components(stars.unionByName(pairs.select("a", "b")))
 
@@ -289,8 +287,8 @@ def name_of(found: np.ndarray, fp: int) -> int:
     return signed(xxhash.xxh64_intdigest(found.tobytes() + fp.to_bytes(8, "little"), 7))
 
 
-def common_shingles(docs: DataFrame, words: int = 5, text: str = "text", sample: int = 16_384, least: int = 3, most: int = 1 << 16) -> np.ndarray:
-    """Ascending hashes of the shingles that `least` of about `sample` different texts hold (the `most` most frequent ones)."""
+def common_shingles(docs: DataFrame, words: int = 5, text: str = "text", sample: int = 16_384, least: int = 3, most: int = 1 << 16) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending hashes of the shingles that `least` of about `sample` different texts hold (the `most` most frequent ones), and how many hold them."""
     def made(batches):
         for b in slices(batches):
             sets = [set_of(shingle_hashes(t, words)) for t in b.column(0).to_pylist()]
@@ -298,14 +296,16 @@ def common_shingles(docs: DataFrame, words: int = 5, text: str = "text", sample:
 
     drawn = F.pmod(F.xxhash64("doc_id", text), F.lit(1 << 20)) < F.lit(math.ceil(sample / max(docs.count(), 1) * (1 << 20)))
     held = docs.where(drawn).select(text).distinct().mapInArrow(made, "h long").groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    return np.array(sorted(r["h"] & MASK for r in held.orderBy(F.desc("n")).limit(most).collect()), dtype=np.uint64)
+    rows = sorted((r["h"] & MASK, r["n"]) for r in held.orderBy(F.desc("n"), "h").limit(most).collect())
+    return np.array([h for h, _ in rows], dtype=np.uint64), np.array([n for _, n in rows], dtype=np.int64)
 
 
-def prefix_of(found: np.ndarray, share: float, common: np.ndarray) -> np.ndarray:
-    """The first members of a set in the order of hashes with the common ones last: sets of the similarity share one at least."""
-    if len(common):
-        late = common[np.minimum(np.searchsorted(common, found), len(common) - 1)] == found
-        found = np.concatenate([found[~late], found[late]])
+def prefix_of(found: np.ndarray, share: float, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The first members of a set in the order of hashes, the common ones last by how common they are: sets of the similarity share one at least."""
+    hashes, counts = common
+    if len(hashes):
+        at = np.minimum(np.searchsorted(hashes, found), len(hashes) - 1)
+        found = found[np.lexsort((found, np.where(hashes[at] == found, counts[at], 0)))]
     return found[: len(found) - math.ceil(share * len(found) - 1e-6) + 1]
 
 
