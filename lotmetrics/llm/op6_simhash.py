@@ -20,10 +20,10 @@ Where a similarity of texts is asked for, fingerprints only find the first links
 All other pairs meet by their sets' prefixes: in one order of all shingles, two
 sets of the similarity share one of the first n - ceil(share * n) + 1 of their n
 members.  Shingles that are common in a sample come last in that order, the most
-common ones at the end.  What two sets can share is bounded by their places: by
-what follows the first shared member, and by the shared members so far and what
-follows the last one.  Pairs whose sizes or places rule the similarity out are
-not compared; no pair that has it is lost, however far its fingerprints are apart.
+common ones at the end.  Each set has a bitmap of 256 parities; two
+sets differ in as many members at least as their bitmaps do in bits.  Pairs whose
+sizes, bitmaps or number of shared prefix members rule the similarity out are not
+compared; no pair that has it is lost, however far its fingerprints are apart.
 
 Null texts are empty; texts without words have fingerprint 0 and link like any
 other.  Rows of equal ids have their own fingerprints and ids count once in a
@@ -45,6 +45,8 @@ from .common import materialize, slices, table, without
 from .graph import components
 
 MASK = (1 << 64) - 1
+#: The words of a set's bitmap: bit k tells whether an odd number of members has k as its low byte.
+PARITIES = ("x0", "x1", "x2", "x3")
 
 
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
@@ -160,18 +162,23 @@ def probes(nodes: DataFrame, parts: list, side: int, extra: tuple[str, ...] = ()
 
 
 def prefix_rows(known: DataFrame, prefixes: DataFrame) -> DataFrame:
-    """node, n, root, pos and bucket: a row for each member of a node's prefix, with its place, that nodes of another root have in theirs."""
+    """node, n, root and bucket: a row for each member of a node's prefix that nodes of another root have in theirs."""
     one = prefixes.join(known, "node").where(F.col("doc_id") == F.col("low"))
-    rows = one.select("node", "n", "root", F.posexplode("prefix").alias("pos", "bucket"))
+    rows = one.select("node", "n", "root", F.explode("prefix").alias("bucket"))
     roots = W.partitionBy("bucket")
     rows = rows.withColumns({"least": F.min("root").over(roots), "most": F.max("root").over(roots)})
-    return rows.where(F.col("least") < F.col("most")).select("node", "n", "root", "pos", "bucket").distinct()
+    return rows.where(F.col("least") < F.col("most")).select("node", "n", "root", "bucket").distinct()
 
 
 def near(a: str, b: str, bits: int):
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= bits
 
 
+def least_shared(n, share: float):
+    """The members that a set of n shares with a set of the similarity at least."""
+    return F.ceil(n * F.lit(share) - F.lit(1e-6))
+
+
 def hubs(at: DataFrame, hot: int) -> DataFrame:
     """node and fp of the middle member of each bucket of `hot` or more: the nearest one to the majority of each bit."""
     many = materialize(at.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") >= hot), "many")
@@ -187,7 +194,7 @@ def hubs(at: DataFrame, hot: int) -> DataFrame:
 def links_of(nodes: DataFrame, bits: int, verify=None, share: float | None = None, prefixes: DataFrame | None = None, sample: int = 1024, hot: int = 64) -> DataFrame:
     """Roots (node, root) of the nodes that have a link.
 
-    nodes: node (unique), fp, band (0 without a share) and, with a share, n and low.
+    nodes: node (unique), fp, band (0 without a share) and, with a share, n, low and PARITIES.
     With a share, pairs within `bits` in neighbouring bands are only the first links
     and prefixes (node, doc_id, prefix) find the rest; without, all pairs within
     `bits` link.
@@ -221,9 +228,9 @@ def links_of(nodes: DataFrame, bits: int, verify=None, share: float | None = Non
         known = materialize(known.select("node", "band", *extra), "first")
         index, asks = probes(known, parts, 1, ("root",)), probes(known, parts, 0, ("root",))
     else:
-        extra = ("n", "root", "pos")
+        extra = ("n", "root", *PARITIES)
         known = materialize(known.select("node", "low", "n", "root"), "first")
-        index = asks = materialize(prefix_rows(known, prefixes), "members")
+        index = asks = materialize(prefix_rows(known, prefixes).join(nodes.select("node", *PARITIES), "node"), "members")
     # the component that fills a bucket, if one does
     large = materialize(first.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") >= hot).select("root"), "large")
     keep, full = ("node", *extra, "bucket"), None
@@ -246,24 +253,25 @@ def links_of(nodes: DataFrame, bits: int, verify=None, share: float | None = Non
     else:
         sizes = F.least("n", "n2") >= F.greatest("n", "n2") * F.lit(share) - F.lit(1e-6)
         needed = (F.col("n") + F.col("n2")) * F.lit(share / (1 + share)) - F.lit(1e-6)  # shared members of a pair that has the similarity
-        # from the first shared member on; where a later one passes, the first one does
-        rest = F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2"))
-        met = asks.join(other, ["bucket", "inside"]).where(both & sizes & (rest >= needed))
-        met = met.groupBy(F.col("node").alias("a"), F.col("node2").alias("b")).agg(F.count("*").alias("c"), *[F.max(c).alias(c) for c in ("n", "n2", "pos", "pos2")])
-        pairs = met.where(F.col("c") - 1 + F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2")) >= needed)
+        apart = sum((F.bit_count(F.col(x).bitwiseXOR(F.col(f"{x}2"))) for x in PARITIES), F.lit(0))
+        met = asks.join(other, ["bucket", "inside"]).where(both & sizes & (apart <= F.col("n") + F.col("n2") - 2 * needed))
+        met = met.groupBy(F.col("node").alias("a"), F.col("node2").alias("b")).agg(F.count("*").alias("c"), F.min("n").alias("n"), F.min("n2").alias("n2"))
+        # up to the end of the prefix that ends first all shared members are counted; the rest of its set may be shared
+        most = F.col("c") + F.greatest(least_shared(F.col("n"), share), least_shared(F.col("n2"), share)) - 1
+        pairs = met.where(most >= needed)
     pairs = verify(pairs.select("a", "b"))
     return components(stars.unionByName(pairs.select("a", "b")))
 
 
 def near_components(prints: DataFrame, bits: int = 4, verify=None, share: float | None = None) -> DataFrame:
-    """prints: doc_id, fp and, with a share, node, n, prefix. Adds component_id, the smallest id reachable."""
+    """prints: doc_id, fp and, with a share, node, n, prefix and PARITIES. Adds component_id, the smallest id reachable."""
     if share is None:
         prints = materialize(prints.select("doc_id", "fp", F.col("fp").alias("node")), "prints")
         nodes = prints.groupBy("node").agg(F.min("fp").alias("fp"), F.min("doc_id").alias("low")).withColumn("band", F.lit(0))
     else:
         # a little over 1 / share, so that rounding never puts similar sets two bands apart
         band = F.floor(F.log(F.greatest("n", F.lit(1))) / F.lit(math.log(1.001 / share))).cast("int")
-        nodes = prints.groupBy("node").agg(F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("doc_id").alias("low")).withColumn("band", band)
+        nodes = prints.groupBy("node").agg(F.min("doc_id").alias("low"), *[F.min(c).alias(c) for c in ("fp", "n", *PARITIES)]).withColumn("band", band)
     nodes = materialize(nodes, "nodes")
     roots = links_of(nodes, bits, verify, share, None if share is None else prints.select("node", "doc_id", "prefix"))
     joined = nodes.join(roots, "node")
@@ -287,6 +295,12 @@ def name_of(found: np.ndarray, fp: int) -> int:
     return signed(xxhash.xxh64_intdigest(found.tobytes() + fp.to_bytes(8, "little"), 7))
 
 
+def parities(found: np.ndarray) -> list[int]:
+    """The bitmap of a set in four words."""
+    odd = np.bincount((found & np.uint64(0xFF)).astype(np.int64), minlength=256) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").tolist()
+
+
 def common_shingles(docs: DataFrame, words: int = 5, text: str = "text", sample: int = 16_384, least: int = 3, most: int = 1 << 16) -> tuple[np.ndarray, np.ndarray]:
     """Ascending hashes of the shingles that `least` of about `sample` different texts hold (the `most` most frequent ones), and how many hold them."""
     def made(batches):
@@ -310,22 +324,21 @@ def prefix_of(found: np.ndarray, share: float, common: tuple[np.ndarray, np.ndar
 
 
 def described(docs: DataFrame, words: int = 5, share: float = 0.8, text: str = "text") -> DataFrame:
-    """doc_id, fp, node, n (different shingles) and prefix: what links_of compares before it asks for texts."""
+    """doc_id, fp, node, n (different shingles), prefix and PARITIES: what links_of compares before it asks for texts."""
     common = common_shingles(docs, words, text)
 
     def made(batches):
         for b in slices(batches):
-            prints, nodes, sizes, prefixes = [], [], [], []
+            rows = []
             for t in b.column(1).to_pylist():
                 hashes = shingle_hashes(t, words)
                 fp, found = fingerprint(hashes), set_of(hashes)
-                prints.append(signed(fp))
-                nodes.append(name_of(found, fp))
-                sizes.append(len(found))
-                prefixes.append(prefix_of(found, share, common).view(np.int64))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))], names=["doc_id", "fp", "node", "n", "prefix"])
+                rows.append((signed(fp), name_of(found, fp), len(found), prefix_of(found, share, common).view(np.int64), *parities(found)))
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), *[pa.int64()] * len(PARITIES)]
+            columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]], names=["doc_id", "fp", "node", "n", "prefix", *PARITIES])
 
-    return docs.select("doc_id", text).mapInArrow(made, "doc_id long, fp long, node long, n long, prefix array<long>")
+    return docs.select("doc_id", text).mapInArrow(made, "doc_id long, fp long, node long, n long, prefix array<long>, " + ", ".join(f"{x} long" for x in PARITIES))
 
 
 def jaccard_verifier(docs: DataFrame, prints: DataFrame, words: int = 5, share: float = 0.8):
