@@ -23,5 +23,5 @@ def test_query(spark, name):
     for df in (got, want):
         df = df[columns].astype({c: "float64" for c in columns if df[c].dtype.kind in "iufb" or str(df[c].dtype).startswith("Int")})
         order = [c for c in columns if df[c].dtype.kind not in "f"] + [c for c in ("place", "idx", "lag", "id", "polygon", "quarter", "first", "o_custkey", "user_id", "event", "flagged") if c in columns]
-        both.append(df.sort_values(list(dict.fromkeys(order or columns))).reset_index(drop=True))
+        both.append(df.sort_values(list(dict.fromkeys(c for c in [*order, "target", "h", *columns] if c in columns))).reset_index(drop=True))
     pd.testing.assert_frame_equal(*both, check_dtype=False, rtol=1e-9, atol=2e-6)

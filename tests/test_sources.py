@@ -12,17 +12,17 @@ def put(tmp_path, name, text):
 
 
 def test_statistics_json(spark, tmp_path):
-    records = [{"geocod": "1701106", "geodsg": "Lisboa", "valor": "1.234,5", "dim_3": "T", "other": 1}, {"geocod": "PT", "geodsg": "Portugal", "valor": "x"}]
-    path = put(tmp_path, "a.json", [{"Sucesso": {}}, {"Dados": {"1.º Trimestre de 2024": records, "sem data": records}}])
+    records = [{"geocod": "9990102", "geodsg": "Vale Verde", "valor": "7.654,25", "dim_5": "Q", "other": 1}, {"geocod": "PT", "geodsg": "todo", "valor": ".."}]
+    path = put(tmp_path, "a.json", [{"Sucesso": {}}, {"Dados": {"3.º Trimestre de 2031": records, "sem data": records}}])
     rows = readers.statistics_json(spark, path, "7").orderBy("geocod").collect()
-    assert [(r["period"], r["level"], r["municipality"], r["value"], r["dims"]) for r in rows] == [("2024Q1", "municipality", "1106", 1234.5, {"dim_3": "T"}), ("2024Q1", "national", None, None, {})]
+    assert [(r["period"], r["level"], r["municipality"], r["value"], r["dims"]) for r in rows] == [("2031Q3", "municipality", "0102", 7654.25, {"dim_5": "Q"}), ("2031Q3", "national", None, None, {})]
     with pytest.raises(Exception, match="no data block"):
         readers.statistics_json(spark, put(tmp_path, "b.json", [{"Sucesso": {}}]), "7").collect()
 
 
 def test_json_stat(spark, tmp_path):
-    js = {"id": ["unit", "geo", "time"], "size": [1, 2, 3], "value": {"0": 1, "2": 3.5, "4": 5}, "dimension": {"unit": {"category": {"index": ["x"]}}, "geo": {"category": {"index": {"PT": 1, "ES": 0}}}, "time": {"category": {"index": ["2020-Q1", "2020-Q2", "2020-Q3"]}}}}
-    want = [("ES", "2020Q1", 1.0), ("ES", "2020Q3", 3.5), ("PT", "2020Q2", 5.0)]
+    js = {"id": ["unit", "geo", "time"], "size": [1, 2, 3], "value": {"0": 1, "2": 3.5, "4": 5}, "dimension": {"unit": {"category": {"index": ["x"]}}, "geo": {"category": {"index": {"ZB": 1, "ZA": 0}}}, "time": {"category": {"index": ["2020-Q1", "2020-Q2", "2020-Q3"]}}}}
+    want = [("ZA", "2020Q1", 1.0), ("ZA", "2020Q3", 3.5), ("ZB", "2020Q2", 5.0)]
     assert sorted(map(tuple, readers.json_stat(spark, put(tmp_path, "m.json", js), "geo").collect())) == want
     js["value"] = [1, None, 3.5, None, 5, None]
     path = put(tmp_path, "l.json", js)
