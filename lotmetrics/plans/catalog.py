@@ -316,4 +316,4 @@ def regimes(spark, sf_dir):
     return models.regimes(quarters(spark, sf_dir)).withColumn("growth", r("growth"))
 
 
-from . import backtests, calculators, market, parishes, scores, views  # noqa: E402, F401  register their queries
+from . import backtests, calculators, market, parishes, rates, scores, views  # noqa: E402, F401  register their queries
