@@ -170,3 +170,35 @@ def forecast_features(sales: DataFrame, valuation: DataFrame, rates: DataFrame,
 def verdict(gain_far: Column, gain_near: Column, least: float = 0.01, most_loss: float = 0.01) -> Column:
     """Whether a candidate signal passes: a gain at the far horizon without more than a small loss at the near one."""
     return (gain_far >= least) & (gain_near >= -most_loss)
+
+
+def calibrated(rows: DataFrame, origins: int = 3, least: int = 60) -> DataFrame:
+    """h, calibrated: enough origins and residuals (origin, h, y, pred) for error bounds."""
+    held = rows.where("y is not null and pred is not null")
+    return held.groupBy("h").agg(((F.count_distinct("origin") >= origins) & (F.count("*") >= least)).alias("calibrated"))
+
+
+def usable(rows: DataFrame, features: list[str]) -> DataFrame:
+    """feature, usable: whether a feature has two different values."""
+    seen = rows.agg(*[F.count_distinct(c).alias(c) for c in features])
+    return seen.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), (F.col(c) > 1).alias("usable")) for c in features])))
+
+
+def growth_summary(forecasts: DataFrame, region: str = "region") -> DataFrame:
+    """region (null: all), n, median, p25, p75, share_up of forecast growth (place, region, growth)."""
+    made = [F.count("*").alias("n"), F.percentile("growth", 0.5).alias("median"), F.percentile("growth", 0.25).alias("p25"), F.percentile("growth", 0.75).alias("p75"), F.avg((F.col("growth") > 0).cast("double")).alias("share_up")]
+    held = forecasts.where("growth is not null")
+    every = held.agg(*made).select(F.lit(None).cast(forecasts.schema[region].dataType).alias(region), "n", "median", "p25", "p75", "share_up")
+    return every.unionByName(held.groupBy(region).agg(*made))
+
+
+def points_text(x: Column) -> Column:
+    """4,6 p.p."""
+    return F.concat(F.replace(F.format_string("%.1f", x * 100), F.lit("."), F.lit(",")), F.lit(" p.p."))
+
+
+def reading(skill: Column, coverage: Column) -> Column:
+    """better, alike or worse than the naive forecast, and whether the 80 % bounds were narrow, right or wide."""
+    against = F.when(skill > 0.05, "better").when(skill < -0.05, "worse").otherwise("alike")
+    bounds = F.when(coverage < 0.72, "narrow").when(coverage > 0.9, "wide").otherwise("right")
+    return F.when(skill.isNotNull() & coverage.isNotNull(), F.struct(against.alias("against_naive"), bounds.alias("bounds")))

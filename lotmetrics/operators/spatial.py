@@ -147,3 +147,47 @@ def typologies(features: DataFrame, columns: list[str], ks: tuple[int, ...] = (3
     rows = rows.join(found[best][1].select("place", "prediction"), "place")
     order = rows.groupBy("prediction").agg(F.percentile(columns[0], 0.5).alias("_m")).withColumn("typology", F.row_number().over(W.orderBy(F.desc("_m"))))
     return rows.join(F.broadcast(order.drop("_m")), "prediction").drop("prediction"), {k: v[0] for k, v in found.items()}
+
+
+def points_by_place(points: DataFrame, polygons: DataFrame, codes: DataFrame, names: DataFrame, cell: float) -> DataFrame:
+    """points (id, code, x, y, parish, town) with `place`: by a known code, else by the polygon, else by the parish's and town's plain names.
+
+    polygons: polygon, rings; codes: place; names: place, parish, town.
+    """
+    from ..functions.keys import plain
+
+    known = F.broadcast(codes.select(F.col("place").alias("_by_code")).distinct())  # some thousand parishes
+    rows = points.join(known, F.col("code") == F.col("_by_code"), "left")
+    inside_of = points_in_polygons(rows.where("_by_code is null and x is not null and y is not null").select("id", "x", "y"), polygons, cell).groupBy("id").agg(F.min("polygon").alias("_by_shape"))
+    named = F.broadcast(names.groupBy(plain(F.col("parish")).alias("_p"), plain(F.col("town")).alias("_t")).agg(F.min("place").alias("_by_name")))
+    rows = rows.join(inside_of, "id", "left").withColumns({"_p": plain(F.col("parish")), "_t": plain(F.col("town"))}).join(named, ["_p", "_t"], "left")
+    return rows.withColumn("place", F.coalesce("_by_code", "_by_shape", "_by_name")).drop("_by_code", "_by_shape", "_by_name", "_p", "_t")
+
+
+def counts_by_kind(placed: DataFrame, kinds: tuple[str, ...] = ("school", "health", "station")) -> DataFrame:
+    """place and n_* of each kind."""
+    return placed.where("place is not null").groupBy("place").agg(*[F.count_if(F.col("kind") == k).alias(f"n_{k}") for k in kinds])
+
+
+def covered_share(polygons: DataFrame, zones: DataFrame, cell: float) -> DataFrame:
+    """place, share: the part of each polygon (place, rings) inside the union of zones (polygon, rings), for polygons that any zone touches.
+
+    Areas are counted by the centres of a grid of `cell` degrees: the error is
+    bounded by the cells that a border crosses. Zones that overlap count once.
+    """
+    corners = F.flatten("rings")
+    ends = lambda k, f: f(F.transform(corners, lambda p: p[k]))
+    span = lambda k: F.sequence(F.floor(ends(k, F.array_min) / cell), F.floor(ends(k, F.array_max) / cell))
+    grid = polygons.where(F.size(corners) > 0).withColumn("_i", F.explode(span(0))).withColumn("_j", F.explode(span(1)))
+    grid = grid.withColumns({"x": (F.col("_i") + 0.5) * cell, "y": (F.col("_j") + 0.5) * cell}).where(inside(F.col("x"), F.col("y"), F.col("rings"))).select("place", "x", "y")
+    wet = points_in_polygons(grid, zones, cell * 16).select("place", "x", "y").distinct().groupBy("place").agg(F.count("*").alias("_w"))
+    return grid.groupBy("place").agg(F.count("*").alias("_n")).join(wet, "place").select("place", (F.col("_w") / F.col("_n")).alias("share"))
+
+
+def cluster_name(level: Column, before: Column, after: Column, median_before: Column, median_after: Column, split: str) -> Column:
+    """The fixed wording of a typology's price level and dynamics."""
+    at = F.when(level > 0.25, "Mais caros").when(level < -0.25, "Mais baratos").otherwise("Preço médio")
+    slowing = F.when(before > median_before + 0.03, f"boom até {split}, agora a abrandar").otherwise("subida a abrandar")
+    steady = F.concat(F.lit("subida estável e "), F.when(after > median_after + 0.02, "forte").when(after < median_after - 0.02, "fraca").otherwise("moderada"))
+    how = F.when((before < 0.02) & (after > median_after), f"arranque tardio (parados até {split}, a subir depois)").when(after > before + 0.03, "subida a acelerar").when(after < before - 0.03, slowing).otherwise(steady)
+    return F.concat(at, F.lit(", "), how)

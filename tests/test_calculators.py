@@ -61,3 +61,37 @@ def test_typologies(spark):
     out, silhouettes = spatial.typologies(rows, ["level", "before"], (3, 4))
     levels = {r["typology"]: r["m"] for r in out.groupBy("typology").agg(F.avg("level").alias("m")).collect()}
     assert set(silhouettes) == {3, 4} and max(silhouettes, key=silhouettes.get) == 4 and levels == {1: 3.0, 2: 2.0, 3: 1.0, 4: 0.0}
+
+
+def test_demo_panel(spark):
+    from lotmetrics.operators import evaluation as E
+    from lotmetrics.operators import features as S
+    from lotmetrics.sources import demo
+
+    squares, parishes = demo.places(spark), demo.places(spark, parts=2)
+    assert squares.count() == 48 and parishes.count() == 192 and parishes.select("place").distinct().count() == 192
+    assert spatial.touching(squares).where("place = '0101'").count() == 3
+    sales = demo.series(spark, 2019 * 4 + 3, 2026 * 4 + 1)
+    feats = S.municipal_features(sales).collect()
+    assert len(feats) == 48 and {r["band"] for r in feats} == {"green", "amber", "red"} and sum(r["volatile"] for r in feats) == 5
+    index = demo.boom_and_bust(spark, ["AA", "BB"])
+    prices = index.select("place", "idx", F.lit(100.0).alias("value"))
+    events = {r["place"]: r["n"] for r in E.outcomes(index, prices).where("event = 1").groupBy("place").agg(F.count("*").alias("n")).collect()}
+    assert set(events) == {"AA"}
+    history = E.national_history(index).join(E.outcomes(index, prices), ["place", "idx"])
+    assert E.episode_hits(history, "score", 70).first()["signalled"]
+
+
+def test_points_and_zones(spark):
+    from lotmetrics.sources import demo
+
+    squares = demo.places(spark).withColumnRenamed("place", "polygon")
+    points = spark.createDataFrame([(1, "0105", None, None, None, None), (2, "9999", -9.25, 37.2, None, None), (3, None, 0.0, 0.0, "Vila-Nova", "São X"), (4, None, None, None, "?", "?")], "id int, code string, x double, y double, parish string, town string")
+    codes, names = squares.select(F.col("polygon").alias("place")), spark.createDataFrame([("0110", "vila nova", "SAO X")], "place string, parish string, town string")
+    got = {r["id"]: r["place"] for r in spatial.points_by_place(points, squares.select("polygon", "rings"), codes, names, 0.5).collect()}
+    assert got == {1: "0105", 2: "0101", 3: "0110", 4: None}
+    zone = spark.createDataFrame([(1, [[[-9.5, 37.0], [-9.25, 37.0], [-9.25, 37.4], [-9.5, 37.4]]]), (2, [[[-9.5, 37.0], [-9.25, 37.0], [-9.25, 37.4], [-9.5, 37.4]]])], "polygon int, rings array<array<array<double>>>")
+    share = spatial.covered_share(demo.places(spark).select("place", "rings"), zone, 0.01).collect()
+    assert [(r["place"], round(r["share"], 2)) for r in share] == [("0101", 0.5)]
+    kinds = spark.createDataFrame([("a", "school"), ("a", "station"), (None, "school")], "place string, kind string")
+    assert tuple(spatial.counts_by_kind(kinds).first()) == ("a", 1, 0, 1)
