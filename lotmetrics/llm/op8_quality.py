@@ -42,7 +42,7 @@ class Model:
         if not text or not self.good:
             return 0.0
         if self.ready is None:
-            self.ready = [zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(x, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False, write_dict_id=False) for x in (self.good, self.bad)]
+            self.ready = [zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(x, dict_type=zstandard.DICT_TYPE_AUTO), write_content_size=False, write_dict_id=False) for x in (self.good, self.bad)]
         raw = memoryview(text.encode("utf-8", "surrogatepass"))
         a, b = (sum(len(c.compress(raw[i : i + BLOCK])) for i in range(0, len(raw), BLOCK)) for c in self.ready)
         return (a - b) / (a + b)
@@ -67,7 +67,7 @@ def calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 1e-6) -> tuple[float,
 
 
 def dictionary(texts: list[str], size: int) -> bytes:
-    """Content shared by the texts: zstandard's trainer, else their beginning parts in turn."""
+    """zstandard's trained dictionary with its entropy tables; where the trainer finds too little, the texts' last parts as plain content."""
     blocks = [raw[i : i + BLOCK] for t in texts if (raw := t.encode("utf-8", "surrogatepass")) for i in range(0, len(raw), BLOCK)]
     try:
         made = zstandard.train_dictionary(size, blocks).as_bytes()

@@ -109,7 +109,7 @@ def test_quality_scores_by_compressing(spark):
     assert model.good and model.bad
 
     def size(raw, content):
-        c = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False, write_dict_id=False)
+        c = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_AUTO), write_content_size=False, write_dict_id=False)
         return sum(len(c.compress(raw[i : i + 1024])) for i in range(0, len(raw), 1024))
 
     for r in op8_quality.score(docs, model, out="s").limit(25).collect():
