@@ -178,3 +178,34 @@ def regimes(df: DataFrame, least: int = 6, most: int = 6, per_year: int = 4) ->
 
     kind = df.schema["place"].dataType.simpleString()
     return df.where("value > 0").select("place", "idx", "value").groupBy("place").applyInPandas(split, f"place {kind}, segment long, first long, last long, n long, growth double")
+
+
+def signal_test(df: DataFrame, base: list[str], signal: str, y: str, lam: float = 0.05, least: int = 30) -> DataFrame:
+    """h, n, mae_base, mae_signal, gain: the same backtest without and with a candidate signal, over rows that both predict."""
+    keys = ["place", "origin", "h"]
+    plain = backtest(df, base, y, None, lam, least).select(*keys, y, F.col("pred").alias("_b"))
+    more = backtest(df, [*base, signal], y, None, lam, least).select(*keys, F.col("pred").alias("_s"))
+    rows = plain.join(more, keys).where(F.col(y).isNotNull() & F.col("_b").isNotNull() & F.col("_s").isNotNull())
+    out = rows.groupBy("h").agg(F.count("*").alias("n"), F.avg(F.abs(F.col("_b") - F.col(y))).alias("mae_base"), F.avg(F.abs(F.col("_s") - F.col(y))).alias("mae_signal"))
+    return out.withColumn("gain", 1 - F.try_divide("mae_signal", "mae_base"))
+
+
+def shrunk_sigma(df: DataFrame, weight: float = 3.0, value: str = "value") -> DataFrame:
+    """place, sigma: the spread of a place's steps, drawn towards the median place's by the number of its steps against `weight`."""
+    steps = df.withColumn("_d", F.col(value) - F.lag(value).over(ordered()))
+    own = steps.groupBy("place").agg(F.stddev_samp("_d").alias("_s"), F.count("_d").alias("_n"))
+    middle = own.agg(F.percentile("_s", 0.5).alias("m")).scalar()
+    pooled = F.sqrt((F.col("_n") * F.pow(F.coalesce("_s", F.lit(0.0)), 2) + weight * F.pow(middle, 2)) / (F.col("_n") + weight))
+    return own.select("place", F.when(F.col("_s").isNull(), middle).otherwise(pooled).alias("sigma"))
+
+
+def cross_validated(df: DataFrame, xs: list[str], y: str, key: str, folds: int = 10, repeats: int = 5, lam: float = 0.01) -> DataFrame:
+    """repeat, r2: out-of-fold share of variance explained, the folds dealt anew by the key's remainder after each shift."""
+    rows = df.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+    rows = rows.withColumn("fold", F.pmod(F.floor(F.col(key) / (F.col("repeat") + 1)), F.lit(folds)).cast("int"))
+    m = moments(rows, ["repeat", "fold"], xs, y)
+    w = W.partitionBy("repeat").orderBy("fold")  # a row a fold
+    rest = joined_moments(m, [w.rowsBetween(W.unboundedPreceding, -1), w.rowsBetween(1, W.unboundedFollowing)])
+    fits = ridge(rest, len(xs), lam).select("repeat", "fold", "fit")
+    held = rows.join(F.broadcast(fits), ["repeat", "fold"]).withColumn("pred", predicted(F.col("fit"), xs)).where(F.col("pred").isNotNull())
+    return held.groupBy("repeat").agg((1 - F.sum(F.pow(F.col(y) - F.col("pred"), 2)) / (F.var_pop(y) * F.count("*"))).alias("r2"))

@@ -306,6 +306,31 @@ def fair_value(spark, sf_dir):
     return out.select("id", r("pred").alias("pred"), r(F.exp(F.col("y") - F.col("pred")) - 1).alias("gap"))
 
 
+#: The same on two features, under other names.
+FIT2 = """mo2 as (select key, count(*) n, avg(x1) m1, avg(x2) m2, avg(y) my, min(x1) lo1, max(x1) hi1, min(x2) lo2, max(x2) hi2, var_pop(x1) c11, var_pop(x2) c22, covar_pop(x1, x2) c12, covar_pop(y, x1) d1, covar_pop(y, x2) d2 from tr group by 1 having count(*) >= {least}),
+co2 as (select *, 1 + {lam} a, c12 / sqrt(c11 * c22) f, d1 / sqrt(c11) r1, d2 / sqrt(c22) r2 from mo2), be2 as (select *, (a * r1 - f * r2) / (a * a - f * f) / sqrt(c11) b1, (a * r2 - f * r1) / (a * a - f * f) / sqrt(c22) b2 from co2)"""
+
+
+@query(f"with {Q}, {ROWS.format(source='q')}, {PAST.format(w='1e0')}, {FIT.format(least=30, lam='5e-2')}, {FIT2.format(least=30, lam='5e-2')}, p as (select fr.h, fr.y, {PRED.replace('b0', 'fit.b0').replace('b1', 'fit.b1').replace('b2', 'fit.b2').replace('lo1', 'fit.lo1').replace('hi1', 'fit.hi1').replace('lo2', 'fit.lo2').replace('hi2', 'fit.hi2')} s, be2.my + be2.b1 * (least(greatest(x1, be2.lo1), be2.hi1) - be2.m1) + be2.b2 * (least(greatest(x2, be2.lo2), be2.hi2) - be2.m2) b from fr join fit on fit.key = fr.h * 100000 + fr.origin join be2 on be2.key = fit.key) select h::int h, count(*)::bigint n, round(avg(abs(b - y)), 6) mae_base, round(avg(abs(s - y)), 6) mae_signal, round(1 - avg(abs(s - y)) / avg(abs(b - y)), 6) gain from p where y is not null and s is not null and b is not null group by 1")
+def signal_test(spark, sf_dir):
+    """Whether the volume's yearly change improves the forecast."""
+    out = models.signal_test(forecast_rows(stored(quarters(spark, sf_dir))), FEATURES[:2], FEATURES[2], "y")
+    return out.select("h", "n", *[r(c).alias(c) for c in ("mae_base", "mae_signal", "gain")])
+
+
+@query(f"with {Q}, s as (select place, ln(value) - lag(ln(value)) over (partition by place order by idx) d from q), o as (select place, stddev_samp(d) s, count(d) n from s group by 1), m as (select quantile_cont(s, 0.5) m from o) select place, round(case when s is null then m else sqrt((n * s * s + 3 * m * m) / (n + 3)) end, 6) sigma from o cross join m")
+def shrunk_sigma(spark, sf_dir):
+    return models.shrunk_sigma(quarters(spark, sf_dir).withColumn("value", F.ln("value"))).select("place", r("sigma").alias("sigma"))
+
+
+@query(f"with li as (select l_orderkey id, ln(sum(l_quantity)) x1, count(*)::double x2, avg(l_discount) x3 from lineitem group by 1), fr as (select o_orderkey id, rp, ((o_orderkey // (rp + 1)) % 10) fold, x1, x2, x3, ln(o_totalprice) y from orders join li on li.id = o_orderkey cross join (select unnest(range(2)) rp) where o_totalprice > 0), tr as (select f.rp * 100 + f.fold as key, x1, x2, x3, y, 1e0 w from (select distinct rp, fold from fr) f join fr on fr.rp = f.rp and fr.fold <> f.fold), {FIT.format(least=1, lam='1e-2')} select rp::int as \"repeat\", round(1 - sum(pow(y - ({PRED}), 2)) / (var_pop(y) * count(*)), 6) r2 from fr join fit on fit.key = fr.rp * 100 + fr.fold group by 1")
+def cross_validated_r2(spark, sf_dir):
+    """How much of the order price the fair value explains out of fold."""
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(F.sum("l_quantity").alias("quantity"), F.count("*").alias("lines"), F.avg("l_discount").alias("discount"))
+    rows = table(spark, sf_dir, "orders").where("o_totalprice > 0").select(F.col("o_orderkey").alias("id"), F.ln("o_totalprice").alias("y")).join(lines, "id").withColumn("quantity", F.ln("quantity"))
+    return models.cross_validated(rows, ["quantity", "lines", "discount"], "y", "id", 10, 2).select("repeat", r("r2").alias("r2"))
+
+
 STEP = "b{k} as (select c.place, c.j, min(p.c + c.c) c, arg_min(list_append(p.path, c.j), p.c + c.c) path from b{p} p join c on c.place = p.place and c.i = p.j group by 1, 2)"
 
 
