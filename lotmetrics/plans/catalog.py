@@ -6,7 +6,7 @@ from ..functions import finance, keys
 from ..operators import models, spatial
 from ..operators import panel as P
 from .base import ORACLE, QUERIES, query, r  # noqa: F401
-from .panels import D, M, Q, deflator, months, quarters, stored, table
+from .panels import D, M, Q, Y, deflator, months, quarters, stored, table, years
 
 RANK = "100.0 * (rank() over (partition by {0} is null order by {0}) + (count(*) over (partition by {0}) - 1) / 2.0) / count({0}) over (partition by {0} is null)"
 
@@ -318,6 +318,18 @@ def signal_test(spark, sf_dir):
     return out.select("h", "n", *[r(c).alias(c) for c in ("mae_base", "mae_signal", "gain")])
 
 
+@query(f"with {Y}, fr as (select a.place, a.idx origin, 1 h, ln(a.value) - ln(b.value) x1, ln(a.n) - ln(b.n) x2, 0 x3, ln(c.value) - ln(a.value) y, a.value from y a left join y b on b.place = a.place and b.idx = a.idx - 1 left join y c on c.place = a.place and c.idx = a.idx + 1), {PAST.format(w='1e0')}, {FIT2.format(least=20, lam='5e-2')} select place, origin, round(my + b1 * (least(greatest(x1, lo1), hi1) - m1) + b2 * (least(greatest(x2, lo2), hi2) - m2), 6) pred, round(fr.value * exp(my + b1 * (least(greatest(x1, lo1), hi1) - m1) + b2 * (least(greatest(x2, lo2), hi2) - m2)), 4) mid from fr left join be2 on be2.key = 100000 + fr.origin")
+def rent_forecast(spark, sf_dir):
+    """The yearly forecast: next year's level from the growth of the level and of the number of contracts, as known at each origin."""
+    q = stored(years(spark, sf_dir))
+    for name, of, lag in (("v1", "value", 1), ("n1", "n", 1), ("then", "value", -1)):
+        q = P.lagged(q, lag, name, of)
+    step = lambda a, b: F.ln(a) - F.ln(b)
+    rows = q.select("place", F.col("idx").alias("origin"), F.lit(1).alias("h"), "value", step("value", "v1").alias("mom"), step("n", "n1").alias("contracts"), step("then", "value").alias("y"))
+    out = models.backtest(rows, ["mom", "contracts"], "y", None, 0.05, 20)
+    return out.select("place", "origin", r("pred").alias("pred"), r(F.col("value") * F.exp("pred"), 4).alias("mid"))
+
+
 @query(f"with {Q}, s as (select place, ln(value) - lag(ln(value)) over (partition by place order by idx) d from q), o as (select place, stddev_samp(d) s, count(d) n from s group by 1), m as (select quantile_cont(s, 0.5) m from o) select place, round(case when s is null then m else sqrt((n * s * s + 3 * m * m) / (n + 3)) end, 6) sigma from o cross join m")
 def shrunk_sigma(spark, sf_dir):
     return models.shrunk_sigma(quarters(spark, sf_dir).withColumn("value", F.ln("value"))).select("place", r("sigma").alias("sigma"))
