@@ -128,7 +128,7 @@ def correlation_at_lags(df: DataFrame, lead: DataFrame, lags: list[int]) -> Data
     return rows.groupBy("place", "lag").agg(F.corr("value", "_lead").alias("r"), F.count("*").alias("n"))
 
 
-def percentile_ranks(df: DataFrame, value: str, out: str, buckets: int = 512) -> DataFrame:
+def percentile_ranks(df: DataFrame, value: str, out: str, buckets: int = 128) -> DataFrame:
     """pct_rank() for tables of any size: no task sorts all rows.
 
     Rows are dealt to value ranges by approximate quantiles; equal values share a
