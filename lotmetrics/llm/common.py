@@ -6,6 +6,8 @@ import tempfile
 import time
 import uuid
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +63,18 @@ def slices(batches, rows: int = 512):
     return (b.slice(i, rows) for b in batches for i in range(0, b.num_rows, rows))
 
 
+def blocks(batches, size: int):
+    """Arrow batches in slices whose first column, text as binary, holds about `size` bytes; a longer text is alone."""
+    for b in batches:
+        held = np.cumsum(pc.fill_null(pc.binary_length(b.column(0)), 0).to_numpy(zero_copy_only=False))
+        first = 0
+        while first < b.num_rows:
+            before = int(held[first - 1]) if first else 0
+            last = max(first + 1, int(np.searchsorted(held, before + size, side="right")))
+            yield b.slice(first, last - first)
+            first = last
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write df to the shared folder and read it back: lineage is cut and sizes are known.
 
