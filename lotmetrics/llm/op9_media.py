@@ -2,13 +2,14 @@
 
 A text's UTF-8 bytes (null: empty), zero-padded to a positive multiple of 64,
 become the samples of a mono WAV file; the wave module reads the stored bytes
-back.  A short-time Fourier transform (Hann windows of FRAME samples, or SHORT ones
-in payloads of up to FRAME, at every half window from half a window before the first
-sample, so that all samples weigh the same) gives magnitudes; the strongest bin of
-each of `bands` bands of a frame
-that stands out of its frame's mean is a peak; each peak is paired with the
-peaks of the next `reach` frames' same or neighbouring bands.  A pair is the
-code time << 24 | f1 << 16 | f2 << 8 | dt, a time-coded array.
+back.  A short-time Fourier transform (Hann windows of FRAME samples at every half
+window from half a window before the first sample, so that all samples weigh the
+same) gives magnitudes; the strongest bin of each of `bands` bands of a frame that
+stands out of its frame's mean is a peak; each peak is paired with the peaks of the
+next `reach` frames' same or neighbouring bands.  A pair is the code time << 24 |
+f1 << 16 | f2 << 8 | dt, a time-coded array.  Windows have one length whatever the
+size of the payload, so fingerprints of short and long texts can be compared; the
+shortest payload has two frames.
 
 Equal texts have equal values, so repeated rows do; an empty table gives none.
 Features are computed over blocks of frames: memory does not grow with the text
@@ -29,8 +30,8 @@ from pyspark.sql import functions as F
 from .common import table
 
 UNIT = 64
-#: Samples of a window, and of one in a short payload.
-FRAME, SHORT = 256, 64
+#: Samples of a window.
+FRAME = 256
 
 
 def payload(text: str | None) -> tuple[bytes, int]:
@@ -55,20 +56,18 @@ def from_wav(media: bytes) -> bytes:
 
 def frames_of(samples: np.ndarray, at: int = 0, block: int = 4096) -> np.ndarray:
     """Windowed frames at to at + block (fewer at the end): frame k is centred on sample k * half a frame."""
-    frame = FRAME if len(samples) > FRAME else SHORT
-    hop = frame // 2
+    hop = FRAME // 2
     n = min(block, -(-len(samples) // hop) + 1 - at)
     first, last = (at - 1) * hop, (at + n) * hop
     part = samples[max(0, first) : last].astype(np.float32) - 128.0
     part = np.pad(part, (max(0, -first), last - max(0, first) - len(part)))
-    return np.lib.stride_tricks.sliding_window_view(part, frame)[::hop] * np.hanning(frame + 1)[:-1].astype(np.float32)
+    return np.lib.stride_tricks.sliding_window_view(part, FRAME)[::hop] * np.hanning(FRAME + 1)[:-1].astype(np.float32)
 
 
 def peaks(samples: np.ndarray, bands: int = 4, block: int = 4096) -> np.ndarray:
     """The peak bin of each band of each frame (frames x bands), -1 where none stands out."""
-    frame = FRAME if len(samples) > FRAME else SHORT
-    frames = -(-len(samples) // (frame // 2)) + 1
-    edges = np.linspace(1, frame // 2 + 1, bands + 1).astype(int)
+    frames = -(-len(samples) // (FRAME // 2)) + 1
+    edges = np.linspace(1, FRAME // 2 + 1, bands + 1).astype(int)
     out = np.full((frames, bands), -1, dtype=np.int64)
     for at in range(0, frames, block):
         rows = frames_of(samples, at, block)

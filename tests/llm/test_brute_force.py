@@ -121,7 +121,7 @@ def test_quality_scores_by_compressing(spark):
 
 def peaks_by_hand(data):
     """Peaks by the definition of the discrete Fourier transform."""
-    n = op9_media.FRAME if len(data) > op9_media.FRAME else op9_media.SHORT
+    n = op9_media.FRAME
     window = [0.5 - 0.5 * math.cos(2 * math.pi * k / n) for k in range(n)]
     edges = [int(1 + (n // 2) * k / 4) for k in range(5)]
     out = []
