@@ -436,6 +436,8 @@ class Shard:
 
 def repeated_spans(docs: DataFrame, length: int = 50, gram: int = 20, budget: int = 24 << 20, rows: int = 1 << 15) -> DataFrame:
     """doc_id, text and spans: array of (key, start, end) in bytes, repeated stretches of the rows of that id (key: the text's hash where the id has several rows of that length, else 0)."""
+    if not 0 < gram <= length <= 249 or length - gram > 63:
+        raise ValueError("gram is up to length, length up to 249, and length - gram up to 63: offsets are bits of a word and common prefixes bytes")
     full = docs.select("doc_id", "text").where("doc_id is not null")
     spool = cleared(docs.sparkSession, f"{shared_dir(docs.sparkSession)}/llm-{uuid.uuid4().hex}-queues")
 
