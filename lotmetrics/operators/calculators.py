@@ -528,11 +528,11 @@ def rank_by(values: DataFrame, criteria: DataFrame) -> DataFrame:
     ids = values.select("id").distinct()
     held = values.where(F.col("value").isNotNull() & ~F.isnan("value") & (F.abs("value") != float("inf")))
     w = W.partitionBy("key").orderBy("value")
-    held = held.join(F.broadcast(use), "key")  # a few dozen criteria
+    held = held.join(use, "key")
     ties, n = F.count("*").over(W.partitionBy("key", "value")), F.count("*").over(W.partitionBy("key"))
     p = F.when(n >= 2, (F.rank().over(w) - 1 + (ties - 1) / 2) / (n - 1))
     parts = held.select("id", "key", F.when(F.col("direction") < 0, 1 - p).otherwise(p).alias("part"))
-    every = ids.crossJoin(F.broadcast(use)).join(parts, ["id", "key"], "left")
+    every = ids.crossJoin(use).join(parts, ["id", "key"], "left")
     out = every.groupBy("id").agg(
         (F.sum(F.col("weight") * F.coalesce("part", F.lit(0.5))) / F.sum("weight")).alias("score"), F.map_from_entries(F.sort_array(F.collect_list(F.struct("key", "part")))).alias("parts"),
         F.sort_array(F.collect_list(F.when(F.col("part").isNull(), F.col("key")))).alias("missing"),

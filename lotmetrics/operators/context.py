@@ -239,7 +239,7 @@ def compare_countries(nominal: DataFrame, prices: DataFrame, base_year: int = 20
     common = ends.groupBy("end").agg(F.count("*").alias("c")).withColumn("c", F.sum("c").over(w)).where(F.col("c") >= n * 2 / 3).agg(F.max("end").alias("idx"))
     if n < least:
         common = common.limit(0)
-    rows = real.join(F.broadcast(common), "idx").join(nominal.select("place", "idx", F.col("value").alias("nom")), ["place", "idx"], "left")
+    rows = real.join(common, "idx").join(nominal.select("place", "idx", F.col("value").alias("nom")), ["place", "idx"], "left")
     rows = rows.select("place", "idx", (F.col("value") / 100 - 1).alias("real"), (F.col("nom") / 100 - 1).alias("nominal"), change("value", "r1").alias("real_1y"), change("value", "r5").alias("real_5y"), change("value", "top").alias("from_peak"))
     place = lambda c: F.row_number().over(W.orderBy(F.col(c).desc_nulls_last(), "place"))  # noqa: E731  a few dozen countries
     return rows.withColumns({"position": place("real"), "position_1y": F.when(F.col("real_1y").isNotNull(), place("real_1y"))})

@@ -34,7 +34,7 @@ def national_history(index: DataFrame, rates: DataFrame | None = None, credit: D
         seen = asof(ends, level.withColumn("place", F.lit(0)), "_s", "rates").select(F.floor(F.col("idx") / 3).cast("bigint").alias("idx"), "rates")
         out = out.join(F.broadcast(seen), "idx")  # one row a quarter
         if rates_since is not None:
-            out = out.join(F.broadcast(rates_since.select("place", F.col("year").alias("_y"))), "place", "left").withColumn("rates", F.when(F.floor(F.col("idx") / 4) >= F.col("_y"), F.col("rates"))).drop("_y")
+            out = out.join(rates_since.select("place", F.col("year").alias("_y")), "place", "left").withColumn("rates", F.when(F.floor(F.col("idx") / 4) >= F.col("_y"), F.col("rates"))).drop("_y")
     from .features import row_mean
 
     out = out.withColumn("score", row_mean("growth", "trend", "rates", "credit"))
@@ -75,7 +75,7 @@ def summary(rows: DataFrame, score: str, group: str = "group", horizons: tuple[i
 def left_out(rows: DataFrame, score: str) -> DataFrame:
     """place, rho, auc over all other places: each row goes to every group but its own."""
     places = rows.select(F.col("place").alias("left")).distinct()
-    others = rows.join(F.broadcast(places), F.col("place") != F.col("left"))  # a few dozen countries
+    others = rows.join(places, F.col("place") != F.col("left"))
     return spearman(others, score, "ret_real_12q", "left").select("left", "rho").join(auc(others, score, "event", "left"), "left", "full_outer").withColumnRenamed("left", "place")
 
 

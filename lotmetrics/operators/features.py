@@ -10,11 +10,15 @@ from .panel import band, ordered, pct_rank
 GROWTH = {"1y": 4, "3y": 12, "5y": 20}
 
 
-def latest(df: DataFrame, lags: dict[str, int] | None = None, name: str = "latest") -> DataFrame:
-    """place, name and the lagged values at the globally last key; a place that misses it has nulls. One pass over df besides the key."""
+def latest(df: DataFrame, lags: dict[str, int] | None = None, name: str = "latest", key: str | None = None) -> DataFrame:
+    """place, name and the lagged values at the globally last key; a place that misses it has nulls. One pass over df besides the key.
+
+    key: a column for the last key, null where the value is.
+    """
     last = df.agg(F.max("idx")).scalar()
     at = lambda k: F.max(F.when(F.col("idx") == last - k, F.col("value")))
-    return df.groupBy("place").agg(at(0).alias(name), *[at(k).alias(n) for n, k in (lags or {}).items()])
+    own = [] if key is None else [F.max(F.when((F.col("idx") == last) & F.col("value").isNotNull(), F.col("idx"))).alias(key)]
+    return df.groupBy("place").agg(at(0).alias(name), *[at(k).alias(n) for n, k in (lags or {}).items()], *own)
 
 
 def change(now, before) -> Column:
@@ -55,11 +59,11 @@ def municipal_features(sales: DataFrame, rent: DataFrame | None = None, income:
     out = out.select("place", "price", *[change("price", f"p_{k}").alias(f"price_growth_{k}") for k in GROWTH])
     null = F.lit(None).cast("double")
     if rent is None:
-        out = out.withColumns({"rent": null, "rent_growth_1y": null})
+        out = out.withColumns({"rent": null, "rent_growth_1y": null, "rent_year": F.lit(None).cast("bigint")})
     else:
-        out = out.join(latest(rent, {"r_1y": 1}, "rent"), "place", "left").withColumn("rent_growth_1y", change("rent", "r_1y")).drop("r_1y")
+        out = out.join(latest(rent, {"r_1y": 1}, "rent", "rent_year"), "place", "left").withColumn("rent_growth_1y", change("rent", "r_1y")).drop("r_1y")
     out = out.withColumns({"gross_yield": F.try_divide(F.col("rent") * 12, "price"), "price_to_rent_years": F.try_divide("price", F.col("rent") * 12)})
-    out = out.withColumn("income", null) if income is None else out.join(latest(income, name="income"), "place", "left")
+    out = out.withColumns({"income": null, "income_year": F.lit(None).cast("bigint")}) if income is None else out.join(latest(income, name="income", key="income_year"), "place", "left")
     out = out.withColumns({"price_to_income_months": F.try_divide("price", "income"), "rent_to_income": F.try_divide("rent", "income")})
     for name, df in (context or {}).items():
         out = out.join(latest(df, name=name), "place", "left")

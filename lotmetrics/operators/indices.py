@@ -65,10 +65,12 @@ def extended_by_rates(index: DataFrame, rates: DataFrame) -> DataFrame:
     later = later.withColumns({"_base": F.col("idx") - back})
     base = known.select("place", F.col("idx").alias("_base"), F.col("value").alias("_from"))
     later = later.join(base, ["place", "_base"], "left")
-    product = F.sum(F.log(1 + F.col("rate") / 100)).over(W.partitionBy("place", "_base").orderBy("idx").rowsBetween(W.unboundedPreceding, 0))
+    # a base has few rates, one a year; a rate of -100 % or less makes the index 0 or turns its sign
+    so_far = F.collect_list(1 + F.col("rate") / 100).over(W.partitionBy("place", "_base").orderBy("idx").rowsBetween(W.unboundedPreceding, 0))
+    product = F.aggregate(so_far, F.lit(1.0), lambda a, x: a * x)
     missing = F.max(F.when(F.col("_from").isNull(), 1).otherwise(0)).over(ordered().rowsBetween(W.unboundedPreceding, 0))
     later = later.withColumns({"_p": product, "_stop": F.greatest(missing, stop_after_gap())})
-    return known.select("place", "idx", "value").unionByName(later.where("_stop = 0").select("place", "idx", (F.col("_from") * F.exp("_p")).alias("value")))
+    return known.select("place", "idx", "value").unionByName(later.where("_stop = 0").select("place", "idx", (F.col("_from") * F.col("_p")).alias("value")))
 
 
 def stop_after_gap() -> Column:

@@ -4,6 +4,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .storage import stored
+
 
 def ordered(place: str = "place", idx: str = "idx") -> W:
     return W.partitionBy(place).orderBy(idx)
@@ -128,19 +130,19 @@ def correlation_at_lags(df: DataFrame, lead: DataFrame, lags: list[int]) -> Data
     return rows.groupBy("place", "lag").agg(F.corr("value", "_lead").alias("r"), F.count("*").alias("n"))
 
 
-def percentile_ranks(df: DataFrame, value: str, out: str, buckets: int = 128) -> DataFrame:
+def percentile_ranks(df: DataFrame, value: str, out: str, values_a_range: int = 250_000) -> DataFrame:
     """pct_rank() for tables of any size: no task sorts all rows.
 
-    Rows are dealt to value ranges by approximate quantiles; equal values share a
-    range, so a row's rank is the count of the ranges below plus its rank inside.
-    Ties come as one row a value before they are ranked.
+    The different values are counted once and dealt to ranges of about `values_a_range`
+    values; a value's rank is the count of the ranges below plus its rank inside.  Counts
+    and ranges are written, so a lost executor does not deal anew.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("_v")).agg(F.count("*").alias("_t"))
-    bounds = counts.agg(F.percentile_approx("_v", [k / buckets for k in range(1, buckets)], 10_000).alias("b"))
-    placed = counts.join(F.broadcast(bounds), F.lit(True)).withColumn("_b", F.size(F.filter("b", lambda x: x < F.col("_v")))).drop("b")
+    counts = stored(df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("_v")).agg(F.count("*").alias("_t")))
+    ranges = max(1, -(-counts.count() // values_a_range))
+    placed = stored(counts.repartitionByRange(ranges, "_v").withColumn("_b", F.spark_partition_id()))
     per = placed.groupBy("_b").agg(F.sum("_t").alias("_n"))
     w = W.orderBy("_b")  # a row a range
     below = per.select("_b", (F.sum("_n").over(w) - F.col("_n")).alias("_below"), F.sum("_n").over(W.partitionBy(F.lit(1))).alias("_all"))
     inside = F.sum("_t").over(W.partitionBy("_b").orderBy("_v")) - F.col("_t")
-    ranks = placed.withColumn("_in", inside).join(F.broadcast(below), "_b").select("_v", (100 * (F.col("_below") + F.col("_in") + (F.col("_t") + 1) / 2) / F.col("_all")).alias(out))
+    ranks = placed.withColumn("_in", inside).join(below, "_b").select("_v", (100 * (F.col("_below") + F.col("_in") + (F.col("_t") + 1) / 2) / F.col("_all")).alias(out))
     return df.join(ranks, F.col(value) == F.col("_v"), "left").drop("_v")

@@ -22,7 +22,7 @@ def price_table(sales: DataFrame, towns: DataFrame, town_of: Column, least_steps
     where `least` have a volatility.
     """
     rows = latest(sales, {"_b": 4}, "price").where("price is not null").select("place", town_of.alias("town"), "price", change("price", "_b").alias("g1y"))
-    rows = rows.join(F.broadcast(towns), "town", "left").withColumn("rel_town", change("price", "town_price")).drop("town_price")  # some hundred towns
+    rows = rows.join(towns, "town", "left").withColumn("rel_town", change("price", "town_price")).drop("town_price")
     moves = volatility(sales).where(F.col("steps") >= least_steps).drop("steps")
     rows = rows.join(moves, "place", "left")
     limit = rows.agg(F.when(F.count("volatility") >= least, F.percentile("volatility", 0.75)).alias("x")).scalar()

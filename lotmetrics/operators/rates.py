@@ -48,6 +48,72 @@ def shock_effects(rates: DataFrame, shocks: tuple[float, ...] = (-1.0, 1.0), yea
     return rows.select("place", "shock", (instalment(one, after, y) / instalment(one, F.col("rate"), y) - 1).alias("instalment"), (capacity(one, after, y) / capacity(one, F.col("rate"), y) - 1).alias("capacity"))
 
 
+def rate_changes(index: DataFrame, market: DataFrame, ahead: int = 4) -> DataFrame:
+    """place, idx, y, d, m: the log change of an index (place, idx by quarter, value) over the next `ahead` quarters, the change of
+    the market rate (place, idx by month, value; quarterly means) over the same quarters, and the index's log change before."""
+    log = index.where("value > 0").select("place", "idx", F.log("value").alias("value"))
+    log = lagged(lagged(log, -ahead, "_next"), ahead, "_before")
+    rate = market.groupBy("place", F.floor(F.col("idx") / 3).cast("bigint").alias("idx")).agg(F.avg("value").alias("value"))
+    rate = lagged(rate, -ahead, "_then").select("place", "idx", (F.col("_then") - F.col("value")).alias("d"))
+    rows = log.join(rate, ["place", "idx"]).select("place", "idx", (F.col("_next") - F.col("value")).alias("y"), "d", (F.col("value") - F.col("_before")).alias("m"))
+    return rows.where("y is not null and d is not null and m is not null")
+
+
+#: The sums from which the slope of y on d, beside m, follows.
+PARTS = {"s_n": "1e0", "s_y": "y", "s_d": "d", "s_m": "m", "s_dd": "d * d", "s_mm": "m * m", "s_dm": "d * m", "s_yd": "y * d", "s_ym": "y * m"}
+
+
+def slope_beside() -> Column:
+    """The least-squares slope of y on d with m and a constant beside it, from PARTS; null where it is not determined."""
+    spread = lambda a, b, both: F.col(f"s_{both}") - F.col(f"s_{a}") * F.col(f"s_{b}") / F.col("s_n")
+    dd, mm, dm = spread("d", "d", "dd"), spread("m", "m", "mm"), spread("d", "m", "dm")
+    return F.when(F.col("s_n") > 0, F.try_divide(spread("y", "d", "yd") * mm - spread("y", "m", "ym") * dm, dd * mm - dm * dm))
+
+
+def drawn(of: Column) -> Column:
+    """A number from 0 to 2^32 - 1 that a text's digest gives: equal in every run, and in SQL."""
+    return F.conv(F.substring(F.md5(of), 1, 8), 16, 10).cast("bigint")
+
+
+def rate_effect(changes: DataFrame, draws: int = 1000, block: int = 8, least: int = 24) -> DataFrame:
+    """place, n, beta, low, high, credible: the effect of one point of the rate on the index, with 90 % bounds by a moving-block bootstrap.
+
+    changes: as of rate_changes; places with fewer than `least` rows are absent.  A draw
+    puts blocks of consecutive rows on end until it has as many rows as the series, the
+    last block cut.  Blocks are not expanded to rows: every block's sums are made once,
+    and a draw adds the sums of its blocks, so a place costs draws * n / block rows.
+    Starts come from a digest of draw and block.  An effect is credible if even the
+    upper bound is below 0.
+    """
+    if not 1 <= block <= least:
+        raise ValueError("block is between 1 and least")
+    own, every = W.partitionBy("place").orderBy("idx"), W.partitionBy("place")
+    rows = changes.withColumns({"t": F.row_number().over(own) - 1, "n": F.count("*").over(every)}).where(F.col("n") >= least)
+    # sums of centred numbers lose no digits
+    rows = rows.select("place", "t", "n", *[(F.col(c) - F.avg(c).over(every)).alias(c) for c in ("y", "d", "m")])
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    rest = (F.col("n") - (blocks - 1) * block).cast("int")
+    sums = [F.sum(F.expr(e)).alias(k) for k, e in PARTS.items()]
+    full = rows.groupBy("place", "n").agg(*sums).select("place", "n", slope_beside().alias("beta"))
+    begins = F.sequence(F.greatest(F.lit(0), F.col("t") - F.col("size") + 1).cast("int"), F.least(F.col("t"), F.col("n") - block).cast("int"))
+    sized = rows.withColumn("size", F.explode(F.array_distinct(F.array(F.lit(block), rest)))).where(F.col("t") - F.col("size") + 1 <= F.col("n") - block)
+    partial = sized.withColumn("begin", F.explode(begins)).groupBy("place", "size", "begin").agg(*sums)
+    turns = full.select("place", "n", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))).alias("draw")).withColumn("turn", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    size = F.when(F.col("turn") == blocks - 1, rest).otherwise(F.lit(block))
+    begin = F.pmod(drawn(F.concat_ws(":", F.col("draw").cast("string"), F.col("turn").cast("string"))), F.col("n") - block + 1).cast("int")
+    taken = turns.select("place", "draw", size.alias("size"), begin.alias("begin")).join(partial, ["place", "size", "begin"])
+    slopes = taken.groupBy("place", "draw").agg(*[F.sum(c).alias(c) for c in PARTS]).select("place", slope_beside().alias("b"))
+    bounds = slopes.groupBy("place").agg(F.percentile("b", [0.05, 0.95]).alias("q")).select("place", F.col("q")[0].alias("low"), F.col("q")[1].alias("high"))
+    return full.join(bounds, "place", "left").select("place", "n", "beta", "low", "high", F.coalesce(F.col("high") < 0, F.lit(False)).alias("credible"))
+
+
+def price_effects(effects: DataFrame, shocks: tuple[float, ...] = (-1.0, 1.0)) -> DataFrame:
+    """place, shock, price_effect, low, high: the change of the index a year after a shift of the rate by `shock` points, where the effect is credible."""
+    rows = effects.where("credible").withColumn("shock", F.explode(F.array(*map(F.lit, shocks))))
+    change = lambda c: F.exp(F.col(c) * F.col("shock")) - 1
+    return rows.select("place", "shock", change("beta").alias("price_effect"), F.least(change("low"), change("high")).alias("low"), F.greatest(change("low"), change("high")).alias("high"))
+
+
 def age_in_months(label: Column, today: Column) -> Column:
     day = keys.period_end(label)["day"]
     return (F.year(today) - F.year(day)) * 12 + F.month(today) - F.month(day)
@@ -61,7 +127,7 @@ def stale_series(last: DataFrame, specs: DataFrame, today: Column) -> DataFrame:
     """
     kind = keys.period_end(F.col("last"))["kind"]
     usual = F.coalesce(*[F.when(kind == k, F.lit(v)) for k, v in LIMITS.items()])
-    rows = last.join(F.broadcast(specs), ["source", "key"]).where(~F.coalesce("static", F.lit(False)))  # a few dozen series
+    rows = last.join(specs, ["source", "key"]).where(~F.coalesce("static", F.lit(False)))
     rows = rows.select("source", "key", "last", age_in_months(F.col("last"), today).alias("months"), F.coalesce("max_months", usual).alias("limit")).where(F.col("months") > F.col("limit"))
     return rows.withColumn("position", F.row_number().over(W.orderBy(F.desc(F.col("months") / F.col("limit")), "source", "key")))
 

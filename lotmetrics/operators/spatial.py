@@ -45,15 +45,15 @@ def distance_band(km: Column) -> Column:
     return out
 
 
-def nearest_centre(places: DataFrame, centres: DataFrame) -> DataFrame:
-    """places (place, lat, lon) with centre, dist_km and band: the nearest of a handful of centres (centre, lat, lon), the first by name of equal ones."""
-    from ..functions.finance import haversine
+def nearest_centre(places: DataFrame, centres: DataFrame, levels: int = 1) -> DataFrame:
+    """places (place, lat, lon) with centre, dist_km and band: the nearest of any number of centres (centre, lat, lon), the first by name of equal ones.
 
-    few = F.broadcast(centres.select("centre", F.col("lat").alias("_lat"), F.col("lon").alias("_lon")).limit(100))
-    km = haversine(F.col("lat"), F.col("lon"), F.col("_lat"), F.col("_lon"))
-    far = places.join(few, F.lit(True)).withColumn("_km", km)
-    best = far.groupBy("place").agg(F.min(F.struct("_km", "centre")).alias("_b"))
-    return places.join(best, "place").select(*places.columns, F.col("_b.centre").alias("centre"), F.col("_b._km").alias("dist_km"), distance_band(F.col("_b._km")).alias("band"))
+    See geometry.nearest; one level suits some hundred centres, seven any number.
+    """
+    from .geometry import nearest
+
+    near = nearest(places, centres, 1, levels).select("place", "centre", "dist_km")
+    return places.join(near, "place").select(*places.columns, "centre", "dist_km", distance_band(F.col("dist_km")).alias("band"))
 
 
 def ring_area(ring: Column) -> Column:
@@ -103,7 +103,7 @@ def propagation(monthly: DataFrame, near: DataFrame, most_lag: int = 24, least:
     growth = lagged(monthly, 12, "_b").select("place", "idx", (F.col("value") - F.col("_b")).alias("g")).where("g is not null")
     lags = F.explode(F.sequence(F.lit(0), F.lit(most_lag)))
     centres = near.select("centre").distinct()
-    lead = growth.join(F.broadcast(centres), F.col("place") == F.col("centre")).select("centre", "idx", F.col("g").alias("_c")).withColumn("lag", lags).withColumn("idx", F.col("idx") + F.col("lag"))
+    lead = growth.join(centres, F.col("place") == F.col("centre")).select("centre", "idx", F.col("g").alias("_c")).withColumn("lag", lags).withColumn("idx", F.col("idx") + F.col("lag"))
     rows = growth.join(near.select("place", "centre"), "place").join(lead, ["centre", "idx"])
     out = rows.groupBy("place", "lag").agg(F.corr("g", "_c").alias("r"), F.count("*").alias("n")).where(F.col("n") >= least)
     return out.drop("n")
@@ -115,40 +115,11 @@ def band_curves(curves: DataFrame, near: DataFrame, least: int = 3) -> DataFrame
 
     held = curves.where("r is not null").join(near.select("place", "band"), "place")
     enough = held.groupBy("band").agg(F.count_distinct("place").alias("places")).where(F.col("places") >= least)
-    rows = held.join(F.broadcast(enough), "band").groupBy("band", "places", "lag").agg(F.avg("r").alias("r"))
+    rows = held.join(enough, "band").groupBy("band", "places", "lag").agg(F.avg("r").alias("r"))
     first = F.row_number().over(W.partitionBy("band").orderBy(F.desc("r"), "lag"))
     return rows.withColumn("best", first == 1)
 
 
-def typologies(features: DataFrame, columns: list[str], ks: tuple[int, ...] = (3, 4, 5, 6), seed: int = 0) -> tuple[DataFrame, dict[int, float]]:
-    """features with `typology` (1: the highest median of the first column) by k-means on winsorised, standardised columns, and the silhouette of each k.
-
-    The k of the best silhouette is taken.  Both are Spark's own; the silhouette is
-    over squared distances.
-    """
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.evaluation import ClusteringEvaluator
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.sql import Window as W
-
-    rows = features.na.drop(subset=columns)
-    ends = rows.agg(*[F.percentile(c, [0.025, 0.975]).alias(c) for c in columns]).first()
-    held = rows.select("place", *[F.least(F.greatest(F.col(c), F.lit(ends[c][0])), F.lit(ends[c][1])).alias(c) for c in columns])
-    sizes = held.agg(*[F.struct(F.avg(c), F.stddev_pop(c)).alias(c) for c in columns]).first()
-    z = held.select("place", array_to_vector(F.array(*[(F.col(c) - sizes[c][0]) / (sizes[c][1] or 1.0) for c in columns])).alias("features")).cache()
-    n, found = z.count(), {}
-    for k in ks:
-        if n > 3 * k:
-            fitted = KMeans(k=k, seed=seed).fit(z).transform(z)
-            found[k] = (ClusteringEvaluator().evaluate(fitted), fitted)
-    if not found:
-        return rows.withColumn("typology", F.lit(None).cast("int")).limit(0), {}
-    best = max(found, key=lambda k: found[k][0])
-    rows = rows.join(found[best][1].select("place", "prediction"), "place")
-    order = rows.groupBy("prediction").agg(F.percentile(columns[0], 0.5).alias("_m")).withColumn("typology", F.row_number().over(W.orderBy(F.desc("_m"))))
-    return rows.join(F.broadcast(order.drop("_m")), "prediction").drop("prediction"), {k: v[0] for k, v in found.items()}
-
-
 def points_by_place(points: DataFrame, polygons: DataFrame, codes: DataFrame, names: DataFrame, cell: float) -> DataFrame:
     """points (id, code, x, y, parish, town) with `place`: by a known code, else by the polygon, else by the parish's and town's plain names.
 
@@ -156,10 +127,10 @@ def points_by_place(points: DataFrame, polygons: DataFrame, codes: DataFrame, na
     """
     from ..functions.keys import plain
 
-    known = F.broadcast(codes.select(F.col("place").alias("_by_code")).distinct())  # some thousand parishes
+    known = codes.select(F.col("place").alias("_by_code")).distinct()
     rows = points.join(known, F.col("code") == F.col("_by_code"), "left")
     inside_of = points_in_polygons(rows.where("_by_code is null and x is not null and y is not null").select("id", "x", "y"), polygons, cell).groupBy("id").agg(F.min("polygon").alias("_by_shape"))
-    named = F.broadcast(names.groupBy(plain(F.col("parish")).alias("_p"), plain(F.col("town")).alias("_t")).agg(F.min("place").alias("_by_name")))
+    named = names.groupBy(plain(F.col("parish")).alias("_p"), plain(F.col("town")).alias("_t")).agg(F.min("place").alias("_by_name"))
     rows = rows.join(inside_of, "id", "left").withColumns({"_p": plain(F.col("parish")), "_t": plain(F.col("town"))}).join(named, ["_p", "_t"], "left")
     return rows.withColumn("place", F.coalesce("_by_code", "_by_shape", "_by_name")).drop("_by_code", "_by_shape", "_by_name", "_p", "_t")
 

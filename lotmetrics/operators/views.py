@@ -145,3 +145,92 @@ def guide(candidates: DataFrame, criteria: DataFrame, budget: Column, cost: Colu
     ranked = C.rank_by(values, criteria).select(F.col("id").alias("place"), "score", "missing")
     out = rows.select("place", F.col("_cost").alias("cost"), "fit").join(ranked, "place")
     return out.withColumn("position", F.row_number().over(W.orderBy(F.desc("score"), "place")))
+
+
+# tenants and rents
+
+#: The shares of an income up to which a rent is carried easily, and at all; shares of households from which a rent is viable, or tight.
+EASY, MOST, MANY, SOME = 0.35, 0.50, 0.30, 0.15
+#: How far from a reference a value still agrees with it, and how far it is well off.
+AGREES, WELL = 0.10, 0.25
+
+
+def burden(share: Column) -> Column:
+    """easy, heavy or too heavy: a rent as a share of an income."""
+    return F.when(share <= EASY, "easy").when(share <= MOST, "heavy").when(share.isNotNull(), "too heavy")
+
+
+def tenant_profiles(rows: DataFrame, key: str = "place") -> DataFrame:
+    """key, profile, income (a month), share, burden: who carries a rent.
+
+    rows: key, rent (a month), parish_irs and irs_median (yearly incomes of one person in
+    the parish and the municipality), wage (a month); a profile without an income is
+    left out.
+    """
+    month = {"one, parish": F.col("parish_irs") / 12, "one, municipality": F.col("irs_median") / 12, "two, municipality": 2 * F.col("irs_median") / 12, "one wage": F.col("wage"), "two wages": 2 * F.col("wage")}
+    each = rows.select(key, "rent", F.inline(F.array(*[F.struct(F.lit(k).alias("profile"), v.cast("double").alias("income")) for k, v in month.items()]))).where("income > 0 and rent is not null")
+    share = F.col("rent") / F.col("income")
+    return each.select(key, "profile", "income", share.alias("share"), burden(share).alias("burden"))
+
+
+def tenant_verdict(rows: DataFrame, households: DataFrame, key: str = "place") -> DataFrame:
+    """key, easy (number of profiles), above (share of the households that earn enough), verdict: viable, tight or hard.
+
+    households: key, above, null where brackets are not known. Many households or none
+    known and a profile that carries the rent make it viable; a profile or some
+    households make it tight.
+    """
+    easy = tenant_profiles(rows, key).groupBy(key).agg(F.count_if(F.col("burden") == "easy").alias("easy"))
+    out = rows.select(key).join(easy, key, "left").join(households.select(key, "above"), key, "left").withColumn("easy", F.coalesce("easy", F.lit(0).cast("long")))
+    many = F.col("above").isNull() | (F.col("above") >= MANY)
+    some = (F.col("easy") > 0) | F.coalesce(F.col("above") >= SOME, F.lit(False))
+    return out.withColumn("verdict", F.when((F.col("easy") > 0) & many, "viable").when(some, "tight").otherwise("hard"))
+
+
+def against(value: Column, reference: Column) -> Column:
+    """struct<difference, reading> of a value against a reference: aligned, above, below, well above or well below."""
+    d = F.try_divide(value, reference) - 1
+    side = F.when(d > 0, "above").otherwise("below")
+    return F.when(d.isNotNull(), F.struct(d.alias("difference"), F.when(F.abs(d) <= AGREES, "aligned").when(F.abs(d) <= WELL, side).otherwise(F.concat(F.lit("well "), side)).alias("reading")))
+
+
+def rent_fit(rows: DataFrame, income: Column, area: Column, limit: Column) -> DataFrame:
+    """place, rent_user, fit: the rent of a home of an area as a share of an income (both positive): fits (up to the limit), cheap part (only
+    the cheapest quarter does), tight (up to half) or over. rows: place, rent and rent_q1 a square metre."""
+    share = F.when(income > 0, F.col("rent") * area / income)
+    low = F.when(income > 0, F.col("rent_q1") * area / income)
+    fit = F.when(share <= limit, "fits").when(low <= limit, "cheap part").when(share <= MOST, "tight").when(share.isNotNull(), "over")
+    return rows.select("place", share.alias("rent_user"), fit.alias("fit"))
+
+
+def rent_update(rent: Column, coefficient: Column) -> Column:
+    """struct<most, more> of a rent that may rise by a legal coefficient."""
+    return F.struct((rent * coefficient).alias("most"), (rent * (coefficient - 1)).alias("more"))
+
+
+#: What a calculation of letting assumes where nothing is said: square metres, parts in percent, years, months and money.
+ASSUMED = {"area": 90.0, "down": 20.0, "years": 30.0, "hold": 10.0, "price_growth": 0.0, "vacancy": 1.0, "condo": 30.0, "ins": 150.0, "maint": 5.0, "contract_years": 1.0, "closing": 1000.0, "sell_cost": 5.0, "marginal": 35.0, "imi_rate": 0.3}
+PERCENT = ("down", "price_growth", "maint", "sell_cost", "marginal")
+
+
+def letting_parameters(rows: DataFrame, rate: Column, rent_growth: Column, start_year: int, said: dict[str, Column] | None = None) -> DataFrame:
+    """rows (place, price and rent a square metre, imi_rate as a fraction or null) as what calculators.invest needs.
+
+    rate: of the loan, in percent; rent_growth: a fraction; said: columns that count
+    instead of the assumed values (and of price and rent, then of the whole home) where
+    they are not null. Places without a price or rent are left out.
+    """
+    told = lambda k: [said[k].cast("double")] if said and k in said else []
+    of = lambda k: F.coalesce(*told(k), F.lit(ASSUMED[k]))
+    area = F.when(of("area") > 0, of("area")).otherwise(ASSUMED["area"])
+    home = {k: F.coalesce(*[F.when(c > 0, c) for c in told(k)], F.col(k) * area) for k in ("price", "rent")}
+    parts = {k: of(k) / 100 if k in PERCENT else of(k) for k in ASSUMED if k not in ("area", "imi_rate")}
+    more = {"rate": rate, "rent_growth": rent_growth, "imi_rate": F.coalesce("imi_rate", F.lit(ASSUMED["imi_rate"] / 100)), "vpt": F.coalesce(*told("vpt"), F.lit(None).cast("double")), "island": keys.islands(F.col("place").cast("string")), "start_year": F.lit(start_year)}
+    out = rows.select("place", *[v.alias(k) for k, v in (home | parts | more).items()])
+    return out.where("price > 0 and rent > 0")
+
+
+def net_yields(rows: DataFrame, rate: Column, rent_growth: Column, start_year: int) -> DataFrame:
+    """place, net_yield: of a home bought without a loan and let, in the first year."""
+    held = letting_parameters(rows, rate, rent_growth, start_year, {"down": F.lit(100.0)})
+    return C.invest(held).select("place", F.col("invest.net_yield").alias("net_yield"))

@@ -4,8 +4,14 @@ from pyspark.sql import functions as F
 
 from ..operators import evaluation as E
 from ..operators import indices as I
+from ..operators import models
+from ..operators import panel as P
+from ..operators import signals as S
+from ..operators.models import POLYNOMIAL as P0
+from ..operators.models import TAIL
 from .base import query, r, rounded
-from .panels import D, M, Q, column, deflator, months, quarters, table
+from .panels import D, M, Q, Y, column, deflator, months, quarters, stored, table, years
+from .ridgesql import known, predicted, ridge
 
 W_ = "window w as (partition by place order by idx rows unbounded preceding)"
 ZW = "case when count({0}) over w >= 8 and stddev_samp({0}) over w <> 0 then ({0} - avg({0}) over w) / stddev_samp({0}) over w end"
@@ -18,7 +24,7 @@ hist as (select *, list_avg(list_filter([a, b, c, d], lambda v: v is not null))
 
 
 def history(spark, sf_dir):
-    q = quarters(spark, sf_dir)
+    q = stored(quarters(spark, sf_dir))
     rates = table(spark, sf_dir, "lineitem").groupBy((F.year("l_shipdate") * 12 + F.month("l_shipdate") - 1).cast("bigint").alias("idx")).agg((F.avg("l_discount") * 100).alias("value"))
     since = q.select("place").distinct().withColumn("year", F.lit(1998))
     return E.national_history(column(q, "value"), rates, column(q, "n"), since, 20)
@@ -35,9 +41,12 @@ ev as (select *, (drawdown <= -1e-1)::int event from oc)"""
 
 
 def evaluated(spark, sf_dir):
-    q = column(quarters(spark, sf_dir), "value")
-    d = deflator(spark, sf_dir).crossJoin(F.broadcast(q.select("place").distinct())).select("place", "idx", "value")
-    return E.outcomes(q, d, 1997)
+    return outcomes_of(stored(quarters(spark, sf_dir)), deflator(spark, sf_dir))
+
+
+def outcomes_of(q, d):
+    prices = stored(d).join(q.select("place").distinct(), F.lit(True)).select("place", "idx", "value")
+    return E.outcomes(column(q, "value"), prices, 1997)
 
 
 @query(f"with {Q}, {D}, {OUT} select place, idx, {', '.join(f'round(ret_nom_{h}q, 6) ret_nom_{h}q, round(ret_real_{h}q, 6) ret_real_{h}q' for h in (4, 8, 12))}, round(drawdown, 6) drawdown, event from ev")
@@ -47,8 +56,9 @@ def outcomes(spark, sf_dir):
 
 def pooled(spark, sf_dir):
     """A score for every quarter: the level's percentile in its place, so that there are outcomes to judge."""
-    rows = evaluated(spark, sf_dir).join(quarters(spark, sf_dir).select("place", "idx", F.col("n").alias("score")), ["place", "idx"])
-    return rows.withColumn("group", F.col("place") % 3)
+    q = stored(quarters(spark, sf_dir))
+    rows = outcomes_of(q, deflator(spark, sf_dir)).join(q.select("place", "idx", F.col("n").alias("score")), ["place", "idx"])
+    return stored(rows.withColumn("group", F.col("place") % 3))
 
 
 POOL = f"{OUT}, po as (select ev.*, q.n score, ev.place % 3 grp from ev join q using (place, idx))"
@@ -129,17 +139,122 @@ def archive_first(spark, sf_dir):
 EDGES = "ed as (select a.p place, b.p neighbour from (select distinct place p from q) a join (select distinct place p from q) b on abs(a.p - b.p) = 1)"
 
 
-@query(f"""with {Q}, {M}, {EDGES}, rm as (select (year(l_shipdate) * 12 + month(l_shipdate) - 1)::bigint idx, avg(l_discount) * 100 as value from lineitem group by 1), nm as (select (year(o_orderdate) * 12 + month(o_orderdate) - 1)::bigint idx, ln(avg(o_totalprice)) l from orders group by 1),
+NINE = ("s_mom1", "s_mom4", "nat_lead", "v_mom", "v_lead", "nb_mom4", "rel_level", "eur_chg", "vol_chg")
+NINE_SQL = f"""{EDGES}, rm as (select (year(l_shipdate) * 12 + month(l_shipdate) - 1)::bigint idx, avg(l_discount) * 100 as value from lineitem group by 1), nm as (select (year(o_orderdate) * 12 + month(o_orderdate) - 1)::bigint idx, ln(avg(o_totalprice)) l from orders group by 1),
 s as (select place, idx, ln(value) l from q), v as (select place, idx, ln(value) l from m), vn as (select place, idx, ln(n) l from m),
 f as (select a.place, a.idx, a.l - b.l s_mom1, a.l - c.l s_mom4, a.l - (select quantile_cont(x.l, 0.5) from s x where x.idx = a.idx) rel_level, n1.l - n0.l nat_lead, coalesce(v0.l - v12.l, n0.l - n12.l) v_mom, coalesce(v1.l - v0.l, n1.l - n0.l) v_lead, (select max_by(value, idx) from rm where rm.idx <= a.idx * 3 + 3) - (select max_by(value, idx) from rm where rm.idx <= a.idx * 3 - 9) eur_chg, c1.l - c0.l vc
 from s a left join s b on b.place = a.place and b.idx = a.idx - 1 left join s c on c.place = a.place and c.idx = a.idx - 4 left join nm n0 on n0.idx = a.idx * 3 + 2 left join nm n1 on n1.idx = a.idx * 3 + 3 left join nm n12 on n12.idx = a.idx * 3 - 10
-left join v v0 on v0.place = a.place and v0.idx = a.idx * 3 + 2 left join v v1 on v1.place = a.place and v1.idx = a.idx * 3 + 3 left join v v12 on v12.place = a.place and v12.idx = a.idx * 3 - 10 left join vn c1 on c1.place = a.place and c1.idx = a.idx * 3 + 3 left join vn c0 on c0.place = a.place and c0.idx = a.idx * 3 - 9)
-select place, idx, round(s_mom1, 6) s_mom1, round(s_mom4, 6) s_mom4, round(nat_lead, 6) nat_lead, round(v_mom, 6) v_mom, round(v_lead, 6) v_lead, round(coalesce((select avg(g.s_mom4) from ed join f g on g.place = ed.neighbour and g.idx = f.idx where ed.place = f.place), s_mom4), 6) nb_mom4, round(rel_level, 6) rel_level, round(eur_chg, 6) eur_chg, round(coalesce(vc, (select quantile_cont(g.vc, 0.5) from f g where g.idx = f.idx)), 6) vol_chg from f""")
-def forecast_features(spark, sf_dir):
-    m = months(spark, sf_dir)
+left join v v0 on v0.place = a.place and v0.idx = a.idx * 3 + 2 left join v v1 on v1.place = a.place and v1.idx = a.idx * 3 + 3 left join v v12 on v12.place = a.place and v12.idx = a.idx * 3 - 10 left join vn c1 on c1.place = a.place and c1.idx = a.idx * 3 + 3 left join vn c0 on c0.place = a.place and c0.idx = a.idx * 3 - 9),
+ff as (select place, idx, s_mom1, s_mom4, nat_lead, v_mom, v_lead, coalesce((select avg(g.s_mom4) from ed join f g on g.place = ed.neighbour and g.idx = f.idx where ed.place = f.place), s_mom4) nb_mom4, rel_level, eur_chg, coalesce(vc, (select quantile_cont(g.vc, 0.5) from f g where g.idx = f.idx)) vol_chg from f)"""
+
+
+def nine_features(spark, sf_dir):
+    m = stored(months(spark, sf_dir))
     orders = table(spark, sf_dir, "orders")
     country = orders.groupBy((F.year("o_orderdate") * 12 + F.month("o_orderdate") - 1).cast("bigint").alias("idx")).agg(F.log(F.avg("o_totalprice")).alias("value")).select(F.lit(None).cast("bigint").alias("place"), "idx", "value")
     rates = table(spark, sf_dir, "lineitem").groupBy((F.year("l_shipdate") * 12 + F.month("l_shipdate") - 1).cast("bigint").alias("idx")).agg((F.avg("l_discount") * 100).alias("value"))
-    sales = column(quarters(spark, sf_dir), F.log("value"))
+    sales = stored(column(quarters(spark, sf_dir), F.log("value")))
     edges = sales.select("place").distinct().select("place", F.explode(F.array(F.col("place") - 1, F.col("place") + 1)).alias("neighbour"))
-    return rounded(E.forecast_features(sales, column(m, F.log("value")).unionByName(country), rates, edges, 1, column(m, F.log("n"))))
+    return sales, E.forecast_features(sales, column(m, F.log("value")).unionByName(stored(country)), stored(rates), edges, 1, column(m, F.log("n")))
+
+
+@query(f"with {Q}, {M}, {NINE_SQL} select place, idx, {', '.join(f'round({x}, 6) {x}' for x in NINE)} from ff")
+def forecast_features(spark, sf_dir):
+    return rounded(nine_features(spark, sf_dir)[1])
+
+
+HS = (1, 2, 4)
+SIGMA = """dd as (select a.place, a.idx, a.l - b.l d from s a left join s b on b.place = a.place and b.idx = a.idx - 1),
+ls as (select place, idx, list(d) filter (where d is not null) over (partition by place order by idx range between 11 preceding and current row) ds from dd), md as (select place, idx, ds, list_aggregate(ds, 'median') m from ls),
+ma as (select place, idx, 14826e-4 * list_aggregate(list_transform(ds, lambda x: abs(x - m)), 'median') mad from md), gd as (select idx, quantile_cont(mad, 0.1) low, quantile_cont(mad, 0.5) mid from ma where mad > 0 group by 1),
+sg as (select place, idx, case when mad is null then coalesce(mid, 2e-2) else greatest(mad, coalesce(low, 1e-2), 1e-3) end sigma from ma left join gd using (idx))"""
+PHI = "(case when {z} >= 0 then 1 - {p} else {p} end)".format(z="y.z", p="exp(-y.z * y.z / 2) / sqrt(2 * pi()) * y.t * (" + f"{P0[0]!r} + y.t * ({P0[1]!r} + y.t * ({P0[2]!r} + y.t * ({P0[3]!r} + y.t * {P0[4]!r}))))")
+NINE_ROWS = f"""{SIGMA}, fr as (select ff.place, ff.idx origin, h, {', '.join(f'{x} x{i + 1}' for i, x in enumerate(NINE))}, b.l - a.l y, a.l as value, sigma from ff join s a on a.place = ff.place and a.idx = ff.idx join sg on sg.place = ff.place and sg.idx = ff.idx cross join (values (1), (2), (4)) v(h) left join s b on b.place = ff.place and b.idx = ff.idx + h),
+{known(9, weight='pow(sigma, -2)')}, {ridge(9, 30, '5e-2')}, pr as (select fr.*, {predicted(9)} pred from fr left join fit on fit.key = fr.h * 100000 + fr.origin)"""
+BOUNDS = f"""pa as (select * from pr where y is not null and pred is not null), cs as (select h, origin, sum((y - pred) / (sigma * sigma)) / sum(1 / (sigma * sigma)) c from pa group by 1, 2), ck as (select * from (select *, row_number() over (partition by h order by origin desc) k from cs) where k <= 8),
+sz as (select h, sqrt(avg(c * c)) * sqrt((count(*) + 1) / count(*)::double) size from ck group by 1), ce as (select h, avg(u) u, count(*) n from (select pa.h, (y - pred - c) / sigma u from pa join ck on ck.h = pa.h and ck.origin = pa.origin) group by h, floor(asinh(u) / 2e-2)),
+st as (select h, list(struct_pack(u := u, n := n)) cells, sum(n)::double total, min(u) low, max(u) high from ce group by 1),
+bi as (select pr.place, pr.h, lv, sigma, size, cells, total, low * sigma - 8 * size a, high * sigma + 8 * size b, 0 i from pr join st using (h) join sz using (h) cross join (values (1e-1), (25e-2), (75e-2), (9e-1)) l(lv) where origin = (select max(origin) from pr where pred is not null)
+union all select place, h, lv, sigma, size, cells, total, case when list_sum(list_transform(list_transform(cells, lambda x: struct_pack(n := x.n, z := ((a + b) / 2 - x.u * sigma) / size, t := 1 / (1 + {TAIL!r} * abs(((a + b) / 2 - x.u * sigma) / size)))), lambda y: y.n * {PHI})) / total < lv then (a + b) / 2 else a end, case when list_sum(list_transform(list_transform(cells, lambda x: struct_pack(n := x.n, z := ((a + b) / 2 - x.u * sigma) / size, t := 1 / (1 + {TAIL!r} * abs(((a + b) / 2 - x.u * sigma) / size)))), lambda y: y.n * {PHI})) / total < lv then b else (a + b) / 2 end, i + 1 from bi where i < 60),
+qu as (select place, h, max((a + b) / 2) filter (where lv = 1e-1) q10, max((a + b) / 2) filter (where lv = 25e-2) q25, max((a + b) / 2) filter (where lv = 75e-2) q75, max((a + b) / 2) filter (where lv = 9e-1) q90 from bi where i = 60 group by 1, 2)"""
+
+
+def nine_rows(spark, sf_dir):
+    """place, origin, h, the nine features, y, the price and its scale as known at the origin."""
+    sales, features = nine_features(spark, sf_dir)
+    later = sales
+    for h in HS:
+        later = P.lagged(later, -h, f"l{h}")
+    ahead = F.array(*[F.struct(F.lit(h).alias("h"), F.col(f"l{h}").alias("then")) for h in HS])
+    later = later.select("place", F.col("idx"), "value", F.inline(ahead)).withColumn("y", F.col("then") - F.col("value")).drop("then")
+    return later.join(features, ["place", "idx"]).join(models.rolling_sigma(sales), ["place", "idx"]).withColumnRenamed("idx", "origin")
+
+
+@query(f"with recursive {Q}, {M}, {NINE_SQL}, {NINE_ROWS}, {BOUNDS} select pr.place, origin, pr.h::int h, round(pred, 6) pred, {', '.join(f'round(pred + {k}, 6) {k}' for k in models.LEVELS)} from pr left join qu using (place, h) where origin = (select max(origin) from pr where pred is not null)")
+def ridge_forecast(spark, sf_dir):
+    """Predictions at the last origin that has all nine features, with bounds from the errors of the backtest; all as log changes."""
+    rows = stored(nine_rows(spark, sf_dir))
+    done = stored(models.backtest(rows, list(NINE), "y", F.pow("sigma", F.lit(-2.0)), 0.05, 30).select("place", "origin", "h", "y", "pred", "sigma"))
+    now = done.where(F.col("origin") == done.where("pred is not null").agg(F.max("origin")).scalar())
+    return models.intervals(done, now).select("place", "origin", "h", r("pred").alias("pred"), *[r(F.col("pred") + F.col(k)).alias(k) for k in models.LEVELS])
+
+
+BASE3 = ["mom1", "mom4", "vol4"]
+SIGNALS = ["x_credit", "x_cost", "x_lic", "x_vgap", "x_tourism", "x_effort"]
+
+
+def rows_with_signals(spark, sf_dir):
+    from .catalog import forecast_rows
+
+    q, y = stored(quarters(spark, sf_dir)), stored(years(spark, sf_dir))
+    line = table(spark, sf_dir, "lineitem").groupBy((F.year("l_shipdate") * 12 + F.month("l_shipdate") - 1).cast("bigint").alias("idx"))
+    line = stored(line.agg(F.sum("l_extendedprice").alias("credit"), F.avg(F.try_divide("l_extendedprice", "l_quantity")).alias("cost"), (F.avg("l_discount") * 100).alias("rate")))
+    m = stored(months(spark, sf_dir))
+    of = lambda c: line.select("idx", F.col(c).alias("value"))
+    sales = column(q, F.log("value"))
+    found = {
+        "x_credit": S.yearly_change(of("credit"), q, "x_credit", True), "x_cost": S.yearly_change(of("cost"), q, "x_cost"), "x_lic": S.yearly_change(m.groupBy("idx").agg(F.sum("n").alias("value")), q, "x_lic", True),
+        "x_vgap": S.valuation_gap(sales, column(m, F.log("value")), "x_vgap"), "x_tourism": S.published_change(column(y, "n"), q, "x_tourism"), "x_effort": S.purchase_effort(sales, of("rate"), column(y, "value"), "x_effort"),
+    }
+    known = S.candidates(q, found).withColumnRenamed("idx", "origin")
+    return stored(forecast_rows(q).join(known, ["place", "origin"]))
+
+
+TESTS = f"""mk as (select (year(l_shipdate) * 12 + month(l_shipdate) - 1)::bigint k, sum(l_extendedprice) credit, avg(l_extendedprice / nullif(l_quantity, 0)) cost, avg(l_discount) * 100 rate from lineitem group by 1), lk as (select idx k, sum(n) lic from m group by 1),
+c1 as (select k, ln(t) v from (select k, case when count(*) over w = 12 then sum(credit) over w end t from mk window w as (order by k range between 11 preceding and current row)) where t > 0), c2 as (select k, ln(cost) v from mk), c3 as (select k, ln(t) v from (select k, case when count(*) over w = 12 then sum(lic) over w end t from lk window w as (order by k range between 11 preceding and current row)) where t > 0),
+nt as (select idx, {", ".join(f"(select max_by(v, k) from c{i} where k <= idx * 3 + 2) - (select max_by(v, k) from c{i} where k <= idx * 3 - 10) n{i}" for i in (1, 2, 3))}, (select max_by(rate, k) from mk where k <= idx * 3 + 2) / 1200 rt, (idx * 3 + 2) // 12 - case when (idx * 3 + 2) % 12 >= 6 then 1 else 2 end ty, (select max(y.idx) from y where y.idx <= (u.idx * 3 + 2) // 12 - 2) iy from (select distinct idx from q) u),
+w0 as (select q.place, q.idx, n1, n2, n3, ln(m.value) - ln(q.value) n4, ln(ya.n) - ln(yb.n) n5, ln(q.value) + ln(case when rt > 1e-9 then rt / (1 - pow(1 + rt, -360)) else 1 / 360e0 end) - ln(yi.value) n6 from q join nt using (idx) left join m on m.place = q.place and m.idx = q.idx * 3 + 2 left join y ya on ya.place = q.place and ya.idx = ty left join y yb on yb.place = q.place and yb.idx = ty - 1 left join y yi on yi.place = q.place and yi.idx = iy),
+wm as (select idx, {", ".join(f"quantile_cont(n{i}, 0.5) d{i}" for i in range(1, 7))} from w0 group by 1), sn as (select w0.place, w0.idx, unnest([{", ".join(f"struct_pack(sk := {i}, x4 := coalesce(n{i}, d{i}))" for i in range(1, 7))}], recursive := true) from w0 join wm using (idx)),
+f4 as (select sk, fr.* exclude (x4), sn.x4 from (select *, null x4 from fr) fr join sn on sn.place = fr.place and sn.idx = fr.origin), {known(3)}, {ridge(3, 30, '5e-2')},
+t4 as (select o.sk * 10000000 + o.h * 100000 + o.origin as key, x1, x2, x3, x4, y, 1e0 w from (select distinct sk, h, origin from f4) o join f4 on f4.sk = o.sk and f4.h = o.h and f4.origin + f4.h <= o.origin where x1 is not null and x2 is not null and x3 is not null and x4 is not null and y is not null), {ridge(4, 30, '5e-2', 's', 't4')},
+pd as (select f4.sk, f4.h, y, {predicted(3, 'fit', 'f4')} b, {predicted(4, 'fits', 'f4')} s from f4 join fit on fit.key = f4.h * 100000 + f4.origin join fits on fits.key = f4.sk * 10000000 + f4.h * 100000 + f4.origin),
+ts as (select sk, h, count(*) n, avg(abs(b - y)) mb, avg(abs(s - y)) ms from pd where y is not null and b is not null and s is not null group by 1, 2)"""
+ROWS3 = "fr as (select a.place, a.idx origin, h, ln(a.value) - ln(b.value) x1, ln(a.value) - ln(c.value) x2, ln(a.n) - ln(c.n) x3, ln(d.value) - ln(a.value) y from q a cross join (values (1), (2), (4)) v(h) left join q b on b.place = a.place and b.idx = a.idx - 1 left join q c on c.place = a.place and c.idx = a.idx - 4 left join q d on d.place = a.place and d.idx = a.idx + h)"
+NAMED = "(['" + "', '".join(SIGNALS) + "'])[sk]"
+
+
+@query(f"with {Q}, {M}, {Y}, {ROWS3}, {TESTS} select {NAMED} signal, h::int h, n::bigint n, round(mb, 6) mae_base, round(ms, 6) mae_signal, round(1 - ms / mb, 6) gain from ts")
+def signal_tests(spark, sf_dir):
+    """Whether each of six candidate signals improves the forecast."""
+    return rounded(models.signal_tests(rows_with_signals(spark, sf_dir), BASE3, SIGNALS, "y"))
+
+
+@query(f"with {Q}, {M}, {Y}, {ROWS3}, {TESTS}, g as (select sk, max_by(1 - ms / mb, h) a, min_by(1 - ms / mb, h) b from ts group by 1) select {NAMED} signal, round(a, 6) gain_far, round(b, 6) gain_near, a >= 1e-2 and b >= -1e-2 passes from g")
+def signals_passing(spark, sf_dir):
+    return rounded(models.passing(models.signal_tests(rows_with_signals(spark, sf_dir), BASE3, SIGNALS, "y")))
+
+
+REGIONAL = f"""pl as (select c_custkey place, n_regionkey::bigint region, c_custkey % 10 fold, ln(avg(o_totalprice)) y, ln(count(*)) x1, ln(c_acctbal) x2, avg((o_orderpriority = '1-URGENT')::int) x3 from customer join orders on o_custkey = c_custkey join nation on n_nationkey = c_nationkey where c_acctbal > 0 group by c_custkey, n_regionkey, c_acctbal),
+bg as (select region from (select region, count(*) n from pl group by 1) order by n desc, region limit 1), fr as (select pl.*, {", ".join(f"(region = {k} and region <> (select region from bg))::int::double x{4 + k}" for k in range(5))} from pl),
+tr as (select f.fold as key, {", ".join(f"x{i}" for i in range(1, 9))}, y, 1e0 w from (select distinct fold from fr) f join fr on fr.fold <> f.fold), {ridge(8, 1, '1e-2')}"""
+
+
+@query(f"with {REGIONAL} select place, region, round({predicted(8)}, 6) pred, round(exp(y - ({predicted(8)})) - 1, 6) gap from fr join fit on fit.key = fr.fold")
+def regional_fair_value(spark, sf_dir):
+    """A customer's mean order price against its out-of-fold estimate, with effects of the regions."""
+    orders = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("place")).agg(F.log(F.avg("o_totalprice")).alias("y"), F.log(F.count("*").cast("double")).alias("orders"), F.avg((F.col("o_orderpriority") == "1-URGENT").cast("double")).alias("urgent"))
+    regions = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_regionkey").cast("bigint").alias("region"))
+    places = table(spark, sf_dir, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("place"), "c_nationkey", F.log("c_acctbal").alias("balance")).join(regions, "c_nationkey")
+    rows = places.join(orders, "place").withColumn("fold", F.col("place") % 10)
+    out = models.with_groups(rows, ["orders", "balance", "urgent"], "region", "y", "fold")
+    return out.select("place", "region", r("pred").alias("pred"), r(F.exp(F.col("y") - F.col("pred")) - 1).alias("gap"))

@@ -1,4 +1,4 @@
-"""The build: every product of the panel from named parts, each failing on its own."""
+"""The build: every product of the panel, each failing on its own, published together."""
 
 from collections.abc import Callable
 
@@ -7,22 +7,11 @@ from pyspark.sql import functions as F
 
 from ..operators import features as S
 from ..operators import indices as I
-from ..sources import feeds, writers
+from ..sources import feeds, published
+from . import catalog, geometry
 from .panels import column, months, quarters, stored, years
 
 
-def isolated(parts: dict[str, Callable[[], DataFrame]], write: Callable[[str, DataFrame], None]) -> dict[str, str]:
-    """Writes each part; returns ok or the beginning of the error by name. A part that fails does not stop the others."""
-    status = {}
-    for name, make in parts.items():
-        try:
-            write(name, make())
-            status[name] = "ok"
-        except Exception as e:
-            status[name] = f"ERRO ({str(e)[:160]})"
-    return status
-
-
 def merged(places: DataFrame, *patches: DataFrame | None) -> DataFrame:
     """places with the columns of every patch (place, ...); patches that are missing or clash with columns before them are an error."""
     for patch in patches:
@@ -35,6 +24,13 @@ def merged(places: DataFrame, *patches: DataFrame | None) -> DataFrame:
     return places
 
 
+def outlook(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """place and its forecasts: an array of h, pred and the bounds, by h."""
+    rows = catalog.QUERIES["ridge_forecast"](spark, sf_dir)
+    made = F.struct("h", "pred", "q10", "q25", "q75", "q90")
+    return rows.groupBy("place").agg(F.array_sort(F.collect_list(made)).alias("forecasts"))
+
+
 def products(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFrame]]:
     """The published tables over the stand-in panels."""
     sales, monthly, yearly = stored(quarters(spark, sf_dir)), stored(months(spark, sf_dir)), stored(years(spark, sf_dir))
@@ -50,11 +46,15 @@ def products(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFra
         "history": lambda: feeds.series_by_place(I.monthly_to_quarterly(column(monthly, "value"), 2), "quarter", 0),
         "national": lambda: S.national_scores(price, column(monthly, "value"), column(sales, "n")),
         "changes": lambda: S.change_summary(S.quarter_changes(price, rent)),
+        "outlook": lambda: outlook(spark, sf_dir),
+        "parishes": lambda: feeds.cleaned(catalog.QUERIES["parish_table"](spark, sf_dir)),
+        "map": lambda: feeds.features(geometry.squares(spark, sf_dir, 0.1, -10.0, 36.0), catalog.QUERIES["parish_prices"](spark, sf_dir), "place", ["town", "price", "volatile"]),
     }
 
 
 def build(spark: SparkSession, sf_dir: str, out: str) -> dict[str, str]:
-    """Writes the products as JSON lines under `out` and the state of the build beside them."""
-    status = isolated(products(spark, sf_dir), lambda name, df: writers.compact_json(df, f"{out}/{name}"))
-    writers.compact_json(spark.createDataFrame(sorted(status.items()), "part string, status string"), f"{out}/status")
+    """Publishes the products and the state of the build (meta) under `out`, all at once, and their JSON lines."""
+    store = published.Store(spark, out)
+    status = store.publish(products(spark, sf_dir), meta="meta")
+    published.exported(store, sorted(n for n in store.manifest()["tables"]))
     return status

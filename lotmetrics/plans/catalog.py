@@ -97,7 +97,7 @@ def topk_movers(spark, sf_dir):
 
 
 @query(f"with {Q}, n as (select idx, avg(value) as value from q group by 1), l as (select unnest([0, 1, 2, 3, 4]) lag) select q.place, l.lag::int lag, round(corr(q.value, n.value), 6) r, count(*) n from q join l on true join n on n.idx + l.lag = q.idx group by 1, 2")
-def ripple_corr(spark, sf_dir):
+def lag_correlations(spark, sf_dir):
     q = quarters(spark, sf_dir)
     rows = P.correlation_at_lags(q, q.groupBy("idx").agg(F.avg("value").alias("value")), [0, 1, 2, 3, 4])
     return rows.select("place", "lag", r("r").alias("r"), "n")
@@ -146,12 +146,12 @@ def archive_antijoin(spark, sf_dir):
 
 
 @query("select p_brand, round(100.0 * count(*) filter (where p_type like '%BRASS%') / count(*), 6) share, count(*) n from part group by 1")
-def typology_mix(spark, sf_dir):
+def brand_shares(spark, sf_dir):
     return table(spark, sf_dir, "part").groupBy("p_brand").agg(r(100 * F.avg(F.col("p_type").contains("BRASS").cast("double"))).alias("share"), F.count("*").alias("n"))
 
 
 @query(f"with {Q}, x as (select place, round(stddev_samp(g), 6) vol, count(*) n from (select place, 100 * (value / nullif(lag(value) over (partition by place order by idx), 0) - 1) g from q) where g is not null group by 1) select place, vol, case when n >= 6 then vol >= (select quantile_cont(vol, 0.9) from x) end volatile from x")
-def volatility(spark, sf_dir):
+def step_spread(spark, sf_dir):
     steps = quarters(spark, sf_dir).select("place", P.growth(F.col("value"), F.lag("value").over(P.ordered())).alias("g")).where("g is not null")
     rows = steps.groupBy("place").agg(r(F.stddev_samp("g")).alias("vol"), F.count("*").alias("n"))
     limit = rows.agg(F.expr("percentile(vol, 0.9)")).scalar()
@@ -174,7 +174,7 @@ def naive_metrics(spark, sf_dir):
 
 
 @query(f"with {Q}, g as (select a.place, a.idx, case when a.value / b.value - 1 > 0.02 then 1 when a.value / b.value - 1 < -0.02 then -1 else 0 end p, case when a.n > b.n then 1 else -1 end v from q a join q b on b.place = a.place and b.idx = a.idx - 4) select place, idx, case when p > 0 and v > 0 then 'expansion' when p > 0 then 'late' when p < 0 and v < 0 then 'contraction' when p < 0 then 'recovery' else 'flat' end phase from g")
-def cycle_phase(spark, sf_dir):
+def price_volume_signs(spark, sf_dir):
     w = P.W.partitionBy("place").orderBy("idx").rangeBetween(-4, -4)
     rows = quarters(spark, sf_dir).withColumns({"before": F.max("value").over(w), "n0": F.max("n").over(w)}).where("before is not null")
     g, up = F.try_divide("value", "before") - 1, F.col("n") > F.col("n0")
@@ -183,7 +183,7 @@ def cycle_phase(spark, sf_dir):
 
 
 @query(f"with {Q}, {M}, l as (select place, avg(value) v from m where idx > (select max(idx) from m) - 12 group by 1), p as (select place, value as p from q where idx = (select max(idx) - 1 from q)) select p.place, round(100 * (l.v / nullif(p.p, 0) - 1), 6) gap from p left join l on l.place = p.place")
-def valuation_gap(spark, sf_dir):
+def recent_mean_gap(spark, sf_dir):
     m, q = months(spark, sf_dir), quarters(spark, sf_dir)
     late = m.where(F.col("idx") > m.agg(F.max("idx") - 12).scalar()).groupBy("place").agg(F.avg("value").alias("v"))
     price = q.where(F.col("idx") == q.agg(F.max("idx") - 1).scalar()).select("place", F.col("value").alias("p"))
@@ -199,7 +199,7 @@ def freshness(spark, sf_dir):
 
 
 @query(f"with {Q} select place, count(*) n, round(100.0 * count(*) filter (where value > (select median(value) from q)) / count(*), 6) share_above from q group by 1")
-def share_above(spark, sf_dir):
+def share_over_median(spark, sf_dir):
     q = quarters(spark, sf_dir)
     mid = q.agg(F.expr("percentile(value, 0.5)")).scalar()
     return q.groupBy("place").agg(F.count("*").alias("n"), r(100 * F.avg((F.col("value") > mid).cast("double"))).alias("share_above"))
@@ -276,17 +276,6 @@ def ridge_backtest(spark, sf_dir):
     return models.backtest(forecast_rows(stored(quarters(spark, sf_dir))), FEATURES, "y", None, 0.05, 30).select("place", "origin", "h", r("pred").alias("pred"))
 
 
-@query(None)
-def ridge_forecast(spark, sf_dir):
-    """Predictions at the last origin with their error bounds (random draws, so beyond SQL)."""
-    q = stored(quarters(spark, sf_dir))
-    sigma = models.robust_sigma(q.withColumn("value", F.ln("value")))
-    rows = forecast_rows(q).join(sigma, "place").withColumn("w", F.pow("sigma", F.lit(-2.0)))
-    done = stored(models.backtest(rows, FEATURES, "y", F.col("w"), 0.05, 30).select("place", "origin", "h", "value", "y", "pred", "sigma"))
-    now = done.where(F.col("origin") == q.agg(F.max("idx")).scalar())
-    return models.intervals(done, now).select("place", "origin", "h", r("pred").alias("pred"), *[r(F.exp(F.col("value") + F.col("pred") + F.col(k)), 4).alias(k) for k in models.LEVELS])
-
-
 @query(f"with {Q}, {ROWS.format(source='q')}, {PAST.format(w='1e0')}, {FIT.format(least=30, lam='5e-2')}, dn as (select fr.*, {PRED} pred from fr join fit on fit.key = fr.h * 100000 + fr.origin), ok as (select * from dn where y is not null and pred is not null), me as (select h, count(*) n, avg(abs(pred - y)) a, avg(abs(y)) b, avg(abs(x2 * h / 4 - y)) c, avg(pred - y) bias, quantile_cont(abs(pred - y), 0.5) med from ok group by 1) select h::int h, n::bigint n, round(a, 6) mae_model, round(b, 6) mae_same, round(c, 6) mae_drift, round(bias, 6) bias, round(med, 6) median_error, round(1 - a / nullif(least(b, c), 0), 6) skill from me")
 def forecast_metrics(spark, sf_dir):
     """Error of the model and of no change and drift, by horizon, on the same rows."""
@@ -353,4 +342,4 @@ def regimes(spark, sf_dir):
     return models.regimes(quarters(spark, sf_dir)).withColumn("growth", r("growth"))
 
 
-from . import backtests, calculators, market, parishes, rates, scores, views  # noqa: E402, F401  register their queries
+from . import backtests, calculators, geometry, market, parishes, rates, rollup, scores, views  # noqa: E402, F401  register their queries

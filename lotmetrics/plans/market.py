@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators import context as C
 from .base import query, r, rounded
-from .panels import D, M, Q, Y, column, deflator, months, quarters, table, years
+from .panels import D, M, Q, Y, column, deflator, months, quarters, stored, table, years
 
 #: Monthly values stand for valuations: a tenth under the quarters' prices, so that gaps have either sign.
 V = "v as (select place, idx, value * 98e-2 as value from m)"
@@ -135,7 +135,7 @@ def construction_costs(spark, sf_dir):
 
 @query(f"with {Y}, {M}, e as (select max(idx) e from y), l as (select place, max(value) filter (idx = e) income, max(value) filter (idx = e) / nullif(max(value) filter (idx = e - 1), 0) - 1 income_growth_1y, max(n) filter (idx = e) beds, max(n - urgent) filter (idx = e) b1, max(urgent) filter (idx = e) b2 from y cross join e group by 1), me as (select max(idx) e from m), g as (select place, sum(n) filter (idx > e - 12) a, count(*) filter (idx > e - 12) k, sum(n) filter (idx between e - 23 and e - 12) b, count(*) filter (idx between e - 23 and e - 12) kb from m cross join me group by 1) select place, round(income, 4) income, round(income_growth_1y, 6) income_growth_1y, beds, (coalesce(b1, 0) + coalesce(b2, 0))::double households, round(b1 / nullif(coalesce(b1, 0) + coalesce(b2, 0), 0), 6) share_1, round(b2 / nullif(coalesce(b1, 0) + coalesce(b2, 0), 0), 6) share_2, case when k = 12 then a::double end guests_12m, round(case when k = 12 and kb = 12 and b > 0 then a / b::double - 1 end, 6) guests_growth_1y, round(beds / income * 100, 6) beds_per_100 from l full join g using (place)")
 def context_features(spark, sf_dir):
-    y, m = years(spark, sf_dir), months(spark, sf_dir)
+    y, m = stored(years(spark, sf_dir)), stored(months(spark, sf_dir))
     brackets = [column(y, F.col("n") - F.col("urgent")), column(y, "urgent")]
     out = C.context_features({"income": column(y, "value"), "beds": column(y, "n")}, ("income",), brackets, column(m, "n"), per_100={"beds_per_100": ("beds", "income")})
     return rounded(out, 6, income=4)
@@ -147,7 +147,7 @@ COUNTRIES = "x as (select q.place, q.idx, q.value / nullif(d.value, 0) v from q
 @query(f"with {Q}, {D}, {COUNTRIES}, o as (select z.place, z.idx, z.r / 100 - 1 r, q.value / 100 - 1 nom, z.r / nullif(a.r, 0) - 1 r1, z.r / nullif(c.r, 0) - 1 r5, z.r / (select max(r) from z w where w.place = z.place and w.idx <= z.idx) - 1 fp from z join t on z.idx = t.t left join q on q.place = z.place and q.idx = z.idx left join z a on a.place = z.place and a.idx = z.idx - 4 left join z c on c.place = z.place and c.idx = z.idx - 20) select place, idx, round(r, 6) as \"real\", round(nom, 4) nominal, round(r1, 6) real_1y, round(r5, 6) real_5y, round(fp, 6) from_peak, (row_number() over (order by r desc, place))::int as \"position\", case when r1 is not null then (row_number() over (order by r1 desc nulls last, place))::int end position_1y from o")
 def compare_countries(spark, sf_dir):
     q = column(quarters(spark, sf_dir), "value")
-    d = deflator(spark, sf_dir).crossJoin(F.broadcast(q.select("place").distinct())).select("place", "idx", "value")
+    d = deflator(spark, sf_dir).crossJoin(q.select("place").distinct()).select("place", "idx", "value")
     own = q.where("not (place % 5 = 0 and idx > 8000)")
     return rounded(C.compare_countries(own, d, 1997), 6, nominal=4)
 

@@ -1,11 +1,10 @@
 """Panels built from the driver's tables: the stand-ins for territorial series."""
 
-import tempfile
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import month_index, quarter_index
+from ..operators.storage import stored  # noqa: F401
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
@@ -42,20 +41,6 @@ def years(spark, sf_dir: str) -> DataFrame:
     return rows.agg(F.avg("o_totalprice").alias("value"), F.count("*").cast("double").alias("n"), F.count_if(F.col("o_orderpriority") == "1-URGENT").cast("double").alias("urgent"))
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """The frame written to the folder that the cluster shares (spark.checkpoint.dir), for small panels that a query reads often.
-
-    In local mode a folder of its own serves where the setting is absent.
-    """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        found = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not found and not context.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        context.setCheckpointDir(found or tempfile.mkdtemp(prefix="lotmetrics-"))
-    return df.checkpoint()
-
-
 def column(df: DataFrame, value, *also: str) -> DataFrame:
     """The frame with another value."""
     return df.select("place", "idx", (F.col(value) if isinstance(value, str) else value).cast("double").alias("value"), *also)

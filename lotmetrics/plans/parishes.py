@@ -2,10 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from ..operators import clusters
 from ..operators import parishes as P
 from ..operators import spatial
 from .base import query, r, rounded
-from .panels import M, column, months, table
+from .panels import M, column, months, stored, table
 
 SP = "sp as (select l_suppkey place, (year(l_shipdate) * 4 + quarter(l_shipdate) - 1)::bigint idx, avg(l_extendedprice / l_quantity) as value, count(*) n from lineitem where l_quantity > 0 group by 1, 2)"
 SY = "sy as (select l_suppkey place, year(l_shipdate)::bigint idx, avg(l_extendedprice / l_quantity) as value, count(*)::double n from lineitem where l_quantity > 0 group by 1, 2)"
@@ -107,3 +108,16 @@ def propagation(spark, sf_dir):
 @query(f"with {M}, {PLACES}, {NEAR}, {RIPPLE}, b as (select band, lag, avg(r) r, count(distinct place) p from cu join nr using (place) group by 1, 2), e as (select band, count(distinct place) places from cu join nr using (place) where r is not null group by 1 having count(distinct place) >= 3) select b.band, places::bigint places, lag::int lag, round(b.r, 6) r, row_number() over (partition by b.band order by b.r desc, lag) = 1 best from b join e on e.band = b.band")
 def band_curves(spark, sf_dir):
     return rounded(spatial.band_curves(curves(spark, sf_dir), near(spark, sf_dir)))
+
+
+@query(None)
+def typologies(spark, sf_dir):
+    """Groups of places by price level and growth before and after a quarter (no SQL: the starts are many and the steps iterate)."""
+    q = parts(spark, sf_dir, "quarter").where("value > 0").withColumn("l", F.log("value"))
+    ends = q.agg(F.min("idx").alias("a"), F.max("idx").alias("b")).select("a", "b", F.floor((F.col("a") + F.col("b")) / 2).alias("m"))
+    at = lambda k: F.max(F.when(F.col("idx") == F.col(k), F.col("l")))
+    rows = q.join(ends, F.lit(True)).groupBy("place", "a", "b", "m").agg(at("a").alias("l0"), at("m").alias("l1"), at("b").alias("l2"))
+    rate = lambda x, y, i, j: F.exp((F.col(y) - F.col(x)) * 4 / (F.col(j) - F.col(i))) - 1
+    rows = rows.select("place", F.col("l2").alias("level"), rate("l0", "l1", "a", "m").alias("before"), rate("l1", "l2", "m", "b").alias("after")).where("level is not null and before is not null and after is not null")
+    out, found = clusters.typologies(stored(rows), ["level", "before", "after"])
+    return rounded(out.withColumn("silhouette", F.lit(max(found.values(), default=None)).cast("double")))

@@ -6,7 +6,7 @@ from ..functions import keys
 from ..operators import panel as P
 from ..operators import rates as R
 from .base import query, r, rounded
-from .panels import M, Q, column, months, quarters, table
+from .panels import M, Q, column, months, quarters, stored, table
 
 #: Monthly values, scaled to percent, stand for the market rate of each country; the mortgage rate follows half of it.
 PAIR = "e as (select place, idx, value / 100000 as value from m), g as (select place, idx, value / 200000 + 15e-1 + (idx % 5) / 20 as value from m where idx <= (select max(idx) from m) - 2)"
@@ -15,7 +15,7 @@ NOW = "le as (select place, max_by(value, idx) market from e group by 1), lg as
 
 
 def pair(spark, sf_dir):
-    m = months(spark, sf_dir)
+    m = stored(months(spark, sf_dir))
     last = m.agg(F.max("idx")).scalar()
     return column(m, F.col("value") / 100000), column(m.where(F.col("idx") <= last - 2), F.col("value") / 200000 + 1.5 + (F.col("idx") % 5) / 20)
 
@@ -35,6 +35,29 @@ def rate_scenarios(spark, sf_dir):
     return rounded(R.shock_effects(R.rate_now(*pair(spark, sf_dir))))
 
 
+EFFECT = f"""eq as (select place, (idx // 3)::bigint idx, avg(value) v from e group by 1, 2), ch as (select q.place, q.idx, ln(f.value) - ln(q.value) y, b.v - a.v d, ln(q.value) - ln(p.value) m from q join q f on f.place = q.place and f.idx = q.idx + 4 join q p on p.place = q.place and p.idx = q.idx - 4 join eq a on a.place = q.place and a.idx = q.idx join eq b on b.place = q.place and b.idx = q.idx + 4),
+cn as (select *, row_number() over (partition by place order by idx) - 1 t, count(*) over (partition by place) n from ch), co as (select * from cn where n >= 12),
+tu as (select place, n, dr, tn, case when tn = ceil(n / 4) - 1 then n - tn * 4 else 4 end size, ('0x' || substr(md5(dr || ':' || tn), 1, 8))::bigint % (n - 4 + 1) bg from (select distinct place, n from co), (select unnest(range(400)) dr), (select unnest(range(20)) tn) where tn < ceil(n / 4)),
+bo as (select tu.place, dr, (covar_pop(y, d) * var_pop(m) - covar_pop(y, m) * covar_pop(d, m)) / nullif(var_pop(d) * var_pop(m) - pow(covar_pop(d, m), 2), 0) b from tu join co on co.place = tu.place and t >= bg and t < bg + size group by 1, 2),
+fu as (select place, count(*) n, (covar_pop(y, d) * var_pop(m) - covar_pop(y, m) * covar_pop(d, m)) / (var_pop(d) * var_pop(m) - pow(covar_pop(d, m), 2)) beta from co group by 1), ef as (select fu.*, low, high from fu join (select place, quantile_cont(b, 5e-2) low, quantile_cont(b, 95e-2) high from bo group by 1) using (place))"""
+
+
+def effects(spark, sf_dir):
+    market, _ = pair(spark, sf_dir)
+    return R.rate_effect(R.rate_changes(column(quarters(spark, sf_dir), "value"), market), 400, 4, 12)
+
+
+@query(f"with {Q}, {M}, {PAIR}, {EFFECT} select place, n::bigint n, round(beta, 6) beta, round(low, 6) low, round(high, 6) high, high < 0 credible from ef")
+def rate_effect(spark, sf_dir):
+    """What a point of the rate does to prices within a year, with bounds from 400 resampled histories."""
+    return rounded(effects(spark, sf_dir))
+
+
+@query(f"with {Q}, {M}, {PAIR}, {EFFECT} select place, s::double shock, round(exp(beta * s) - 1, 6) price_effect, round(exp(least(low * s, high * s)) - 1, 6) low, round(exp(greatest(low * s, high * s)) - 1, 6) high from ef, (values (-1), (1)) t(s) where high < 0")
+def rate_price_effects(spark, sf_dir):
+    return rounded(R.price_effects(effects(spark, sf_dir)))
+
+
 @query(f"with {Q}, l as (select 'S' as source, 'k' || place as key, (max(idx) // 4) || 'Q' || (max(idx) % 4 + 1) as last, max(idx) i, place from q where idx <= 8000 - place group by place), a as (select *, (2002 * 12 + 2) - (i // 4 * 12 + (i % 4) * 3 + 3) as months, case when place % 3 = 0 then 20 else 9 end lim from l where place % 7 <> 0) select source, key, last, months::int as months, lim::int as \"limit\", (row_number() over (order by months / lim::double desc, source, key))::int as \"position\" from a where months > lim")
 def stale_series(spark, sf_dir):
     q = quarters(spark, sf_dir).where("idx <= 8000 - place")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..operators import features as S
 from ..operators import indices as I
 from .base import query, r, rounded
-from .panels import D, M, Q, Y, column, deflator, months, quarters, years
+from .panels import D, M, Q, Y, column, deflator, months, quarters, stored, years
 
 PR = "case when {0} is not null then 100.0 * (rank() over (partition by {0} is null order by {0}) + (count(*) over (partition by {0}) - 1) / 2.0) / count({0}) over (partition by {0} is null) end"
 
@@ -27,13 +27,13 @@ f{tag} as (select *, case when volatile then 50 + 5e-1 * (raw - 50) else raw end
 
 
 def yearly(spark, sf_dir):
-    y = years(spark, sf_dir)
+    y = stored(years(spark, sf_dir))
     return column(y, F.col("value") / 25), column(y, "n"), column(y, "urgent")
 
 
 def features_of(spark, sf_dir):
     rent, n, urgent = yearly(spark, sf_dir)
-    return S.municipal_features(column(quarters(spark, sf_dir), "value"), rent, permits=n, completed=urgent)
+    return S.municipal_features(column(stored(quarters(spark, sf_dir)), "value"), rent, permits=n, completed=urgent)
 
 
 @query(f"with {Q}, {Y}, {features_sql('q')} select place, round(price, 4) price, round(g1, 6) price_growth_1y, round(g5, 6) price_growth_5y, round(rent, 4) rent, round(gross_yield, 6) gross_yield, round(val, 4) score_valuation, round(sup, 4) score_supply, round(volatility, 6) volatility, volatile, round(score, 4) score_overall, band from f")
@@ -44,8 +44,8 @@ def municipal_features(spark, sf_dir):
 
 @query(f"with {Q}, {D}, e as (select least((select max(idx) from q), (select max(idx) from d)) e), i as (select max_by(value, idx) filter (idx <= (select e from e)) a, max_by(value, idx) filter (idx <= (select e from e) - 4) b1, max_by(value, idx) filter (idx <= (select e from e) - 12) b3 from d), l as (select max(idx) m from q) select q.place, round((q.value / b.value) / (i.a / i.b1) - 1, 6) price_growth_1y_real, round((q.value / c.value) / (i.a / i.b3) - 1, 6) price_growth_3y_real from q cross join i left join q b on b.place = q.place and b.idx = q.idx - 4 left join q c on c.place = q.place and c.idx = q.idx - 12 where q.idx = (select m from l)")
 def real_growth_aligned(spark, sf_dir):
-    sales = column(quarters(spark, sf_dir), "value")
-    rows = S.real_growth(S.municipal_features(sales), sales, deflator(spark, sf_dir))
+    sales = column(stored(quarters(spark, sf_dir)), "value")
+    rows = S.real_growth(S.municipal_features(sales), sales, stored(deflator(spark, sf_dir)))
     return rows.where("price is not null").select("place", r("price_growth_1y_real").alias("price_growth_1y_real"), r("price_growth_3y_real").alias("price_growth_3y_real"))
 
 
@@ -82,7 +82,7 @@ CHANGES = f"with {Q}, {Y}, b4 as (select * from q where idx < (select max(idx) f
 
 
 def changes(spark, sf_dir):
-    return S.quarter_changes(column(quarters(spark, sf_dir), "value"), yearly(spark, sf_dir)[0])
+    return S.quarter_changes(column(stored(quarters(spark, sf_dir)), "value"), yearly(spark, sf_dir)[0])
 
 
 @query(f"{CHANGES} select place, round(price, 4) price, round(price_prev, 4) price_prev, round(qoq, 6) qoq, round(score, 4) score, round(score_prev, 4) score_prev, round(score - score_prev, 4) dscore, band, band_prev, volatile, moved from c")
@@ -107,7 +107,7 @@ REAL = "x as (select q.place, q.idx, q.value / nullif(d.value, 0) * 100 v from q
 
 @query(f"with {Q}, {D}, {REAL} select place, idx, round(value, 6) as value from ri")
 def real_index(spark, sf_dir):
-    return rounded(I.real_index(column(quarters(spark, sf_dir), "value"), deflator(spark, sf_dir).withColumn("place", F.lit(None)).crossJoin(F.broadcast(quarters(spark, sf_dir).select(F.col("place").alias("p")).distinct())).select(F.col("p").alias("place"), "idx", "value"), 1997))
+    return rounded(I.real_index(column(quarters(spark, sf_dir), "value"), deflator(spark, sf_dir).withColumn("place", F.lit(None)).crossJoin(quarters(spark, sf_dir).select(F.col("place").alias("p")).distinct()).select(F.col("p").alias("place"), "idx", "value"), 1997))
 
 
 @query(f"""with {Q}, {D}, {Y}, {REAL}, l as (select place, max(idx) e from ri group by 1), k as (select l.place, e, a.value r1, b.value r0, c.value p1, d0.value p0 from l join ri a on a.place = l.place and a.idx = e join ri b on b.place = l.place and b.idx = e - 20 join q c on c.place = l.place and c.idx = e join q d0 on d0.place = l.place and d0.idx = e - 20 where b.value > 0),
@@ -115,7 +115,7 @@ a as (select place, idx // 4 yr, avg(value) lv from q group by 1, 2), z as (sele
 select place, round(pow(r1 / r0, 2e-1) - 1, 6) price_real, round(pow((p1 / r1) / (p0 / r0), 2e-1) - 1, 6) inflation, round(gross * 75e-2, 6) yield_net, round(pow(r1 / r0, 2e-1) - 1 + gross * 75e-2, 6) total, n::bigint rent_years from k join z using (place)""")
 def total_return(spark, sf_dir):
     q = column(quarters(spark, sf_dir), "value")
-    d = deflator(spark, sf_dir).crossJoin(F.broadcast(q.select("place").distinct())).select("place", "idx", "value")
+    d = deflator(spark, sf_dir).crossJoin(q.select("place").distinct()).select("place", "idx", "value")
     return rounded(S.total_return(q, I.real_index(q, d, 1997), yearly(spark, sf_dir)[0]))
 
 

@@ -1,5 +1,6 @@
 """Queries of the panel's tables, the guide, keys and published outputs."""
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import keys
@@ -7,7 +8,7 @@ from ..operators import parishes as PA
 from ..operators import views as V
 from ..sources import feeds, landed
 from .base import query, r, rounded
-from .panels import Q, Y, column, quarters, table, years
+from .panels import Q, Y, column, quarters, stored, table, years
 from .parishes import PRICES, SP, SY, parts, prices
 from .scores import features_of, features_sql
 
@@ -76,34 +77,71 @@ def guide_totals(spark, sf_dir):
 @query(f"{FEATS}, gc as (select place, price cost, 240000 / price - 1 fit, g1, score from f where price is not null and 240000 / price - 1 >= -5e-2), gk as (select place, unnest([struct_pack(k := 'fit', v := fit, w := 2, d := 1), struct_pack(k := 'price_growth_1y', v := g1, w := 3, d := 1), struct_pack(k := 'score_overall', v := score, w := 1, d := -1)], recursive := true) from gc), gp as (select place, k, w, d, (rank() over (partition by k order by v) - 1 + (count(*) over (partition by k, v) - 1) / 2e0) / nullif(count(*) over (partition by k) - 1, 0) p from gk where v is not null), gs as (select place, sum(w * coalesce(case when d < 0 then 1 - p else p end, 5e-1)) / sum(w) s from gp group by 1) select gc.place, round(cost, 4) cost, round(fit, 6) fit, round(s, 6) score, (row_number() over (order by s desc, gc.place))::int as \"position\" from gc join gs using (place)")
 def guide_results(spark, sf_dir):
     criteria = spark.createDataFrame([("fit", 2, 1), ("price_growth_1y", 3, 1), ("score_overall", 1, -1)], "key string, weight int, direction int")
-    out = V.guide(features_of(spark, sf_dir), criteria, F.lit(240000.0), F.col("price"), ["fit", "price_growth_1y", "score_overall"])
+    out = V.guide(stored(features_of(spark, sf_dir)), criteria, F.lit(240000.0), F.col("price"), ["fit", "price_growth_1y", "score_overall"])
     return rounded(out.drop("missing"), 6, cost=4)
 
 
-# keys
+TENANTS = "tr as (select place, rent * 80 rent, case when place % 3 <> 0 then rent * 2000 end pi, case when place % 4 <> 1 then rent * 2600 end irs, rent * 170 wage from f), tp as (select place, rent, unnest([struct_pack(profile := 'one, parish', income := pi / 12), struct_pack(profile := 'one, municipality', income := irs / 12), struct_pack(profile := 'two, municipality', income := irs / 6), struct_pack(profile := 'one wage', income := wage::double), struct_pack(profile := 'two wages', income := 2 * wage::double)], recursive := true) from tr), tb as (select place, profile, income, rent / income share, case when rent / income <= 35e-2 then 'easy' when rent / income <= 5e-1 then 'heavy' else 'too heavy' end burden from tp where income > 0 and rent is not null)"
+
+
+def tenants(spark, sf_dir):
+    k, rent = F.col("place"), F.col("rent")
+    return features_of(spark, sf_dir).select("place", (rent * 80).alias("rent"), F.when(k % 3 != 0, rent * 2000).alias("parish_irs"), F.when(k % 4 != 1, rent * 2600).alias("irs_median"), (rent * 170).alias("wage"))
+
+
+@query(f"{FEATS}, {TENANTS} select place, profile, round(income, 4) income, round(share, 6) share, burden from tb")
+def tenant_profiles(spark, sf_dir):
+    return rounded(V.tenant_profiles(tenants(spark, sf_dir)), 6, income=4)
+
+
+@query(f"{FEATS}, {TENANTS}, e as (select place, count(*) filter (burden = 'easy') easy from tb group by 1), vd as (select tr.place, coalesce(easy, 0)::bigint easy, case when tr.place % 5 <> 2 then (tr.place % 10) / 10e0 end above from tr left join e using (place)) select place, easy, above, case when easy > 0 and (above is null or above >= 3e-1) then 'viable' when easy > 0 or above >= 15e-2 then 'tight' else 'hard' end verdict from vd")
+def tenant_verdicts(spark, sf_dir):
+    rows = stored(tenants(spark, sf_dir))
+    return V.tenant_verdict(rows, rows.select("place", F.when(F.col("place") % 5 != 2, (F.col("place") % 10) / 10).alias("above")))
+
 
-#: Labels and what they mean: label, kind, sort_key.
-PERIODS = [
-    ("4.º Trimestre de 2023", "2023Q4", "quarter", 202304), ("1.o Trimestre de 2021", "2021Q1", "quarter", 202101), ("2022 trimestre 3", "2022", "year", 202200), ("T2 2020", "2020Q2", "quarter", 202002), ("2019Q3", "2019Q3", "quarter", 201903), ("5.º Trimestre de 2018", "2018", "year", 201800),
-    ("2017M3", "2017-03", "month", 201703), ("Marco 2016", "2016-03", "month", 201603), ("dezembro de 1999", "1999-12", "month", 199912), ("2015-11", "2015", "year", 201500), ("2014M13", "2014", "year", 201400), (" 2013 ", "2013", "year", 201300), ("sem ano", None, None, None),
-]
-CODES = [("pt", "national", None), (" PT ", "national", None), ("11a", "nuts3", None), ("1A0", "nuts3", None), ("abc", "other", None), ("11a0405", "municipality", "0405"), (" 1B01234", "municipality", "1234"), ("3", "nuts1", None), ("20", "nuts2", None), ("200", "nuts3", None), ("1234", "other", None), ("123456789", "parish", None), ("", "other", None)]
+@query(f"{FEATS}, x as (select place, price / nullif(lag(price) over (order by place), 0) - 1 d from f) select place, round(d, 6) difference, case when abs(d) <= 1e-1 then 'aligned' when abs(d) <= 25e-2 then case when d > 0 then 'above' else 'below' end else case when d > 0 then 'well above' else 'well below' end end reading from x where d is not null")
+def market_positions(spark, sf_dir):
+    """Each place's price against the place's before."""
+    rows = features_of(spark, sf_dir).select("place", "price", F.lag("price").over(W.orderBy("place")).alias("other"))
+    return rows.withColumn("x", V.against(F.col("price"), F.col("other"))).where("x is not null").select("place", r("x.difference").alias("difference"), "x.reading")
 
 
-def literal(x) -> str:
-    return "null" if x is None else str(x) if isinstance(x, int) else f"'{x}'"
+@query(f"{FEATS}, x as (select place, rent * 70 / 12e5 u, rent * 6e-1 * 70 / 12e5 l from f) select place, round(u, 6) rent_user, case when u <= 35e-2 then 'fits' when l <= 35e-2 then 'cheap part' when u <= 5e-1 then 'tight' when u is not null then 'over' end fit from x")
+def rent_fit(spark, sf_dir):
+    rows = features_of(spark, sf_dir).select("place", "rent", (F.col("rent") * 0.6).alias("rent_q1"))
+    return rounded(V.rent_fit(rows, F.lit(1_200_000.0), F.lit(70.0), F.lit(0.35)))
 
 
-@query(f"select * from (values {', '.join('(' + ', '.join(map(literal, p)) + ')' for p in PERIODS)}) t(raw, label, kind, sort_key)")
+# keys
+
+DAYS = "d as (select distinct year(o_orderdate) y, quarter(o_orderdate) q, month(o_orderdate) m from orders)"
+NAMES = "['" + "', '".join(keys.MONTHS) + "']"
+FORM = "(y + m) % 7"
+
+
+@query(f"""with {DAYS} select y, m, case when {FORM} in (0, 1, 2) then y || 'Q' || q when {FORM} in (3, 4, 5) then y || '-' || lpad(m::varchar, 2, '0') else y::varchar end label, case when {FORM} in (0, 1, 2) then 'quarter' when {FORM} in (3, 4, 5) then 'month' else 'year' end kind, case when {FORM} in (0, 1, 2) then y * 100 + q when {FORM} in (3, 4, 5) then y * 100 + m else y * 100 end sort_key from d""")
 def period_labels(spark, sf_dir):
-    rows = spark.createDataFrame([(p[0],) for p in PERIODS], "raw string").withColumn("p", keys.period(F.col("raw")))
-    return rows.select("raw", "p.label", "p.kind", "p.sort_key")
+    """What labels in seven spellings, made from the orders' dates, are read as."""
+    d = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("y"), F.quarter("o_orderdate").alias("q"), F.month("o_orderdate").alias("m")).distinct()
+    y, q, m = (F.col(c).cast("string") for c in ("y", "q", "m"))
+    name = F.element_at(F.array(*map(F.lit, keys.MONTHS)), F.col("m"))
+    spelled = [F.concat(q, F.lit(".º Trimestre de "), y), F.concat(F.lit(" T"), q, F.lit(" "), y), F.concat(y, F.lit("q"), q), F.concat(y, F.lit("M"), m), F.concat(F.initcap(name), F.lit(" de "), y), F.concat(F.upper(name), F.lit(" "), y), F.concat(y, F.lit("-"), m)]
+    rows = stored(d.withColumn("raw", F.element_at(F.array(*spelled), (F.expr(FORM) + 1).cast("int")))).withColumn("p", keys.period(F.col("raw")))
+    return rows.select("y", "m", "p.label", "p.kind", "p.sort_key")
+
 
+K4 = "lpad((c_custkey % 10000)::varchar, 4, '0')"
 
-@query(f"select * from (values {', '.join('(' + ', '.join(map(literal, p)) + ')' for p in CODES)}) t(code, level, municipality)")
+
+@query(f"""select c_custkey id, case c_custkey % 8 when 0 then 'municipality' when 1 then 'parish' when 2 then 'nuts3' when 3 then 'nuts2' when 4 then 'nuts1' when 5 then 'national' when 6 then 'nuts3' else 'other' end as level, case when c_custkey % 8 = 0 then {K4} end municipality from customer""")
 def place_codes(spark, sf_dir):
-    rows = spark.createDataFrame([(c[0],) for c in CODES], "code string")
-    return rows.select("code", keys.level(F.col("code")).alias("level"), keys.municipality(F.col("code")).alias("municipality"))
+    """The levels and municipalities of codes made from the customers' keys, in all forms."""
+    k = F.col("c_custkey")
+    digits = F.lpad((k % 10000).cast("string"), 4, "0")
+    forms = [F.concat(F.lit(" 11a"), digits), F.concat(F.lit("11101"), digits), F.lit("1b0"), F.concat(F.lit("1"), (k % 10).cast("string")), (k % 10).cast("string"), F.when(k % 3 == 0, "pt").otherwise("PT "), F.lit("200"), F.concat(digits, F.lit("x"))]
+    rows = table(spark, sf_dir, "customer").select(k.alias("id"), F.element_at(F.array(*forms), (k % 8 + 1).cast("int")).alias("code"))
+    return rows.select("id", keys.level(F.col("code")).alias("level"), keys.municipality(F.col("code")).alias("municipality"))
 
 
 @query("with d as (select distinct year(o_orderdate) y, quarter(o_orderdate) q, month(o_orderdate) m from orders) select y * 100 + q as quarter_key, y * 100 + m as month_key, ((y * 4 + q - 1 - 5) // 4) * 100 + (y * 4 + q - 1 - 5) % 4 + 1 quarter_before, ((y * 12 + m - 1 - 14) // 12) * 100 + (y * 12 + m - 1 - 14) % 12 + 1 month_before, y || 'Q' || q quarter_label, y || '-' || lpad(m::varchar, 2, '0') month_label, y * 12 + q * 3 - 1 end_month, case when y >= 2000 then y || 'Q' || q end quarter_of_month, last_day(make_date(y, q * 3, 1))::varchar quarter_end, case when y * 12 + q * 3 - 3 <= 1998 * 12 + 5 then 'nowcast' else 'forecast' end kind from d")
@@ -133,7 +171,10 @@ def feed_items(spark, sf_dir):
     return feeds.price_items(rows).select("place", "guid", "title")
 
 
-@query("select true live, 2::bigint n_ok, 0::bigint n_cache, 1::bigint n_error")
+@query("with s as (select case when s_suppkey % 50 = 7 then 'geo' end g, s_suppkey % 5 c from supplier), t as (select * from s where g is null and c <> 3) select (count(*) filter (c in (0, 1)) > 0 and count(*) filter (c = 2) = 0) live, (count(*) filter (c in (0, 1)))::bigint n_ok, (count(*) filter (c = 2))::bigint n_cache, (count(*) filter (c = 4))::bigint n_error from t")
 def live_state(spark, sf_dir):
-    rows = spark.createDataFrame([("a", "ok (3 rows)"), ("b", "ok"), ("c", "ERRO: x"), ("geo", "CACHE"), ("d", "sem código")], "key string, status string")
+    """The state of a build whose sources are the suppliers."""
+    k = F.col("s_suppkey")
+    said = F.element_at(F.array(*map(F.lit, ("ok (3 rows)", "ok", "CACHE (old)", "sem código", "ERRO: x"))), (k % 5 + 1).cast("int"))
+    rows = table(spark, sf_dir, "supplier").select(F.when(k % 50 == 7, "geo").otherwise(k.cast("string")).alias("key"), said.alias("status"))
     return landed.live_state(rows)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from lotmetrics.functions import finance, keys
 from lotmetrics.operators import calculators as C
 from lotmetrics.operators import indices as I
-from lotmetrics.operators import spatial
+from lotmetrics.operators import spatial, views
 
 
 def one(spark, column):
@@ -56,13 +56,6 @@ def test_empty_frames(spark):
         assert made.count() == 0
 
 
-def test_typologies(spark):
-    rows = spark.createDataFrame([(i, float(i // 10), float(i // 10 % 2), i % 10 / 1000) for i in range(40)], "place int, level double, before double, noise double")
-    out, silhouettes = spatial.typologies(rows, ["level", "before"], (3, 4))
-    levels = {r["typology"]: r["m"] for r in out.groupBy("typology").agg(F.avg("level").alias("m")).collect()}
-    assert set(silhouettes) == {3, 4} and max(silhouettes, key=silhouettes.get) == 4 and levels == {1: 3.0, 2: 2.0, 3: 1.0, 4: 0.0}
-
-
 def test_demo_panel(spark):
     from lotmetrics.operators import evaluation as E
     from lotmetrics.operators import features as S
@@ -95,3 +88,16 @@ def test_points_and_zones(spark):
     assert [(r["place"], round(r["share"], 2)) for r in share] == [("0101", 0.5)]
     kinds = spark.createDataFrame([("a", "school"), ("a", "station"), (None, "school")], "place string, kind string")
     assert tuple(spatial.counts_by_kind(kinds).first()) == ("a", 1, 0, 1)
+
+
+def test_letting_parameters(spark):
+    rows = spark.createDataFrame([("0101", 2000.0, 9.0, None), ("3101", 1500.0, 8.0, 0.004), ("0102", None, 5.0, 0.003)], "place string, price double, rent double, imi_rate double")
+    got = {r["place"]: r for r in views.letting_parameters(rows, F.lit(3.0), F.lit(0.02), 2026).collect()}
+    assert set(got) == {"0101", "3101"} and (got["0101"]["price"], got["0101"]["rent"], got["0101"]["down"], got["0101"]["imi_rate"]) == (180_000.0, 810.0, 0.2, 0.003)
+    assert got["3101"]["island"] and not got["0101"]["island"] and got["3101"]["imi_rate"] == 0.004
+    told = views.letting_parameters(rows, F.lit(3.0), F.lit(0.02), 2026, {"area": F.lit(50.0), "price": F.when(F.col("place") == "0102", 100_000.0), "down": F.lit(100)})
+    assert {r["place"]: (r["price"], r["down"]) for r in told.collect()} == {"0101": (100_000.0, 1.0), "3101": (75_000.0, 1.0), "0102": (100_000.0, 1.0)}
+    net = {r["place"]: r["net_yield"] for r in views.net_yields(rows, F.lit(3.0), F.lit(0.02), 2026).collect()}
+    assert set(net) == {"0101", "3101"} and all(0 < v < 0.06 for v in net.values())
+    assert views.rent_update(F.lit(800.0), F.lit(1.0224)) is not None
+    assert tuple(spark.range(1).select(views.rent_update(F.lit(800.0), F.lit(1.25)).alias("x")).first()["x"]) == (1000.0, 200.0)
