@@ -52,6 +52,11 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def text_and(docs: DataFrame, text: str, keep: tuple[str, ...]) -> DataFrame:
+    """The text as binary, under a name that no kept column has, and the kept columns."""
+    return docs.select(F.col(text).cast("binary").alias(free_name(docs.select(*keep), "_text")), *keep)
+
+
 def without(df: DataFrame, keys: DataFrame, key: str = "doc_id") -> DataFrame:
     """The rows of df whose key is not among the only column of keys; null keys stay."""
     own = free_name(df, "_gone")

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, table
+from .common import blocks, table, text_and
 from .op7_repeats import ODD, mixed, powers
 
 #: Pairs of a middle and a period that are compared at once.
@@ -212,7 +212,7 @@ def periodic_runs(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = (
     names = [x.split()[0] for x in RESULT.replace("struct<start:long,length:long,period:long>", "x").split(", ")]
     if times < 2 or least < times or {c.lower() for c in keep} & set(names):
         raise ValueError("times is at least 2, least at least times, and kept columns differ from those returned")
-    rows = docs.select(F.col(text).cast("binary").alias("_text"), *keep)
+    rows = text_and(docs, text, keep)
     shape = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())])
 
     def search(batches):

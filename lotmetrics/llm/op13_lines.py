@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, cleared, materialize, shared_dir, table
+from .common import blocks, cleared, materialize, shared_dir, table, text_and
 from .op7_repeats import ODD, mixed
 
 SPACE = b" \t\n\x0b\x0c\r"
@@ -189,7 +189,7 @@ class Prober:
 
     def counts(self, pairs: np.ndarray) -> np.ndarray:
         out = np.zeros(len(pairs), dtype=np.int64)
-        if not self.index.keys:
+        if not self.index.keys or not len(pairs):
             return out
         low, high = pairs[:, 0], pairs[:, 1]
         own = low.view("<i8") % self.index.shards if low.flags.c_contiguous else np.ascontiguousarray(low).view("<i8") % self.index.shards
@@ -229,7 +229,7 @@ def drop_lines(docs: DataFrame, index: Index, min_docs: int, text: str = "text",
     names = ["n_lines", "n_dropped", "kept"]
     if min_docs < index.least or {c.lower() for c in keep} & set(names):
         raise ValueError("min_docs is at least the index's `least`, and kept columns differ from those returned")
-    rows = docs.select(F.col(text).cast("binary").alias("_text"), *keep)
+    rows = text_and(docs, text, keep)
 
     def probe(batches):
         prober = Prober(index, cache)
