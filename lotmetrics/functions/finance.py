@@ -43,6 +43,15 @@ TRANSFER_TAX = {
     "own": [(106346, 0, 0), (145470, 0.02, 2126.92), (198347, 0.05, 6491.02), (330539, 0.07, 10457.96), (660982, 0.08, 13763.35), (1150853, 0.06, None), (None, 0.075, None)],
     "second": [(106346, 0.01, 0), (145470, 0.02, 1063.46), (198347, 0.05, 5427.56), (330539, 0.07, 9394.50), (633931, 0.08, 12699.89), (1150853, 0.06, None), (None, 0.075, None)],
 }
+#: Fixed value: the year of the tax tables.
+TAX_YEAR = 2026
+
+
+def tax_tables_stale(today: Column) -> Column:
+    """Whether a later year has begun than the one that the tax tables are of."""
+    return F.year(today) > TAX_YEAR
+
+
 #: Limits of the relief for the young, stamp duty on purchase and loan.
 YOUNG_LIMITS, STAMP_PURCHASE, STAMP_LOAN = (330539, 660982), 0.008, 0.006
 

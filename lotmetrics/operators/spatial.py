@@ -32,6 +32,21 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float) -> D
     return placed.join(gridded, ["_cx", "_cy"]).where(inside(F.col("x"), F.col("y"), F.col("rings"))).drop("_cx", "_cy", "rings")
 
 
+def layers_at(points: DataFrame, layers: DataFrame, cell: float, reach: float = 0.00005, most: int = 5) -> DataFrame:
+    """id, layer, found: for every point (id, x, y) and every layer that exists, up to `most` of the layer's polygons (layer, polygon, rings) there, in order.
+
+    A polygon is there if it holds the point or a corner of the square of `reach` around
+    it.  A layer without one has an empty list, so that nothing found is told from
+    nothing asked.
+    """
+    steps = F.array(*[F.struct(F.lit(a * reach).alias("a"), F.lit(b * reach).alias("b")) for a, b in ((0, 0), (-1, -1), (-1, 1), (1, -1), (1, 1))])
+    around = points.select("id", F.col("x").alias("_x"), F.col("y").alias("_y"), F.inline(steps)).select("id", (F.col("_x") + F.col("a")).alias("x"), (F.col("_y") + F.col("b")).alias("y"))
+    here = points_in_polygons(around, layers.select("layer", "polygon", "rings"), cell).groupBy("id", "layer").agg(F.slice(F.array_sort(F.collect_set("polygon")), 1, most).alias("found"))
+    asked = points.select("id").distinct().join(layers.select("layer").distinct(), F.lit(True))
+    kind = layers.schema["polygon"].dataType.simpleString()
+    return asked.join(here, ["id", "layer"], "left").select("id", "layer", F.coalesce("found", F.array().cast(f"array<{kind}>")).alias("found"))
+
+
 #: Lower limits of the distance bands in kilometres.
 BANDS = (0, 25, 50, 100, 200)
 

@@ -234,3 +234,30 @@ def net_yields(rows: DataFrame, rate: Column, rent_growth: Column, start_year: i
     """place, net_yield: of a home bought without a loan and let, in the first year."""
     held = letting_parameters(rows, rate, rent_growth, start_year, {"down": F.lit(100.0)})
     return C.invest(held).select("place", F.col("invest.net_yield").alias("net_yield"))
+
+
+# readings
+
+
+def place_readings(features: DataFrame, metrics: list[str], times: float = 2.0) -> DataFrame:
+    """place, metric, value, median, difference, reading: each metric against the median place: above, below, level or, from `times` the median on, a multiple.
+
+    A place that lacks a metric has no row for it; a metric without a positive median
+    has no multiples.  The medians come from one aggregation.
+    """
+    middle = features.agg(*[F.percentile(m, 0.5).alias(f"_{m}") for m in metrics])
+    each = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"), F.col(f"_{m}").alias("median")) for m in metrics])
+    rows = features.join(middle, F.lit(True)).select("place", F.inline(each)).where("value is not null and median is not null")
+    d = F.when(F.col("median") > 0, F.col("value") / F.col("median") - 1)
+    told = F.when(d >= times - 1, "multiple").when(F.col("value") > F.col("median"), "above").when(F.col("value") < F.col("median"), "below").otherwise("level")
+    return rows.select("place", "metric", "value", "median", d.alias("difference"), told.alias("reading"))
+
+
+def strongest(components: DataFrame) -> DataFrame:
+    """place, overall, known, component, score: the mean score, how many components have one and the highest (ties: the first by name), which
+    is told only where there are two or more. components: place, component, value, score."""
+    held = components.where("value is not null and score is not null")
+    best = F.min(F.struct((-F.col("score")).alias("s"), F.col("component").alias("c")))
+    rows = held.groupBy("place").agg(F.avg("score").alias("overall"), F.count("*").alias("known"), best.alias("_b"))
+    several = F.col("known") > 1
+    return rows.select("place", "overall", "known", F.when(several, F.col("_b.c")).alias("component"), F.when(several, -F.col("_b.s")).alias("score"))

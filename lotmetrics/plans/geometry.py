@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import geometry as G
+from ..operators import spatial
 from .base import query, r, rounded
 from .panels import table
 
@@ -74,3 +75,15 @@ def nearest_three(spark, sf_dir):
     """The three suppliers nearest to each customer, all over the globe."""
     near = G.nearest(points(spark, sf_dir, "customer", "c_custkey", "place", 7919, 104729), points(spark, sf_dir, "supplier", "s_suppkey", "centre", 6101, 15485), 3, 4)
     return near.withColumn("dist_km", r("dist_km", 5))
+
+
+@query("""with p as (select s_suppkey::bigint id, (s_suppkey::bigint * 7919 % 2000) / 1e2 + 13e-4 x, s_suppkey // 20 + (s_suppkey::bigint * 613 % 1000) / 1e3 + 7e-4 y from supplier),
+z as (select c_custkey::bigint k, c_custkey % 3 layer, (c_custkey::bigint * 7919 % 20000) / 1000e0 + 3e-4 x, c_custkey // 300 + (c_custkey::bigint * 104729 % 1000) / 1000e0 + 7e-4 y, (c_custkey % 7 + 1) / 20e0 w, (c_custkey % 5 + 1) / 15e0 h from customer),
+e as (select p.id, z.layer, z.k, row_number() over (partition by p.id, z.layer order by z.k) n from p join z on p.x + 5e-5 > z.x and p.x - 5e-5 < z.x + w and p.y + 5e-5 > z.y and p.y - 5e-5 < z.y + h)
+select a.id, a.layer, coalesce(string_agg(e.k::varchar, ',' order by e.k), '') found from (select id, layer from p cross join (select distinct layer from z)) a left join e on e.id = a.id and e.layer = a.layer and n <= 5 group by 1, 2""")
+def layers_at_points(spark, sf_dir):
+    """What each of three layers of rectangles has at a point a supplier."""
+    k = F.col("s_suppkey").cast("long")
+    at = table(spark, sf_dir, "supplier").select(k.alias("id"), (k * 7919 % 2000 / 100.0 + 0.0013).alias("x"), (F.floor(k / 20) + k * 613 % 1000 / 1000.0 + 0.0007).alias("y"))
+    layers = zones(spark, sf_dir).select((F.col("zone") % 3).alias("layer"), F.col("zone").alias("polygon"), "rings")
+    return spatial.layers_at(at, layers, 0.5).select("id", "layer", F.array_join(F.transform("found", lambda x: x.cast("string")), ",").alias("found"))

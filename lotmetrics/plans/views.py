@@ -8,9 +8,9 @@ from ..operators import parishes as PA
 from ..operators import views as V
 from ..sources import feeds, landed
 from .base import query, r, rounded
-from .panels import Q, Y, column, quarters, stored, table, years
+from .panels import M, Q, Y, column, quarters, stored, table, years
 from .parishes import PRICES, SP, SY, parts, prices
-from .scores import features_of, features_sql
+from .scores import NATIONAL, features_of, features_sql, national
 
 FEATS = f"with {Q}, {Y}, {features_sql('q')}, nm as (select n_nationkey::bigint place, n_name as name from nation)"
 
@@ -113,6 +113,20 @@ def rent_fit(spark, sf_dir):
     return rounded(V.rent_fit(rows, F.lit(1_200_000.0), F.lit(70.0), F.lit(0.35)))
 
 
+METRICS = {"price": "price", "price_growth_1y": "g1", "gross_yield": "gross_yield", "score_overall": "score"}
+
+
+@query(f"{FEATS}, md as (select {', '.join(f'quantile_cont({c}, 5e-1) d_{m}' for m, c in METRICS.items())} from f), x as (select place, unnest([{', '.join(f'struct_pack(metric := {chr(39)}{m}{chr(39)}, v := {c}::double, d := d_{m}::double)' for m, c in METRICS.items())}], recursive := true) from f cross join md) select place, metric, round(v, 6) as \"value\", round(d, 6) as \"median\", round(case when d > 0 then v / d - 1 end, 6) difference, case when d > 0 and v / d - 1 >= 1 then 'multiple' when v > d then 'above' when v < d then 'below' else 'level' end reading from x where v is not null and d is not null")
+def place_readings(spark, sf_dir):
+    return rounded(V.place_readings(stored(features_of(spark, sf_dir)), list(METRICS)))
+
+
+@query(f"with {Q}, {M}, {NATIONAL}, s as (select place, component, 100 / (1 + exp(-z)) s from u where v is not null and z is not null) select place, round(avg(s), 4) overall, count(*)::bigint known, case when count(*) > 1 then arg_min(component, (-s, component)) end component, round(case when count(*) > 1 then max(s) end, 4) score from s group by 1")
+def national_readings(spark, sf_dir):
+    parts_ = national(spark, sf_dir).select("place", F.explode("components").alias("component", "x")).select("place", "component", "x.value", "x.score")
+    return rounded(V.strongest(parts_), 4)
+
+
 # keys
 
 DAYS = "d as (select distinct year(o_orderdate) y, quarter(o_orderdate) q, month(o_orderdate) m from orders)"

@@ -32,3 +32,20 @@ def boom_and_bust(spark: SparkSession, countries: list[str], quarters: int = 104
     steady = F.col("i") - F.when(F.col("boom"), up + down).otherwise(0)
     path = 0.006 * steady + F.when(F.col("boom"), 0.028 * up - 0.022 * down).otherwise(0.0)
     return grid.select("place", (F.col("i") + first).cast("bigint").alias("idx"), (90 * F.exp(path)).alias("value"))
+
+
+def market_rate(spark: SparkSession, quarters: int = 104, first: int = 1999 * 12) -> DataFrame:
+    """idx (month), value: a rate that rises from 1 to 4, falls to 0.5 and rises to 3.5 in thirds, with noise from the key's hash."""
+    n = quarters * 3
+    third = n // 3
+    i = F.col("id")
+    line = lambda a, b, begin, size: a + (b - a) * (i - begin) / max(size - 1, 1)
+    shape = F.when(i < third, line(1.0, 4.0, 0, third)).when(i < 2 * third, line(4.0, 0.5, third, third)).otherwise(line(0.5, 3.5, 2 * third, n - 2 * third))
+    noise = (F.pmod(F.xxhash64("id"), F.lit(1000)) / 1000 - 0.5) * 0.2
+    return spark.range(n).select((i + first).alias("idx"), (shape + noise).alias("value"))
+
+
+def tax_rates(places_: DataFrame, year: int = 2025) -> DataFrame:
+    """dico, name, year, rate, by_parish, ded_1 to ded_3: property taxes between 0.3 % and 0.45 % by the place's code."""
+    code = F.col("place").cast("int")
+    return places_.select(F.col("place").alias("dico"), "name", F.lit(year).alias("year"), (0.003 + 0.0005 * (code % 4)).alias("rate"), (code % 5 == 0).alias("by_parish"), F.lit(30.0).alias("ded_1"), F.lit(70.0).alias("ded_2"), F.lit(140.0).alias("ded_3"))
