@@ -52,6 +52,13 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def distinct_names(keep: tuple[str, ...], made: tuple[str, ...]) -> None:
+    """ValueError where a kept column has the name of one that an operator returns."""
+    twice = {c.lower() for c in keep} & set(made)
+    if twice:
+        raise ValueError(f"kept columns differ from those returned: {sorted(twice)}")
+
+
 def text_and(docs: DataFrame, text: str, keep: tuple[str, ...]) -> DataFrame:
     """The text as binary, under a name that no kept column has, and the kept columns."""
     return docs.select(F.col(text).cast("binary").alias(free_name(docs.select(*keep), "_text")), *keep)

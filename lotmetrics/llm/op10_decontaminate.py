@@ -14,7 +14,8 @@ of the whole shingle sets, as strings, then decides.
 The sketches are joined by Spark's own size-checked broadcast, or by a shuffle
 of the document hashes where they are larger.  Null and empty texts match
 nothing; rows with equal ids are judged each and the best share is reported once
-for an id; null ids match nothing.  No items or no documents give no rows.
+for an id; null ids match nothing.  No items or no documents give no rows.  Very long
+documents are searched whole; other columns are not read, whatever their names.
 """
 
 from pyspark.sql import Column, DataFrame

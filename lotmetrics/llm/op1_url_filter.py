@@ -7,7 +7,9 @@ the lower bound of its posterior good rate is under `min_good`.
 
 Nulls: a null url has an empty host and path; null labels and labels of unknown
 pages count nothing.  Repeated pages are judged each, repeated labels count each.
-A host without labels has its domain's posterior.  No pages give no rows.
+A host without labels has its domain's posterior.  No pages give no rows.  Urls of any
+length are read whole; other columns of pages and labels are not read, whatever
+their names.
 """
 
 from pyspark.sql import Column, DataFrame

@@ -8,7 +8,8 @@ tokens.
 Length is the number of words; null and empty texts have length 0 and share the
 first bucket.  A row longer than the budget is a batch of its own.  Ties are
 ordered by id, then by the text's hash; equal rows are interchangeable.  An
-empty table gives no rows.
+empty table gives no rows.  Words of very long texts are all counted; other columns
+are not read, whatever their names.
 """
 
 import math

@@ -11,7 +11,9 @@ length of the whole text wins, ties going to the first name.
 
 The score is the winner's posterior share under equal priors.  A null text and
 one without a letter have `und` and score 0, as has every text when nothing was
-learned.  Repeated rows have equal results; an empty table gives no rows.
+learned.  Repeated rows have equal results; an empty table gives no rows.  Texts are
+scored whole, whatever their length; columns that are not kept are not read, and
+kept ones may have any name but those returned.
 """
 
 import numpy as np
@@ -19,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import remainder, table
+from .common import distinct_names, free_name, remainder, table
 
 ORDER = 4
 PAD = "\n" * ORDER  #: context before a text's first byte
@@ -155,9 +157,10 @@ def fit(docs: DataFrame, max_docs: int = 200, max_chars: int = 20_000) -> Trees
 
 
 def predict(docs: DataFrame, trees: Trees | None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns keep, lang_pred and score."""
+    """The columns keep, lang_pred and score; ValueError if a kept column has one of these names."""
+    distinct_names(keep, ("lang_pred", "score"))
     read = F.col("text").isNotNull() & F.col("text").rlike(r"\p{L}")
-    rows = docs.select(F.when(read, F.concat(F.lit(PAD), "text")).alias("_text"), *keep)
+    rows = docs.select(F.when(read, F.concat(F.lit(PAD), "text")).alias(free_name(docs.select(*keep), "_text")), *keep)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
 
     def scored(batches):

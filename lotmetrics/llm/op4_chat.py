@@ -8,7 +8,7 @@ escaped and compared again, so what cannot conflict stays as written.
 
 Turns are ordered by turn, role, text, nulls first.  Null roles and texts are
 empty; rows of a null conv_id form one conversation; repeated rows are turns
-each.  An empty table gives no rows.  A conversation is read as a stream: a task
+each.  An empty table gives no rows.  Other columns are not read, whatever their names.  A conversation is read as a stream: a task
 holds one turn of it at a time, whatever its length.
 """
 

@@ -11,6 +11,8 @@ digits after the cue `IBAN`, or a social security number after the cue `SSN`).
 
 Null texts are empty; empty texts have no spans.  Each row is searched by
 itself, so repeated rows and ids have equal results; an empty table gives none.
+Texts are searched whole, in a time that grows with their length; columns that are
+not kept are not read, and kept ones may have any name but `pii`.
 """
 
 import hashlib
@@ -20,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import distinct_names, free_name, table
 
 KINDS = ("email", "ip", "card", "phone", "url", "account")
 BASE = KINDS[:4]
@@ -167,8 +169,9 @@ def _find(batches):
 
 
 def find_pii(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns keep, and pii: all spans in code points, end exclusive."""
-    rows = docs.select(F.col(text).alias("_text"), *keep)
+    """The columns keep, and pii: all spans in code points, end exclusive; ValueError if a kept column is called pii."""
+    distinct_names(keep, ("pii",))
+    rows = docs.select(F.col(text).alias(free_name(docs.select(*keep), "_text")), *keep)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
     return rows.mapInArrow(_find, f"{fields}, pii {SPANS}")
 

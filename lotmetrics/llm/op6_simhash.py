@@ -28,7 +28,8 @@ compared; no pair that has it is lost, however far its fingerprints are apart.
 Null texts are empty; texts without words have fingerprint 0 and link like any
 other.  Rows of equal ids have their own fingerprints and ids count once in a
 component; null ids never are a component's name (it is null if it has no other).
-An empty table gives no rows.
+An empty table gives no rows.  Very long texts are hashed whole.  The query reads ids
+and texts only, whatever other columns are called; dropping near copies keeps them all.
 """
 
 import itertools

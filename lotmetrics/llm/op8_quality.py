@@ -10,7 +10,8 @@ the dictionaries did not see, and the score is the chance of label 1.
 Null and empty texts have difference 0 and the score that the calibration gives
 it.  Repeated labels count each; null labels and labels of unknown documents
 count nothing.  Without labels of both kinds every score is the share of label 1
-(0.5 without any).  Repeated rows have equal scores; no rows give none.
+(0.5 without any).  Repeated rows have equal scores; no rows give none.  Very long texts
+are compressed whole, block by block.
 """
 
 import numpy as np

@@ -13,7 +13,8 @@ shortest payload has two frames.
 
 Equal texts have equal values, so repeated rows do; an empty table gives none.
 Features are computed over blocks of frames: memory does not grow with the text
-beyond its own bytes.
+beyond its own bytes.  Columns that are not kept are not read, and kept ones may
+have any name but those returned.
 """
 
 import hashlib
@@ -27,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import distinct_names, free_name, table
 
 UNIT = 64
 #: Samples of a window.
@@ -116,8 +117,9 @@ def _small(function, rows: int = 256):
 
 
 def media_columns(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns keep, n_bytes, media (a WAV file) and fingerprint (time-coded pairs)."""
-    rows = docs.select(F.col(text).alias("_text"), *keep)
+    """The columns keep, n_bytes, media (a WAV file) and fingerprint (time-coded pairs); ValueError if a kept column has one of these names."""
+    distinct_names(keep, ("n_bytes", "media", "fingerprint"))
+    rows = docs.select(F.col(text).alias(free_name(docs.select(*keep), "_text")), *keep)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
     return rows.mapInArrow(_small(_media), f"{fields}, n_bytes long, media binary, fingerprint array<long>")
 
