@@ -72,11 +72,12 @@ def gridded(polygons: DataFrame, key: str, cell: float) -> DataFrame:
     return polygons.select(key, "rings").mapInPandas(split, f"`{key}` {kind}, cx long, cy long, rings {RINGS}")
 
 
-def covered(base: list, others: list) -> tuple[float, float]:
+def covered(base: list, others: list, slabs: int = 2048) -> tuple[float, float]:
     """Area of a polygon, and of the part that at least one of the others covers. Exact up to rounding.
 
     The plane is cut into slabs at all corners and crossings; inside a slab edges do not
-    cross, so what lies between two neighbours is a trapezoid.
+    cross, so what lies between two neighbours is a trapezoid.  `slabs` are worked out at
+    once.
     """
     owner, edges = [], []
     for k, polygon in enumerate([base, *others]):
@@ -98,23 +99,31 @@ def covered(base: list, others: list) -> tuple[float, float]:
             x = ((e[rest, 1] - slope[rest] * e[rest, 0]) - (e[i, 1] - slope[i] * e[i, 0])) / (slope[i] - slope[rest])
             cuts.append(x[(x > np.maximum(e[i, 0], e[rest, 0])) & (x < np.minimum(e[i, 2], e[rest, 2]))])
     at = np.unique(np.concatenate(cuts))
+    first, last = np.searchsorted(at, e[:, 0]), np.searchsorted(at, e[:, 2])
     whole = shared = 0.0
-    for a, b in zip(at[:-1], at[1:], strict=True):
-        mid = (a + b) / 2
-        here = np.flatnonzero((e[:, 0] <= a) & (e[:, 2] >= b))
-        y = e[here, 1] + slope[here] * (mid - e[here, 0])
-        order = np.argsort(y, kind="stable")
-        inside, over = np.zeros(len(others) + 1, dtype=bool), 0
-        for j, k in zip(order[:-1], order[1:], strict=True):
-            o = owner[here[j]]
-            inside[o] = not inside[o]
-            if o:
-                over += 1 if inside[o] else -1
-            if inside[0]:
-                size = (y[k] - y[j]) * (b - a)
-                whole += size
-                shared += size if over else 0.0
-    return float(whole), float(shared)
+    for begin in range(0, len(at) - 1, slabs):
+        low, high = np.clip(first, begin, begin + slabs), np.clip(last, begin, begin + slabs)
+        n = high - low
+        edge = np.repeat(np.arange(len(e)), n)
+        slab = np.arange(len(edge)) - np.repeat(np.cumsum(n) - n - low, n)
+        y = e[edge, 1] + slope[edge] * ((at[slab] + at[slab + 1]) / 2 - e[edge, 0])
+        # going up, a polygon's edges lead into it and out of it by turns
+        by_owner = np.lexsort((y, owner[edge], slab))
+        turn = np.empty(len(edge), dtype=np.int64)
+        turn[by_owner] = 1 - 2 * (np.arange(len(edge)) % 2)
+        up = np.lexsort((y, slab))
+        own = owner[edge][up] == 0
+        inside, over = np.cumsum(np.where(own, turn[up], 0))[:-1] > 0, np.cumsum(np.where(own, 0, turn[up]))[:-1] > 0
+        sizes = np.where(inside, np.diff(y[up]) * (at[slab + 1] - at[slab])[up][:-1], 0.0)
+        whole += float(sizes.sum())
+        shared += float(sizes[over].sum())
+    return whole, shared
+
+
+def bounds(rings: list) -> np.ndarray:
+    """The least and greatest x and y of a polygon."""
+    corners = np.array([p[:2] for r in rings for p in r], dtype=float).reshape(-1, 2)
+    return np.concatenate([corners.min(axis=0), corners.max(axis=0)]) if len(corners) else np.array([np.inf, np.inf, -np.inf, -np.inf])
 
 
 def covered_shares(places: DataFrame, zones: DataFrame, cell: float) -> DataFrame:
@@ -131,7 +140,12 @@ def covered_shares(places: DataFrame, zones: DataFrame, cell: float) -> DataFram
 
     def shared(rows: pd.DataFrame) -> pd.DataFrame:
         over = list(rows.loc[~rows["own"], "rings"])
-        out = [(r.place, *covered(r.rings, over)) for r in rows[rows["own"]].itertuples()]
+        ends = np.array([bounds(z) for z in over]).reshape(-1, 4)
+        out = []
+        for r in rows[rows["own"]].itertuples():
+            own = bounds(r.rings)
+            near = np.flatnonzero((ends[:, :2] < own[2:]).all(axis=1) & (ends[:, 2:] > own[:2]).all(axis=1))
+            out.append((r.place, *covered(r.rings, [over[k] for k in near])))
         return pd.DataFrame(out, columns=["place", "area", "covered"])
 
     out = both.groupBy("cx", "cy").applyInPandas(shared, f"place {kind}, area double, covered double")
