@@ -44,15 +44,16 @@ def render(role: str, text: str, escaped: bool) -> str:
 
 def upto(s: str, at: int, stop: str) -> tuple[str | None, str, int]:
     """What stands from at to the first unescaped stop, without and with escapes, and the place after stop; null if there is none."""
-    out, begin = [], at
-    while True:
-        end, slash = s.find(stop, at), s.find("\\", at)
-        if end < 0:
-            return None, "", at
+    out, begin, end = [], at, s.find(stop, at)
+    while end >= 0:
+        slash = s.find("\\", at)
         if slash < 0 or slash > end:
             return "".join(out) + s[at:end], s[begin:end], end + len(stop)
         out += (s[at:slash], s[slash + 1 : slash + 2])
         at = slash + 2
+        if end < at:  # the stop began at the escaped character; else it is still the next one
+            end = s.find(stop, at)
+    return None, "", at
 
 
 def whole_turns(s: str) -> tuple[list[tuple[str, str]], str]:
