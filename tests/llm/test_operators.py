@@ -50,6 +50,29 @@ def test_urls_of_odd_rows(spark):
     assert op1_url_filter.filter_urls(pages.limit(0), empty).count() == 0
 
 
+def test_very_long_rows_and_clashing_columns(spark):
+    """A url, a conversation's turn and a text of a million characters, in tables whose other columns have the operators' own names."""
+    pages = spark.createDataFrame([(1, "http://a.example.com/en/" + "x" * 1_000_000, "h", "p", 0.5)], "page_id long, url string, host string, path string, verdict double")
+    labels = spark.createDataFrame([(1, 1, "x")], "page_id long, good int, host string")
+    got = op1_url_filter.filter_urls(pages, labels).select("page_id", "host", F.length("path").alias("n"), "rule").collect()
+    assert [tuple(r) for r in got] == [(1, "a.example.com", 1_000_004, "example.com/en/")]
+    long = "</turn>" + "### a: b\n" * 100_000
+    turns = spark.createDataFrame([(1, 0, "user", long, "x"), (1, 1, "assistant", long, "y")], "conv_id long, turn int, role string, text string, segment string")
+    back = op4_chat.read_back(op4_chat.format_turns(turns)).first()
+    assert back["n_turns"] == 2 and back["loss_chars"] == len(long) and back["loss_sha256"] == hashlib.sha256(long.encode()).hexdigest()
+    words = " ".join(f"w{k}" for k in range(150_000))
+    docs = spark.createDataFrame([(1, words, 1, 2, 3), (2, words + " end", 4, 5, 6)], "doc_id long, text string, fp int, node int, bucket int")
+    prints = {r["doc_id"]: r["fp"] for r in op6_simhash.fingerprints(docs).collect()}
+    assert bin((prints[1] ^ prints[2]) & ((1 << 64) - 1)).count("1") <= 4
+    assert {r["component_id"] for r in op6_simhash.near_components(op6_simhash.fingerprints(docs)).collect()} == {1}
+    assert {r["n_tokens"] for r in op2_packing.pack(docs).collect()} == {150_000, 150_001}
+    for make, names in ((lambda d, keep: op3_language.predict(d, None, keep=keep), ("lang_pred", "score")), (lambda d, keep: op5_pii.find_pii(d, keep=keep), ("pii",)), (lambda d, keep: op9_media.media_columns(d, keep=keep), ("media", "n_bytes", "fingerprint"))):
+        for name in names:
+            with pytest.raises(ValueError, match=name):
+                make(docs.withColumnRenamed("fp", name), ("doc_id", name))
+        assert make(docs.limit(1).selectExpr("doc_id", "'a b' text", "7 as _text"), ("doc_id", "_text")).first()["_text"] == 7
+
+
 def test_boundaries_are_optimal():
     rng = random.Random(1)
     for _ in range(40):
