@@ -71,6 +71,20 @@ def expanding_z(value: str = "value", least: int = 8) -> Column:
     return F.when(F.count(value).over(w) >= least, F.try_divide(F.col(value) - F.avg(value).over(w), F.stddev_samp(value).over(w)))
 
 
+def winsorised(df: DataFrame, value: str, group: str, low: float = 0.025, high: float = 0.975, approximate: int | None = None) -> DataFrame:
+    """df with the value held to its group's percentiles; nulls stay. approximate: the accuracy of approximate percentiles, for groups whose different values do not fit a task."""
+    ends = F.percentile(value, [low, high]) if approximate is None else F.percentile_approx(value, [low, high], approximate)
+    bounds = df.groupBy(group).agg(ends.alias("_w"))
+    held = F.when(F.col(value).isNotNull(), F.least(F.greatest(F.col(value), F.col("_w")[0]), F.col("_w")[1]))
+    return df.join(bounds, df[group].eqNullSafe(bounds[group]), "left").drop(bounds[group]).withColumn(value, held).drop("_w")
+
+
+def set_changes(before: DataFrame, now: DataFrame) -> DataFrame:
+    """The different rows of two tables of equal columns, with `change`: kept (in both), new or gone."""
+    told = lambda df, change: df.withColumn("change", F.lit(change))
+    return told(before.intersect(now), "kept").unionByName(told(now.subtract(before), "new")).unionByName(told(before.subtract(now), "gone"))
+
+
 def drawdown_event(value: str = "value", ahead: int = 12, drop: float = -0.10) -> Column:
     """1 if the lowest of the next `ahead` keys is so far below; null unless all are known."""
     w = ordered().rangeBetween(1, ahead)

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ..operators import panel as P
 from ..operators import rollup as L
 from .base import query, r
 from .panels import table
@@ -54,3 +55,17 @@ def names_by_letters(spark, sf_dir):
     rows = table(spark, sf_dir, "supplier").select(k.alias("id"), F.translate("s_name", "Supier", "ŞŭṗîĕŘ").alias("name"))
     known = table(spark, sf_dir, "supplier").where(k % 4 != 0).select(k.cast("bigint").alias("code"), F.lower("s_name").alias("plain"))
     return L.match_names(rows, "name", known, "plain", "code").select("id", "code")
+
+
+@query("with b as (select o_orderpriority g, quantile_cont(o_totalprice, 25e-3) l, quantile_cont(o_totalprice, 975e-3) h from orders group by 1) select o_orderpriority priority, count(*)::bigint n, round(min(least(greatest(o_totalprice, l), h)), 4) low, round(max(least(greatest(o_totalprice, l), h)), 4) high, round(avg(least(greatest(o_totalprice, l), h)), 4) mean from orders join b on g = o_orderpriority group by 1")
+def winsorised_prices(spark, sf_dir):
+    """Order prices held to the percentiles of their priority."""
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("priority"), F.col("o_totalprice").cast("double").alias("value"))
+    return P.winsorised(rows, "value", "priority").groupBy("priority").agg(F.count("*").alias("n"), r(F.min("value"), 4).alias("low"), r(F.max("value"), 4).alias("high"), r(F.avg("value"), 4).alias("mean"))
+
+
+@query("with a as (select distinct o_custkey k from orders where year(o_orderdate) = 1996), b as (select distinct o_custkey k from orders where year(o_orderdate) = 1997) select 'kept' as \"change\", count(*)::bigint n from (select * from a intersect select * from b) union all select 'new', count(*) from (select * from b except select * from a) union all select 'gone', count(*) from (select * from a except select * from b)")
+def customer_changes(spark, sf_dir):
+    """How many customers ordered in both of two years, only in the later and only in the earlier one."""
+    of = lambda y: table(spark, sf_dir, "orders").where(F.year("o_orderdate") == y).select("o_custkey")
+    return P.set_changes(of(1996), of(1997)).groupBy("change").agg(F.count("*").alias("n"))

@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from lotmetrics.operators import clusters, indices, models, rates, rollup, signals
+from lotmetrics.operators import clusters, indices, models, panel, rates, rollup, signals
 
 
 def slope(rows):
@@ -215,3 +215,13 @@ def test_index_that_loses_everything(spark):
     later = spark.createDataFrame([(1, 15 + k, 0.0) for k in range(9)], "place int, idx int, value double")
     got = {r["idx"]: r["value"] for r in indices.extended_by_rates(index, rate.unionByName(later)).collect()}
     assert got[12] == 0.0 and math.isclose(got[13], -50.0) and math.isclose(got[14], 110.0) and got[24] == 0.0 and math.isclose(got[25], -55.0)
+
+
+def test_winsorised_and_changes(spark):
+    df = spark.createDataFrame([("a", float(k)) for k in range(101)] + [("a", None), (None, 5.0), (None, 9.0)], "g string, v double")
+    got = panel.winsorised(df, "v", "g", 0.1, 0.9).collect()
+    assert len(got) == 104 and sorted({r["v"] for r in got if r["g"] == "a" and r["v"] is not None}) == [float(k) for k in range(10, 91)]
+    assert sorted(r["v"] for r in got if r["g"] is None) == [5.4, 8.6] and sum(r["v"] is None for r in got) == 1
+    rows = lambda *v: spark.createDataFrame([(x, y) for x, y in v], "k int, w string")
+    changes = panel.set_changes(rows((1, "x"), (1, "x"), (2, None), (3, "z")), rows((2, None), (1, "y"), (3, "z"), (3, "z")))
+    assert sorted(map(tuple, changes.collect()), key=str) == sorted([(2, None, "kept"), (3, "z", "kept"), (1, "y", "new"), (1, "x", "gone")], key=str)
