@@ -5,6 +5,8 @@ rings, so holes and several parts need nothing more, and rings may be open or cl
 Work is dealt by grid cells, never by all pairs of polygons.
 """
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -12,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.finance import haversine
+from .storage import stored
 
 RINGS = "array<array<array<double>>>"
 
@@ -252,55 +255,102 @@ def spatial_table(polygons: DataFrame, digits: int = 4, cell: float = 0.05) -> D
 # nearest points
 
 
-def on_sphere(df: DataFrame) -> DataFrame:
-    """Adds _x, _y, _z on the unit sphere: nearest by angle is nearest by chord, with no date line and no poles."""
+def on_sphere(lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
+    """Points on the unit sphere: nearest by angle is nearest by chord, with no date line and no poles."""
+    lat, lon = np.radians(lat), np.radians(lon)
+    return np.stack([np.cos(lat) * np.cos(lon), np.cos(lat) * np.sin(lon), np.sin(lat)], axis=1)
+
+
+CUBE = ("_i", "_j", "_l")
+
+
+def in_cubes(points: DataFrame, key: str, size: float) -> DataFrame:
+    """key, lat, lon and the cube of the unit sphere that holds the point. Null coordinates are nowhere."""
+    rows = points.where("lat is not null and lon is not null").select(key, F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon"))
     lat, lon = F.radians("lat"), F.radians("lon")
-    return df.withColumns({"_x": F.cos(lat) * F.cos(lon), "_y": F.cos(lat) * F.sin(lon), "_z": F.sin(lat)})
+    at = (F.cos(lat) * F.cos(lon), F.cos(lat) * F.sin(lon), F.sin(lat))
+    return rows.select("*", *[F.floor((v + 1.0) / size).alias(n) for v, n in zip(at, CUBE, strict=True)])
+
 
+def with_reach(met: DataFrame, k: int) -> DataFrame:
+    """Pairs of cubes of places and of centres (_i, _ic and so on, _n centres) that can hold one of the k nearest of any point of the former.
 
-def nearest(places: DataFrame, centres: DataFrame, k: int = 1, levels: int = 7, fan: int = 4) -> DataFrame:
+    The nearest corners are no farther than the farthest corners of the cubes that
+    hold k centres for sure; distances are whole numbers of cubes, squared.  _total is
+    the number of centres left for a cube of places.
+    """
+    apart = [F.abs(F.col(n) - F.col(f"{n}c")) for n in CUBE]
+    near = sum((F.pow(F.greatest(d - 1, F.lit(0)), 2) for d in apart), F.lit(0.0))
+    far = sum((F.pow(d + 1, 2) for d in apart), F.lit(0.0))
+    running = W.partitionBy(*CUBE).orderBy("_far").rangeBetween(W.unboundedPreceding, 0)
+    held = met.withColumns({"_near": near, "_far": far}).withColumn("_k", F.sum("_n").over(running))
+    held = held.withColumn("_bound", F.min(F.when(F.col("_k") >= k, F.col("_far"))).over(W.partitionBy(*CUBE)))
+    alive = held.where(F.col("_bound").isNull() | (F.col("_near") <= F.col("_bound"))).drop("_near", "_far", "_k", "_bound")
+    return alive.withColumn("_total", F.sum("_n").over(W.partitionBy(*CUBE)))
+
+
+def shortlists(places: pd.DataFrame, centres: pd.DataFrame, k: int) -> pd.DataFrame:
+    """place, lat, lon, centre, _clat, _clon: for every place the centres no farther than the k-th nearest, and those as far up to rounding."""
+    p, c = on_sphere(places["lat"].to_numpy(), places["lon"].to_numpy()), on_sphere(centres["lat"].to_numpy(), centres["lon"].to_numpy())
+    rows, found = [], []
+    step = max(1, 2**18 // max(len(c), 1))
+    for begin in range(0, len(p) if len(c) else 0, step):
+        gap = sum((p[begin : begin + step, None, axis] - c[None, :, axis]) ** 2 for axis in range(3))
+        last = np.partition(gap, k - 1, axis=1)[:, k - 1 : k] if len(c) > k else np.full((len(gap), 1), 4.0)
+        i, j = np.nonzero(gap <= (np.sqrt(last) + 1e-12) ** 2)
+        rows.append(i + begin)
+        found.append(j)
+    i, j = (np.concatenate(x) if x else np.zeros(0, dtype=int) for x in (rows, found))
+    ours, theirs = places[["place", "lat", "lon"]].take(i).reset_index(drop=True), centres[["centre", "lat", "lon"]].take(j).reset_index(drop=True)
+    return pd.concat([ours, theirs.rename(columns={"lat": "_clat", "lon": "_clon"})], axis=1)
+
+
+def nearest(places: DataFrame, centres: DataFrame, k: int = 1, levels: int = 7, fan: int = 4, most: int = 1000, rows_a_group: int = 20000) -> DataFrame:
     """place, centre, dist_km, nth: the k nearest of any number of centres (centre, lat, lon) to each place (place, lat, lon).
 
-    Centres lie in cubes of the unit sphere, each cut into fan ** 3 at the next of
-    `levels`.  A place goes down the levels with the cubes that can hold one of its k
-    nearest: the nearest corner is no farther than the farthest corner of the cubes
-    that hold k centres for sure.  So nothing is lost, and the search ends after the
-    last level, whatever the data.  Few cubes remain a place, however many centres
-    there are; centres of the last cubes are compared exactly.  Ties: the first by
-    name.  Centres at one point meet as their k first names.  Null coordinates are
-    nowhere; places are unique.
+    Places and centres lie in cubes of the unit sphere, each cut into fan ** 3 at the
+    next of `levels`.  A cube of places goes down the levels with the cubes that can
+    hold one of the k nearest of its places, until these hold at most `most` centres
+    or the levels end; so nothing is lost, whatever the data, and pairs are of cubes:
+    their number does not grow with the places.  Then the places of a cube meet its
+    centres and are compared exactly, at most about `rows_a_group` of either side in a
+    group.  Ties: the first by name.  Centres at one point meet as their k first
+    names.  Null coordinates are nowhere; places are unique.
     """
-    keys = ["_i", "_j", "_l"]
-    at = lambda c, size: F.floor((F.col(c) + 1.0) / size)
-    sites = on_sphere(centres.where("lat is not null and lon is not null").select("centre", F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon")))
+    deepest = 0.5 / fan ** (levels - 1)
     first = F.row_number().over(W.partitionBy("lat", "lon").orderBy("centre"))
-    sites = sites.withColumn("_nth", first).where(F.col("_nth") <= k).drop("_nth")
-    start = on_sphere(places.where("lat is not null and lon is not null").select("place", F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon")))
-    size = 0.5
-    alive = None
+    sites = stored(in_cubes(centres, "centre", deepest).withColumn("_nth", first).where(F.col("_nth") <= k).drop("_nth"))
+    start = stored(in_cubes(places, "place", deepest))
+    kinds = {c: df.schema[c].dataType.simpleString() for df, c in ((start, "place"), (sites, "centre"))}
+    group = ["_level", *CUBE, "_a", "_b"]
+    ours, theirs, open_ = [], [], None
     for level in range(levels):
-        cubes = sites.groupBy(*[at(c, size).alias(n) for c, n in zip(("_x", "_y", "_z"), keys, strict=True)]).agg(F.count("*").alias("_n"))
-        if alive is None:
-            # at most 5 ** 3 cubes, as many as the sphere has: their number does not grow with the centres
-            reached = start.join(cubes.groupBy().agg(F.collect_list(F.struct(*keys, "_n")).alias("_c")), F.lit(True)).withColumn("_c", F.explode("_c")).select(*start.columns, *[F.col(f"_c.{n}").alias(n) for n in [*keys, "_n"]])
+        at = lambda n: F.floor(F.col(n) / fan ** (levels - 1 - level))  # noqa: B023, E731
+        mine = start.groupBy(*[at(n).alias(n) for n in CUBE]).agg(F.count("*").alias("_p"))
+        theirs_at = [at(n).alias(f"{n}c") for n in CUBE]
+        cubes = sites.groupBy(*theirs_at).agg(F.count("*").alias("_n"))
+        if open_ is None:
+            met = mine.join(cubes, F.lit(True))  # at most 5 ** 3 cubes each, as many as the sphere has
         else:
-            up = cubes.select(*[F.floor(F.col(n) / fan).alias(f"{n}u") for n in keys], *keys, "_n")
-            reached = alive.join(up, [F.col(f"{n}p") == F.col(f"{n}u") for n in keys]).select(*start.columns, *keys, "_n")
-        near, far = F.lit(0.0), F.lit(0.0)
-        for c, n in zip(("_x", "_y", "_z"), keys, strict=True):
-            low = F.col(n) * size - 1.0
-            a, b = low - F.col(c), F.col(c) - (low + size)
-            near = near + F.pow(F.greatest(a, b, F.lit(0.0)), 2)
-            far = far + F.pow(F.greatest(F.abs(a), F.abs(b)), 2)
-        running = W.partitionBy("place").orderBy("_far").rangeBetween(W.unboundedPreceding, 0)
-        held = reached.withColumns({"_near": near, "_far": far}).withColumn("_k", F.sum("_n").over(running))
-        enough = F.min(F.when(F.col("_k") >= k, F.col("_far"))).over(W.partitionBy("place"))
-        alive = held.withColumn("_bound", enough).where(F.col("_bound").isNull() | (F.col("_near") <= F.col("_bound") + 1e-12))
-        alive = alive.select(*start.columns, *[F.col(n).alias(f"{n}p") for n in keys])
-        size /= fan
-    size *= fan
-    last = sites.select("centre", F.col("lat").alias("_clat"), F.col("lon").alias("_clon"), *[at(c, size).alias(f"{n}p") for c, n in zip(("_x", "_y", "_z"), keys, strict=True)])
-    km = haversine(F.col("lat"), F.col("lon"), F.col("_clat"), F.col("_clon"))
-    met = alive.join(last, [f"{n}p" for n in keys]).select("place", "centre", km.alias("dist_km"))
+            met = open_.join(mine, [F.floor(F.col(n) / fan) == F.col(f"{n}up") for n in CUBE]).join(cubes, [F.floor(F.col(f"{n}c") / fan) == F.col(f"{n}cup") for n in CUBE])
+        pairs = stored(with_reach(met.select(*CUBE, "_p", *[f"{n}c" for n in CUBE], "_n"), k))
+        going = F.lit(level < levels - 1) & (F.col("_total") > most)
+        parts = lambda n: F.ceil(F.col(n) / rows_a_group).cast("int")
+        done = pairs.where(~going).withColumns({"_level": F.lit(level), "_as": parts("_p"), "_bs": parts("_total")})
+        # a cube with many places or centres is dealt to several groups
+        deal = lambda n, key: F.pmod(F.xxhash64(key), F.col(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        asked = done.select("_level", *CUBE, "_as", "_bs").distinct()
+        here = start.select("place", "lat", "lon", *[at(n).alias(n) for n in CUBE]).join(asked, list(CUBE))
+        ours.append(here.withColumn("_a", deal("_as", "place")).withColumn("_b", every("_bs")))
+        there = sites.select("centre", "lat", "lon", *theirs_at).join(done, [f"{n}c" for n in CUBE])
+        theirs.append(there.withColumn("_b", deal("_bs", "centre")).withColumn("_a", every("_as")))
+        open_ = pairs.where(going).select(*[F.col(n).alias(f"{n}up") for n in CUBE], *[F.col(f"{n}c").alias(f"{n}cup") for n in CUBE])
+        if open_.isEmpty():
+            break
+    left = reduce(DataFrame.unionByName, ours).select(*group, "place", "lat", "lon")
+    right = reduce(DataFrame.unionByName, theirs).select(*[F.col(c).alias(f"{c}r") for c in group], "centre", "lat", "lon")
+    met = left.groupBy(*group).cogroup(right.groupBy(*[f"{c}r" for c in group])).applyInPandas(lambda a, b: shortlists(a, b, k), f"place {kinds['place']}, lat double, lon double, centre {kinds['centre']}, _clat double, _clon double")
+    met = met.select("place", "centre", haversine(F.col("lat"), F.col("lon"), F.col("_clat"), F.col("_clon")).alias("dist_km"))
     nth = F.row_number().over(W.partitionBy("place").orderBy("dist_km", "centre"))
     return met.withColumn("nth", nth).where(F.col("nth") <= k)

@@ -124,3 +124,32 @@ def test_nearest_of_none(spark):
     places = spark.createDataFrame([(1, 1.0, 1.0)], "place long, lat double, lon double")
     assert G.nearest(places, none).count() == 0
     assert spatial.nearest_centre(places, spark.createDataFrame([("x", 1.0, 1.5)], "centre string, lat double, lon double")).first()["band"] == "50–100 km"
+
+
+def test_nearest_pairs_do_not_grow_with_places(spark, monkeypatch):
+    """Pairs are of cubes: ten times the places near the same spots make no more of them; cubes dealt to many groups give brute force's rows."""
+    rng = random.Random(11)
+    spot = lambda: (rng.uniform(-90, 90), rng.uniform(-180, 180))
+    spots = [spot() for _ in range(60)]
+    centres = [(f"c{i:03}", *spot()) for i in range(300)]
+    frame = spark.createDataFrame(centres, "centre string, lat double, lon double")
+    pairs, stored = [], G.stored
+
+    def counted(df):
+        out = stored(df)
+        pairs.extend([out.count()] if "_total" in out.columns else [])
+        return out
+
+    monkeypatch.setattr(G, "stored", counted)
+    sizes = []
+    for copies in (1, 10):
+        places = [(n * 100 + i, *at) for n in range(copies) for i, at in enumerate(spots)]
+        pairs.clear()
+        near = G.nearest(spark.createDataFrame(places, "place long, lat double, lon double"), frame, 2, 4, most=10, rows_a_group=7)
+        sizes.append(list(pairs))
+        got = {(r["place"], r["nth"]): (r["centre"], r["dist_km"]) for r in near.collect()}
+        assert len(got) == 2 * len(places)
+        for i, *at in places:
+            for n, (d, c) in enumerate(sorted((km(at, c[1:]), c[0]) for c in centres)[:2], 1):
+                assert got[i, n][0] == c and math.isclose(got[i, n][1], d, abs_tol=1e-6)
+    assert sizes[0] == sizes[1] and len(sizes[0]) > 1
