@@ -32,7 +32,12 @@ def points(batch: pd.DataFrame) -> np.ndarray:
 
 def gaps(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """Squared distances, rows by centres."""
-    return ((x[:, None, :] - centres[None]) ** 2).sum(-1)
+    out = np.zeros((len(x), len(centres)))
+    for a in range(x.shape[1]):
+        d = x[:, a, None] - centres[None, :, a]
+        d *= d
+        out += d
+    return out
 
 
 def first_centres(rows: DataFrame, place: str, starts: dict[int, int], seed: int) -> dict[int, np.ndarray]:
@@ -79,10 +84,9 @@ def settled(rows: DataFrame, centres: dict[int, np.ndarray], steps: int) -> tupl
                 for s, c in at.items():
                     d = gaps(x, c)
                     own = d.argmin(axis=1)
-                    near = d[np.arange(len(x)), own]
-                    for k in np.unique(own):
-                        mine = own == k
-                        out.append((s, int(k), int(mine.sum()), x[mine].sum(axis=0).tolist(), float(near[mine].sum())))
+                    n, off = np.bincount(own, minlength=len(c)), np.bincount(own, d[np.arange(len(x)), own], len(c))
+                    total = np.stack([np.bincount(own, x[:, i], len(c)) for i in range(x.shape[1])], axis=1)
+                    out += [(s, int(k), int(n[k]), total[k].tolist(), float(off[k])) for k in np.flatnonzero(n)]
                 yield pd.DataFrame(out, columns=["start", "k", "n", "total", "off"])
 
         made = rows.mapInPandas(sums, "start long, k long, n long, total array<double>, off double")
@@ -109,36 +113,73 @@ def labelled(rows: DataFrame, best: dict[int, np.ndarray]) -> DataFrame:
     return rows.withColumn("groups", F.pandas_udf(label, "array<long>")(F.col("z")))
 
 
+def distance_sums(x: np.ndarray, y: np.ndarray, of_x: np.ndarray, of_y: np.ndarray, groups: int, tile: int = 256) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's sum of distances to every group of the other side, for both sides; of_x and of_y number the groups, in ascending order."""
+    to_y, to_x = np.zeros((len(x), groups)), np.zeros((len(y), groups))
+    first = lambda of: np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+    for i in range(0, len(x), 4 * tile):
+        rows = slice(i, i + 4 * tile)
+        here = first(of_x[rows])
+        for j in range(0, len(y), tile):
+            columns = slice(j, j + tile)
+            there = first(of_y[columns])
+            d = np.sqrt(gaps(x[rows], y[columns]))
+            to_y[rows, of_y[columns][there]] += np.add.reduceat(d, there, axis=1)
+            to_x[columns, of_x[rows][here]] += np.add.reduceat(d, here, axis=0).T
+    return to_y, to_x
+
+
 def silhouettes(rows: DataFrame, place: str, ks: list[int], rows_a_block: int = 2000) -> dict[int, float]:
     """The mean silhouette of each k over plain distances; rows: place, z, groups.
 
-    Every row meets every other, as the measure asks, but in blocks: a task holds two
-    blocks and gives each row's sums of distances by group.
+    Every row meets every other, as the measure asks, but in parts of about ten blocks
+    at most: a task holds two parts, works out a tile of their distances at a time and
+    gives each row one array of sums by group. A pair of parts meets once.
     """
     n = rows.count()
-    blocks = max(1, -(-n // rows_a_block))
-    dealt = rows.withColumn("_b", F.pmod(F.xxhash64(place), F.lit(blocks)).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left, right = dealt.withColumn("_i", F.col("_b")).withColumn("_j", every), dealt.select(F.col("z").alias("z"), F.col("groups").alias("groups"), F.col("_b").alias("_q")).withColumn("_p", every)
+    parts = max(1, -(-n // (10 * rows_a_block)), min(-(-n // rows_a_block), 12))
+    tasks = parts * (parts + 1) // 2
+    dealt = rows.withColumn("_b", F.pmod(F.xxhash64(place), F.lit(parts)).cast("int"))
+    left = dealt.select(place, "z", "groups", F.col("_b").alias("_i"), F.explode(F.sequence("_b", F.lit(parts - 1))).alias("_j"))
+    right = dealt.select(F.col(place).alias("_place"), F.col("z").alias("z"), F.col("groups").alias("groups"), F.explode(F.sequence(F.lit(0), "_b")).alias("_p"), F.col("_b").alias("_q"))
     kind = rows.schema[place].dataType.simpleString()
-
-    def sums(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(a) and len(b):
-            d = np.sqrt(gaps(points(a), points(b)))
-            own, other = np.array(a["groups"].to_list()), np.array(b["groups"].to_list())
-            for i, k in enumerate(ks):
-                for g in np.unique(other[:, i]):
-                    mine = other[:, i] == g
-                    out.append(pd.DataFrame({place: a[place].to_numpy(), "k": k, "own": own[:, i], "g": g, "total": d[:, mine].sum(axis=1), "n": int(mine.sum())}))
-        return pd.concat(out) if out else pd.DataFrame(columns=[place, "k", "own", "g", "total", "n"])
-
-    made = left.groupBy("_i", "_j").cogroup(right.groupBy("_p", "_q")).applyInPandas(sums, f"`{place}` {kind}, k long, own long, g long, total double, n long")
-    per = made.groupBy(place, "k", "own", "g").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
-    mine, others = F.col("g") == F.col("own"), F.col("g") != F.col("own")
-    sides = per.groupBy(place, "k").agg(F.max(F.when(mine, F.col("n"))).alias("size"), F.max(F.when(mine, F.try_divide(F.col("total"), F.col("n") - 1))).alias("a"), F.min(F.when(others, F.col("total") / F.col("n"))).alias("b"))
-    s = F.when((F.col("size") <= 1) | F.col("b").isNull() | (F.greatest("a", "b") <= 0), 0.0).otherwise((F.col("b") - F.col("a")) / F.greatest("a", "b"))
-    return {r["k"]: r["s"] for r in sides.groupBy("k").agg(F.avg(s).alias("s")).collect()}
+    offsets = dict(zip(ks, np.cumsum([0, *ks[:-1]]).tolist(), strict=True))
+
+    def sums(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if not len(a) or not len(b):
+            return pd.DataFrame(columns=[place, "groups", "total"])
+        # rows that are together for every k are one kind
+        labels = [np.array(side["groups"].to_list(), dtype=np.int64).reshape(len(side), -1) for side in (a, b)]
+        kinds, of = np.unique(np.concatenate(labels), axis=0, return_inverse=True)
+        of = of.reshape(-1)
+        orders = [np.argsort(o, kind="stable") for o in (of[: len(a)], of[len(a) :])]
+        a, b = a.iloc[orders[0]], b.iloc[orders[1]]
+        found = distance_sums(points(a), points(b), of[: len(a)][orders[0]], of[len(a) :][orders[1]], len(kinds))
+        wide = np.zeros((len(kinds), sum(ks)))
+        for c, k in enumerate(ks):
+            wide[np.arange(len(kinds)), offsets[k] + kinds[:, c]] = 1
+        out = [pd.DataFrame({place: a[place].to_numpy(), "groups": a["groups"].to_numpy(), "total": (found[0] @ wide).tolist()})]
+        if key[0] != key[1]:
+            out.append(pd.DataFrame({place: b["_place"].to_numpy(), "groups": b["groups"].to_numpy(), "total": (found[1] @ wide).tolist()}))
+        return pd.concat(out)
+
+    met = left.repartition(tasks, "_i", "_j").groupBy("_i", "_j").cogroup(right.repartition(tasks, "_p", "_q").groupBy("_p", "_q"))
+    made = met.applyInPandas(sums, f"`{place}` {kind}, groups array<long>, total array<double>")
+    per = made.groupBy(place, "groups").agg(*[F.sum(F.col("total")[i]).alias(f"_t{i}") for i in range(sum(ks))])
+    sizes = [{r["g"]: r["n"] for r in rows.groupBy(F.col("groups")[i].alias("g")).agg(F.count("*").alias("n")).collect()} for i in range(len(ks))]
+    means = []
+    none = F.lit(None).cast("double")
+    for i, k in enumerate(ks):
+        own, held = F.col("groups")[i], sorted(sizes[i].items())
+        a, size = none, F.lit(0)
+        for g, m in held:
+            size = F.when(own == g, m).otherwise(size)
+            a = F.when(own == g, F.col(f"_t{offsets[k] + g}") / (m - 1) if m > 1 else none).otherwise(a)
+        b = F.least(none, none, *[F.when(own != g, F.col(f"_t{offsets[k] + g}") / m) for g, m in held])
+        s = F.when((size <= 1) | b.isNull() | (F.greatest(a, b) <= 0), 0.0).otherwise((b - a) / F.greatest(a, b))
+        means.append(F.avg(s).alias(str(k)))
+    got = per.agg(*means).first()
+    return {k: got[str(k)] for k in ks}
 
 
 def typologies(features: DataFrame, columns: list[str], ks: tuple[int, ...] = (3, 4, 5, 6), starts: int = 20, steps: int = 200, seed: int = 0, place: str = "place") -> tuple[DataFrame, dict[int, float]]:
@@ -149,7 +190,10 @@ def typologies(features: DataFrame, columns: list[str], ks: tuple[int, ...] = (3
     typology is null and there are no silhouettes.  Rows with nulls have null. Places
     are unique.
     """
-    z = stored(standardised(features, columns, place))
+    # as many files as tasks that have enough to do: every step reads them
+    n = features.count()
+    tasks = max(1, min(-(-n // 1000), max(features.sparkSession.sparkContext.defaultParallelism, -(-n // 50000))))
+    z = stored(standardised(features, columns, place).repartition(tasks))
     n = z.count()
     numbered = {i: k for i, k in enumerate(k for k in ks if n > 3 * k for _ in range(starts))}
     if not numbered:
