@@ -9,6 +9,8 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -63,53 +65,99 @@ def pieces(rings: list, cell: float) -> list[tuple[int, int, list]]:
     return out
 
 
+def corners(rings: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Polygon, ring and [x, y] of every corner of a column of polygons; rings of less than three corners are left out."""
+    size = lambda lists: pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    parts = rings.flatten()
+    n, points = size(parts), parts.flatten()
+    ring = np.repeat(np.arange(len(parts)), n)
+    xy = np.stack([pc.list_element(points, k).to_numpy(zero_copy_only=False) for k in (0, 1)], axis=1)
+    solid = n[ring] >= 3
+    return np.repeat(np.arange(len(rings)), size(rings))[ring[solid]], ring[solid], xy[solid]
+
+
+def bounds(owner: np.ndarray, xy: np.ndarray, n: int) -> np.ndarray:
+    """The least and greatest x and y of n polygons, whose corners are in order; without corners they hold nothing."""
+    out = np.tile([np.inf, np.inf, -np.inf, -np.inf], (n, 1))
+    if len(owner):
+        first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+        out[owner[first]] = np.hstack([np.minimum.reduceat(xy, first, axis=0), np.maximum.reduceat(xy, first, axis=0)])
+    return out
+
+
 def gridded(polygons: DataFrame, key: str, cell: float) -> DataFrame:
-    """key, cx, cy, rings: polygons (key, rings) clipped to the cells of a grid."""
+    """key, cx, cy, rings: polygons (key, rings) clipped to the cells of a grid. Those inside one cell need no clipping."""
     kind = polygons.schema[key].dataType.simpleString()
 
     def split(batches):
         for b in batches:
-            rows = [(k, x, y, part) for k, rings in zip(b[key], b["rings"], strict=True) for x, y, part in pieces([] if rings is None else rings, cell)]
-            yield pd.DataFrame(rows, columns=[key, "cx", "cy", "rings"])
-
-    return polygons.select(key, "rings").mapInPandas(split, f"`{key}` {kind}, cx long, cy long, rings {RINGS}")
+            rings = b.column("rings")
+            owner, _, xy = corners(rings)
+            ends = bounds(owner, xy, len(rings))
+            some = np.flatnonzero(ends[:, 0] <= ends[:, 2])
+            at = np.floor(ends[some] / cell).astype(np.int64)
+            one = (at[:, :2] == at[:, 2:]).all(axis=1)
+            whole = pa.array(some[one])
+            yield pa.RecordBatch.from_arrays([b.column(key).take(whole), pa.array(at[one, 0]), pa.array(at[one, 1]), rings.take(whole)], [key, "cx", "cy", "rings"])
+            found = [(i, *piece) for i in some[~one].tolist() for piece in pieces(rings[i].as_py(), cell)]
+            own, cx, cy, part = zip(*found, strict=True) if found else ([], [], [], [])
+            yield pa.RecordBatch.from_arrays([b.column(key).take(pa.array(own, pa.int64())), pa.array(cx, pa.int64()), pa.array(cy, pa.int64()), pa.array(part, rings.type)], [key, "cx", "cy", "rings"])
+
+    # a small file is one task's, but clipping takes long
+    dealt = polygons.select(key, F.col("rings").cast(RINGS).alias("rings")).repartition(F.xxhash64(key))
+    return dealt.mapInArrow(split, f"`{key}` {kind}, cx long, cy long, rings {RINGS}")
+
+
+def spread(n: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The row number, n times each, and beside it first, first + 1 and so on."""
+    row = np.repeat(np.arange(len(n)), n)
+    return row, np.arange(len(row)) - np.repeat(np.cumsum(n) - n - first, n)
+
+
+def chunks(n: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Ranges of rows that weigh at most `most` together, or are one row."""
+    total, out, begin = np.concatenate([[0], np.cumsum(n)]), [], 0
+    while begin < len(n):
+        end = max(begin + 1, int(np.searchsorted(total, total[begin] + most, "right")) - 1)
+        out.append((begin, end))
+        begin = end
+    return out
 
 
-def covered(base: list, others: list, slabs: int = 2048) -> tuple[float, float]:
-    """Area of a polygon, and of the part that at least one of the others covers. Exact up to rounding.
+def covered_jobs(e: np.ndarray, job: np.ndarray, owner: np.ndarray, jobs: int, slabs: int = 2048, most: int = 2**20) -> tuple[np.ndarray, np.ndarray]:
+    """For each job, the area of its polygon (owner 0) and of the part that at least one of its other polygons covers. Exact up to rounding.
 
-    The plane is cut into slabs at all corners and crossings; inside a slab edges do not
+    e: edges [x, y, x, y] to the right, not upright, in order of their job.  The plane of
+    a job is cut into slabs at all corners and crossings; inside a slab edges do not
     cross, so what lies between two neighbours is a trapezoid.  `slabs` are worked out at
-    once.
+    once, and about `most` pairs of edges.
     """
-    owner, edges = [], []
-    for k, polygon in enumerate([base, *others]):
-        for ring in polygon:
-            r = np.asarray([p[:2] for p in ring], dtype=float)
-            if len(r) >= 3:
-                e = np.hstack([r, np.roll(r, -1, axis=0)])
-                e = e[e[:, 0] != e[:, 2]]
-                edges.append(np.where((e[:, 0] < e[:, 2])[:, None], e, e[:, [2, 3, 0, 1]]))
-                owner += [k] * len(e)
-    if not owner:
-        return 0.0, 0.0
-    e, owner = np.vstack(edges), np.array(owner)
+    whole, shared = np.zeros(jobs), np.zeros(jobs)
+    if not len(e):
+        return whole, shared
     slope = (e[:, 3] - e[:, 1]) / (e[:, 2] - e[:, 0])
-    cuts = [e[:, 0], e[:, 2]]
-    for i in range(len(e)):  # an edge against the later ones: memory grows with the edges only
-        rest = slice(i + 1, None)
+    cuts, cut_jobs = [e[:, 0], e[:, 2]], [job, job]
+    later = np.searchsorted(job, job, "right") - np.arange(len(e)) - 1
+    for begin, end in chunks(later, most):  # edges against the later ones of their job
+        i, k = spread(later[begin:end], np.arange(begin, end) + 1)
+        i += begin
         with np.errstate(divide="ignore", invalid="ignore"):
-            x = ((e[rest, 1] - slope[rest] * e[rest, 0]) - (e[i, 1] - slope[i] * e[i, 0])) / (slope[i] - slope[rest])
-            cuts.append(x[(x > np.maximum(e[i, 0], e[rest, 0])) & (x < np.minimum(e[i, 2], e[rest, 2]))])
-    at = np.unique(np.concatenate(cuts))
-    first, last = np.searchsorted(at, e[:, 0]), np.searchsorted(at, e[:, 2])
-    whole = shared = 0.0
+            x = ((e[k, 1] - slope[k] * e[k, 0]) - (e[i, 1] - slope[i] * e[i, 0])) / (slope[i] - slope[k])
+            met = (x > np.maximum(e[i, 0], e[k, 0])) & (x < np.minimum(e[i, 2], e[k, 2]))
+        cuts.append(x[met])
+        cut_jobs.append(job[i[met]])
+    at, at_job = np.concatenate(cuts), np.concatenate(cut_jobs)
+    order = np.lexsort((at, at_job))
+    at, at_job = at[order], at_job[order]
+    new = np.concatenate([[True], (at[1:] != at[:-1]) | (at_job[1:] != at_job[:-1])])
+    place = np.empty(len(order), dtype=np.int64)
+    place[order] = np.cumsum(new) - 1
+    at, at_job = at[new], at_job[new]
+    first, last = place[: len(e)], place[len(e) : 2 * len(e)]
     for begin in range(0, len(at) - 1, slabs):
         low, high = np.clip(first, begin, begin + slabs), np.clip(last, begin, begin + slabs)
-        n = high - low
-        edge = np.repeat(np.arange(len(e)), n)
-        slab = np.arange(len(edge)) - np.repeat(np.cumsum(n) - n - low, n)
-        y = e[edge, 1] + slope[edge] * ((at[slab] + at[slab + 1]) / 2 - e[edge, 0])
+        edge, slab = spread(high - low, low)
+        y = e[edge, 1] + slope[edge] * ((at[slab] + at[np.minimum(slab + 1, len(at) - 1)]) / 2 - e[edge, 0])
         # going up, a polygon's edges lead into it and out of it by turns
         by_owner = np.lexsort((y, owner[edge], slab))
         turn = np.empty(len(edge), dtype=np.int64)
@@ -117,41 +165,96 @@ def covered(base: list, others: list, slabs: int = 2048) -> tuple[float, float]:
         up = np.lexsort((y, slab))
         own = owner[edge][up] == 0
         inside, over = np.cumsum(np.where(own, turn[up], 0))[:-1] > 0, np.cumsum(np.where(own, 0, turn[up]))[:-1] > 0
-        sizes = np.where(inside, np.diff(y[up]) * (at[slab + 1] - at[slab])[up][:-1], 0.0)
-        whole += float(sizes.sum())
-        shared += float(sizes[over].sum())
+        here = slab[up][:-1]
+        sizes = np.where(inside, np.diff(y[up]) * (at[np.minimum(here + 1, len(at) - 1)] - at[here]), 0.0)
+        whole += np.bincount(at_job[here], sizes, jobs)
+        shared += np.bincount(at_job[here][over], sizes[over], jobs)
     return whole, shared
 
 
-def bounds(rings: list) -> np.ndarray:
-    """The least and greatest x and y of a polygon."""
-    corners = np.array([p[:2] for r in rings for p in r], dtype=float).reshape(-1, 2)
-    return np.concatenate([corners.min(axis=0), corners.max(axis=0)]) if len(corners) else np.array([np.inf, np.inf, -np.inf, -np.inf])
+def covered_parts(cell: np.ndarray, own: np.ndarray, rings: pa.Array, most: int = 2**15) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The rows of own parts, with their area and the part of it that the others of their cell cover; cells are in order. About `most` edges are worked out at once."""
+    owner, ring, xy = corners(rings)
+    ends = bounds(owner, xy, len(rings))
+    following = np.arange(len(ring)) + 1
+    if len(ring):
+        begins = np.flatnonzero(np.concatenate([[True], ring[1:] != ring[:-1]]))
+        following[np.concatenate([begins[1:], [len(ring)]]) - 1] = begins
+    e = np.hstack([xy, xy[following]])
+    slanted = e[:, 0] != e[:, 2]
+    e, owner = e[slanted], owner[slanted]
+    e = np.where((e[:, 0] < e[:, 2])[:, None], e, e[:, [2, 3, 0, 1]])
+    n = np.bincount(owner, minlength=len(rings))
+    first = np.cumsum(n) - n
+    mine, others = np.flatnonzero(own), np.flatnonzero(~own)
+    # the others of a cell are neighbours in `others`
+    low, high = (np.searchsorted(cell[others], cell[mine], side) for side in ("left", "right"))
+    edges_before = np.concatenate([[0], np.cumsum(n[others])])
+    whole, shared = np.zeros(len(mine)), np.zeros(len(mine))
+    for begin, end in chunks(n[mine] + edges_before[high] - edges_before[low] + high - low, most):
+        job, k = spread((high - low)[begin:end], low[begin:end])
+        a, b = ends[mine[begin:end][job]], ends[others[k]]
+        near = (b[:, :2] < a[:, 2:]).all(axis=1) & (b[:, 2:] > a[:, :2]).all(axis=1)
+        # a job's own polygon, then those that meet its bounds
+        polygon = np.concatenate([mine[begin:end], others[k[near]]])
+        jobs = np.concatenate([np.arange(end - begin), job[near]])
+        number = np.concatenate([np.zeros(end - begin, dtype=np.int64), np.arange(1, near.sum() + 1)])
+        by_job = np.argsort(jobs, kind="stable")
+        row, edge = spread(n[polygon[by_job]], first[polygon[by_job]])
+        whole[begin:end], shared[begin:end] = covered_jobs(e[edge], jobs[by_job][row], number[by_job][row], end - begin)
+    return mine, whole, shared
+
+
+def covered(base: list, others: list) -> tuple[float, float]:
+    """Area of a polygon, and of the part that at least one of the others covers."""
+    rings = pa.array([base, *others], pa.list_(pa.list_(pa.list_(pa.float64()))))
+    _, whole, shared = covered_parts(np.zeros(len(rings), dtype=np.int64), np.arange(len(rings)) == 0, rings)
+    return float(whole[0]), float(shared[0])
 
 
 def covered_shares(places: DataFrame, zones: DataFrame, cell: float) -> DataFrame:
     """place, area, covered, share: how much of each polygon (place, rings) the union of zones (zone, rings) covers, in square units.
 
-    Both sides are clipped to cells and meet there, so a group holds a cell's parts of
-    places and zones, whatever the size of a polygon. Zones that overlap count once.
-    Places without area are absent; those that no zone meets have share 0. Null rings
-    are no polygon; places are unique. A smaller `cell` gives smaller groups.
+    Both sides are clipped to cells and meet there: a task goes through its cells in
+    order and holds the parts of as many as come in a batch, at least those of one
+    cell, whatever the size of a polygon. Zones that overlap count once.  Places
+    without area are absent; those that no zone meets have share 0. Null rings are no
+    polygon; places are unique. A smaller `cell` gives smaller groups.
     """
     kind = places.schema["place"].dataType.simpleString()
     mine = gridded(places, "place", cell).withColumn("own", F.lit(True))
     both = mine.unionByName(gridded(zones, "zone", cell).drop("zone").withColumns({"place": F.lit(None).cast(kind), "own": F.lit(False)}))
 
-    def shared(rows: pd.DataFrame) -> pd.DataFrame:
-        over = list(rows.loc[~rows["own"], "rings"])
-        ends = np.array([bounds(z) for z in over]).reshape(-1, 4)
-        out = []
-        for r in rows[rows["own"]].itertuples():
-            own = bounds(r.rings)
-            near = np.flatnonzero((ends[:, :2] < own[2:]).all(axis=1) & (ends[:, 2:] > own[:2]).all(axis=1))
-            out.append((r.place, *covered(r.rings, [over[k] for k in near])))
-        return pd.DataFrame(out, columns=["place", "area", "covered"])
-
-    out = both.groupBy("cx", "cy").applyInPandas(shared, f"place {kind}, area double, covered double")
+    def shared(batches):
+        def worked(held):
+            b = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            cx, cy = b.column("cx").to_numpy(), b.column("cy").to_numpy()
+            number = np.cumsum(np.concatenate([[0], (cx[1:] != cx[:-1]) | (cy[1:] != cy[:-1])]))
+            rows, area, over = covered_parts(number, b.column("own").to_numpy(zero_copy_only=False), b.column("rings"))
+            return pa.RecordBatch.from_arrays([b.column("place").take(pa.array(rows)), pa.array(area), pa.array(over)], ["place", "area", "covered"])
+
+        held = []
+        for b in batches:
+            if not len(b):
+                continue
+            # the last cell may go on in the next batch
+            cx, cy = b.column("cx").to_numpy(), b.column("cy").to_numpy()
+            other = np.flatnonzero((cx != cx[-1]) | (cy != cy[-1]))
+            if held and not len(other):
+                last = held[-1]
+                if (last.column("cx")[0].as_py(), last.column("cy")[0].as_py()) != (cx[0], cy[0]):
+                    yield worked(held)
+                    held = []
+            cut = int(other[-1]) + 1 if len(other) else 0
+            if cut:
+                yield worked([*held, b.slice(0, cut)])
+                held = []
+            held.append(b.slice(cut))
+        if held:
+            yield worked(held)
+
+    ordered = both.select("place", "cx", "cy", "rings", "own").repartition("cx", "cy").sortWithinPartitions("cx", "cy")
+    out = ordered.mapInArrow(shared, f"place {kind}, area double, covered double")
     out = out.groupBy("place").agg(F.sum("area").alias("area"), F.sum("covered").alias("covered")).where("area > 0")
     return out.withColumn("share", F.col("covered") / F.col("area"))
 

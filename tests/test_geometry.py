@@ -4,6 +4,8 @@ import json
 import math
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,6 +69,41 @@ def test_covered_shares_of_random_polygons(spark):
         assert abs(inside.count() * step * step - one[k]["area"]) < 0.03 and abs(wet * step * step - one[k]["covered"]) < 0.03
 
 
+@pytest.mark.parametrize("rows", [1, 3, 10000])
+def test_covered_shares_in_batches(spark, rows):
+    """One file's polygons are clipped by several tasks, and cells that go on over batches, alone in them or not, give the same areas."""
+    rng = random.Random(5)
+    places = [(f"p{k}", [box(k % 4 + 0.25, k // 4, 1, 1)]) for k in range(12)]
+    zones = [(f"z{k}", [box(rng.uniform(0, 4), rng.uniform(0, 3), rng.uniform(0.1, 0.9), rng.uniform(0.1, 0.9))]) for k in range(30)]
+    size, adaptive = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.adaptive.enabled"
+    before = {c: spark.conf.get(c) for c in (size, adaptive)}
+    try:
+        spark.conf.set(size, rows)
+        spark.conf.set(adaptive, False)
+        assert G.gridded(polygons(spark, zones, "zone").coalesce(1), "zone", 1.0).select(F.spark_partition_id()).distinct().count() > 1
+        got = shares(spark, places, zones, 1.0)
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    for k, rings in places:
+        area, over = G.covered(rings, [z for _, z in zones])
+        assert math.isclose(got[k]["area"], area, rel_tol=1e-9) and math.isclose(got[k]["covered"], over, abs_tol=1e-9)
+
+
+def test_covered_parts_of_many_cells():
+    """Cells worked out together, in small and in large portions, are as each by itself."""
+    rng = random.Random(8)
+    star = lambda n: [[[rng.uniform(0, 2), rng.uniform(0, 2)] for _ in range(n)], box(rng.uniform(0, 1), rng.uniform(0, 1), 0.5, 0.5)]
+    cells = [([star(5) for _ in range(c % 3)], [star(4) for _ in range(c % 4)]) for c in range(12)]
+    parts = [(c, own, p) for c, sides in enumerate(cells) for own, side in zip((False, True), sides[::-1], strict=True) for p in side]
+    rings = pa.array([p for _, _, p in parts], pa.list_(pa.list_(pa.list_(pa.float64()))))
+    want = [G.covered(p, cells[c][1]) for c, own, p in parts if own]
+    for most in (1, 40, 2**15):
+        rows, whole, over = G.covered_parts(np.array([c for c, _, _ in parts]), np.array([o for _, o, _ in parts]), rings, most)
+        assert [parts[i][1] for i in rows] == [True] * len(want)
+        assert np.allclose(whole, [w for w, _ in want]) and np.allclose(over, [o for _, o in want])
+
+
 def test_borders_with_other_corners(spark):
     """One side drawn in one piece, the other in three; an island's part inside the other place; a place of two parts that touch."""
     left = [box(-9.0, 40.0, 0.5, 0.6)]
